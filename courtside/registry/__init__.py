@@ -1,6 +1,6 @@
 """The registered queries and their checks."""
 
-from courtside.registry import rosters  # noqa: F401
+from courtside.registry import features, rosters  # noqa: F401
 from courtside.registry.core import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
