@@ -18,12 +18,12 @@ ADAPTIVE_SETTINGS = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the adaptive settings; ``master`` only for local runs."""
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
+    """A session with the adaptive settings and any others; ``master`` only for local runs."""
     builder = SparkSession.builder.appName("courtside")
     if master:
         builder = builder.master(master)
-    for key, value in ADAPTIVE_SETTINGS.items():
+    for key, value in {**ADAPTIVE_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -79,7 +79,7 @@ def main() -> None:
     args = sys.argv[1:]
     folder = args[0] if args else "/root/testdata/sf0.01"
     names = args[1:] or list(QUERIES)
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, **{"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0
