@@ -20,8 +20,7 @@ from courtside.constants import CORRELATION_THRESHOLD, PHIK_BINS
 from courtside.operators.cleaning import varying_columns
 from courtside.session import materialize
 
-# A side with more bins than this, and than 16 times the other side, is as good
-# as continuous: more bins change the correlation by less than 1e-5.
+# A side with more bins than this is integrated over instead of binned.
 FINE_BINS = 2000
 
 # The binned normal distribution spans so many deviations to both sides.
@@ -121,29 +120,49 @@ def _quadrature(n_1: int) -> tuple[np.ndarray, np.ndarray]:
     return x, half[:, None] * weights * np.exp(-0.5 * x * x) / math.sqrt(2 * math.pi)
 
 
+def _full_chi2(n_1: int, n_2: int) -> float:
+    """Chi-square per row when both sides are the same variable: bins that overlap share the overlap."""
+    first, second = np.linspace(-SPAN, SPAN, n_1 + 1), np.linspace(-SPAN, SPAN, n_2 + 1)
+    cuts = np.unique(np.concatenate([first, second]))
+    centres = (cuts[1:] + cuts[:-1]) / 2
+    i = np.clip(np.searchsorted(first, centres) - 1, 0, n_1 - 1)
+    j = np.clip(np.searchsorted(second, centres) - 1, 0, n_2 - 1)
+    p = np.diff(_normal_cdf(cuts))
+    p = p / p.sum()
+    # Cuts a rounding error apart make slivers of the same pair of bins.
+    pairs, inverse = np.unique(i.astype(np.int64) * n_2 + j, return_inverse=True)
+    mass = np.bincount(inverse, weights=p)
+    row, col = np.bincount(i, weights=p, minlength=n_1), np.bincount(j, weights=p, minlength=n_2)
+    return float((mass**2 / (row[pairs // n_2] * col[pairs % n_2])).sum() - 1)
+
+
+def _fine_chi2(rho: float, n_1: int) -> float:
+    """Chi-square per row with ``n_1`` bins on one side and arbitrarily fine ones on the other."""
+    y, density = (part.ravel() for part in _quadrature(400))
+    edges = np.linspace(-SPAN, SPAN, n_1 + 1)
+    scale = math.sqrt(1 - rho * rho)
+    # The share of each y within the span, then the bins in pieces that fit memory.
+    kept = _normal_cdf((SPAN - rho * y) / scale) - _normal_cdf((-SPAN - rho * y) / scale)
+    chi2 = -1.0
+    for start in range(0, n_1, 256):
+        p = np.diff(_normal_cdf((edges[None, start : start + 257] - rho * y[:, None]) / scale), axis=1)
+        chi2 += float((((density / kept) @ (p * p)) / (density @ p)).sum())
+    return max(chi2, 0.0)
+
+
 @lru_cache(maxsize=None)
 def _normal_chi2(rho: float, n_1: int, n_2: int) -> float:
     """Chi-square per row of a normal distribution with correlation ``rho`` in n_1 x n_2 bins."""
-    edges = np.linspace(-SPAN, SPAN, n_2 + 1)
     if rho >= 1:
-        first = np.linspace(-SPAN, SPAN, n_1 + 1)
-        # Both sides hold the same variable: bins that overlap hold the overlap.
-        p = np.zeros((n_1, n_2))
-        cuts = np.unique(np.concatenate([first, edges]))
-        centres = (cuts[1:] + cuts[:-1]) / 2
-        at_1 = np.clip(np.searchsorted(first, centres) - 1, 0, n_1 - 1)
-        at_2 = np.clip(np.searchsorted(edges, centres) - 1, 0, n_2 - 1)
-        np.add.at(p, (at_1, at_2), np.diff(_normal_cdf(cuts)))
-    else:
-        # One bin of the first side at a time, so that many bins need little memory.
-        x, density = _quadrature(n_1)
-        scale = math.sqrt(1 - rho * rho)
-        p = np.stack(
-            [
-                density[i] @ np.diff(_normal_cdf((edges[None, :] - rho * x[i][:, None]) / scale), axis=1)
-                for i in range(n_1)
-            ]
-        )
+        return _full_chi2(n_1, n_2)
+    if n_2 > FINE_BINS:
+        return _fine_chi2(rho, n_1)
+    edges = np.linspace(-SPAN, SPAN, n_2 + 1)
+    x, density = _quadrature(n_1)
+    scale = math.sqrt(1 - rho * rho)
+    p = np.stack(
+        [density[i] @ np.diff(_normal_cdf((edges[None, :] - rho * x[i][:, None]) / scale), axis=1) for i in range(n_1)]
+    )
     p = p / p.sum()
     expected = p.sum(axis=1, keepdims=True) * p.sum(axis=0, keepdims=True)
     return float(((p - expected) ** 2 / expected).sum())
@@ -160,7 +179,6 @@ def phik_from_chi2(chi2: float, n: int, n_1: int, n_2: int) -> float:
     if chi2 >= greatest or noise >= greatest:
         return 1.0
     small, large = sorted((int(n_1), int(n_2)))
-    large = min(large, max(FINE_BINS, 16 * small))
     share = (chi2 - noise) / (greatest - noise) * _normal_chi2(1.0, small, large)
     # The chi-square rises with the correlation. Halving visits the same first
     # points for every pair, so tables of one shape share their values.
