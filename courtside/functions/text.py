@@ -18,13 +18,13 @@ def to_double(text: Column) -> Column:
 
 
 def to_bigint(text: Column) -> Column:
-    """The whole number a text spells, NULL for anything else."""
-    return F.when(text.rlike(r"^\s*[-+]?[0-9]+\s*$"), text.try_cast("bigint"))
+    """The whole number a text spells, NULL for anything else, also for '3.0'."""
+    return text.try_cast("bigint")
 
 
 def to_integer(text: Column) -> Column:
     """As :func:`to_bigint`, for 32 bits."""
-    return F.when(text.rlike(r"^\s*[-+]?[0-9]+\s*$"), text.try_cast("int"))
+    return text.try_cast("int")
 
 
 def csv_value(text: Column) -> Column:

@@ -25,13 +25,18 @@ COPIES_PER_PIECE = 100_000
 def left_lookup(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Left join to a dimension on one key; rows with a NULL key are kept, and spread.
 
+    The second join key is 0 for every row that can match and 1 to
+    ``NULL_KEY_SPREAD`` for the others, so these are hashed apart. On the right
+    it is written as a remainder, as a plain 0 would be folded out of the keys.
     The right key column is not in the result.
     """
     spread = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD))
+        F.col(key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD)) + 1
     ).otherwise(F.lit(0).cast("bigint"))
     keyed_left = left.withColumn("_spread", spread)
-    keyed_right = right.withColumnRenamed(right_key or key, "_key").withColumn("_zero", F.lit(0).cast("bigint"))
+    keyed_right = right.withColumnRenamed(right_key or key, "_key").withColumn(
+        "_zero", F.pmod(F.xxhash64("_key"), F.lit(1).cast("bigint"))
+    )
     on = (F.col(key) == F.col("_key")) & (F.col("_spread") == F.col("_zero"))
     return keyed_left.join(keyed_right, on, "left").drop("_key", "_spread", "_zero")
 

@@ -183,17 +183,21 @@ LAMBDA_REFINEMENTS = (0.01, 0.001)
 
 
 def yeo_johnson(x: Column, lam: Column) -> Column:
-    """The power transform of ``x`` with exponent ``lam``."""
-    up = F.when(lam == 0, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / lam)
-    down = F.when(lam == 2, -F.log1p(-x)).otherwise(-(F.pow(1 - x, 2 - lam) - 1) / (2 - lam))
-    return F.when(x >= 0, up).otherwise(down)
+    """The power transform of ``x`` with exponent ``lam``.
+
+    Both halves are one formula on log(1 + |x|): the exponent is ``lam`` above
+    zero and ``2 - lam`` below.
+    """
+    size = F.log1p(F.abs(x))
+    power = F.when(x >= 0, lam).otherwise(2 - lam)
+    grown = F.when(power == 0, size).otherwise(F.expm1(power * size) / power)
+    return F.when(x >= 0, grown).otherwise(-grown)
 
 
 def _yeo_johnson_number(x: float, lam: float) -> float:
     """The same for one number: the anchor the sums below are taken around."""
-    if x >= 0:
-        return math.log1p(x) if lam == 0 else ((x + 1) ** lam - 1) / lam
-    return -math.log1p(-x) if lam == 2 else -((1 - x) ** (2 - lam) - 1) / (2 - lam)
+    size, power = math.log1p(abs(x)), lam if x >= 0 else 2 - lam
+    return math.copysign(size if power == 0 else math.expm1(power * size) / power, x)
 
 
 def lambda_grid(low: float = LAMBDA_LOW, high: float = LAMBDA_HIGH, step: float = LAMBDA_STEP) -> list[float]:
@@ -216,11 +220,14 @@ def log_likelihood(
         "column string, lambda double, anchor double",
     )
     x, w = F.col("value"), F.col("w")
-    t = yeo_johnson(x, F.col("lambda")) - F.col("anchor")
+    # Per value: the signed logarithm. Per value and exponent: one exponential.
+    power = F.when(F.col("j") >= 0, F.col("lambda")).otherwise(2 - F.col("lambda"))
+    grown = F.when(power == 0, F.abs("j")).otherwise(F.expm1(power * F.abs("j")) / power)
+    t = F.signum("j") * grown - F.col("anchor")
     sums = (
-        values.join(F.broadcast(grid), "column")
-        .select("column", "lambda", "anchor", w.alias("w"), t.alias("t"),
-                (F.signum(x) * F.log1p(F.abs(x))).alias("j"))
+        values.select("column", "w", (F.signum(x) * F.log1p(F.abs(x))).alias("j"))
+        .join(F.broadcast(grid), "column")
+        .select("column", "lambda", "anchor", "w", "j", t.alias("t"))
         .groupBy("column", "lambda", "anchor")
         .agg(
             F.sum("w").alias("n"),

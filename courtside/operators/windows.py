@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # A group with more rows than this is cut into slices of about this size.
@@ -15,20 +15,12 @@ SLICE_ROWS = 1_000_000
 BROADCAST_ROWS = 100_000
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = left[keys[0]].eqNullSafe(right[keys[0]])
-    for key in keys[1:]:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], n_rows: int) -> DataFrame:
     """Left join of a lookup whose row count is known, null keys matching."""
+    small = small.withColumnsRenamed({key: f"_of_{key}" for key in keys})
     side = F.broadcast(small) if n_rows <= BROADCAST_ROWS else small
-    joined = df.join(side, _same_keys(df, small, keys), "left")
-    for key in keys:
-        joined = joined.drop(small[key])
-    return joined
+    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
+    return df.join(side, same, "left").drop(*[f"_of_{key}" for key in keys])
 
 
 def with_previous(
