@@ -15,9 +15,8 @@ from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Most values of a group that are sorted in one task.
 SORT_ROWS = 500_000
@@ -25,6 +24,8 @@ SORT_ROWS = 500_000
 # Bins per narrowing pass.
 BINS = 2048
 
+QUANTILES = "group string, column string, n long, quantiles array<double>"
+
 
 def long_numbers(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
     """(group, column, value) of all numbers but NULL and NaN."""
@@ -100,39 +101,19 @@ def _sorted_values(numbers: DataFrame, intervals: Sequence[_Interval]) -> dict[t
     }
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: str | None = None,
-    sort_rows: int = SORT_ROWS,
-) -> DataFrame:
-    """(group, column, n, quantiles) with linear interpolation between ranks.
-
-    ``by`` is a column of few values; without it the group is 'all'.
-    """
-    spark = df.sparkSession
-    numbers = long_numbers(df, columns, by)
-    groups = (
-        numbers.groupBy("group", "column")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
-    )
-    if all(g["n"] <= sort_rows for g in groups):
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        return numbers.groupBy("group", "column").agg(
-            F.count(F.lit(1)).alias("n"), F.percentile("value", points).alias("quantiles")
-        )
+def _places(n: int, probabilities: Sequence[float]) -> list[tuple[int, int, float]]:
+    """Per probability the two ranks it lies between, and how far from the first."""
+    heights = [(n - 1) * p for p in probabilities]
+    return [(math.floor(h), math.ceil(h), h - math.floor(h)) for h in heights]
 
-    def places(n: int) -> list[tuple[int, int, float]]:
-        out = []
-        for p in probabilities:
-            h = (n - 1) * p
-            out.append((math.floor(h), math.ceil(h), h - math.floor(h)))
-        return out
 
+def _narrowed_quantiles(numbers: DataFrame, groups: Sequence[Row], probabilities, sort_rows: int) -> DataFrame:
+    """Quantiles of long groups, of which there are few."""
     open_ = [
-        _Interval(g["group"], g["column"], g["low"], g["high"], 0, g["n"], {r for x in places(g["n"]) for r in x[:2]})
+        _Interval(
+            g["group"], g["column"], g["low"], g["high"], 0, g["n"],
+            {rank for place in _places(g["n"], probabilities) for rank in place[:2]},
+        )
         for g in groups
     ]
     found: dict[tuple, float] = {}
@@ -154,16 +135,54 @@ def exact_quantiles(
     for g in groups:
         key = (g["group"], g["column"])
         quantiles = []
-        for low, high, part in places(g["n"]):
+        for low, high, part in _places(g["n"], probabilities):
             a, b = found[(*key, low)], found[(*key, high)]
-            quantiles.append(a + (b - a) * part)
+            quantiles.append(a if a == b else a * (1 - part) + b * part)
         rows.append((*key, g["n"], quantiles))
-    schema = T.StructType(
-        [
-            T.StructField("group", T.StringType()),
-            T.StructField("column", T.StringType()),
-            T.StructField("n", T.LongType()),
-            T.StructField("quantiles", T.ArrayType(T.DoubleType())),
-        ]
+    return numbers.sparkSession.createDataFrame(rows, QUANTILES)
+
+
+def quantiles_and_groups(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: str | None = None,
+    sort_rows: int = SORT_ROWS,
+) -> tuple[DataFrame, int]:
+    """:func:`exact_quantiles`, and how many rows it has."""
+    numbers = long_numbers(df, columns, by)
+    sizes = numbers.groupBy("group", "column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    return spark.createDataFrame(rows, schema)
+    # Long groups are few: each has more than `sort_rows` of all values.
+    long_group = F.when(F.col("n") > sort_rows, F.struct("group", "column", "n", "low", "high"))
+    n_groups, long_groups = sizes.agg(F.count(F.lit(1)), F.collect_list(long_group)).first()
+
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    short = numbers
+    if long_groups:
+        names = numbers.sparkSession.createDataFrame(
+            [(g["group"], g["column"]) for g in long_groups], "of_group string, of_column string"
+        )
+        same = F.col("group").eqNullSafe(F.col("of_group")) & (F.col("column") == F.col("of_column"))
+        short = numbers.join(names, same, "left_anti")
+    result = short.groupBy("group", "column").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile("value", points).alias("quantiles")
+    )
+    if long_groups:
+        result = result.unionByName(_narrowed_quantiles(numbers, long_groups, probabilities, sort_rows))
+    return result, n_groups
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    by: str | None = None,
+    sort_rows: int = SORT_ROWS,
+) -> DataFrame:
+    """(group, column, n, quantiles) with linear interpolation between ranks.
+
+    Groups come from the column ``by``; without it there is one, 'all'.
+    """
+    return quantiles_and_groups(df, columns, probabilities, by, sort_rows)[0]

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from courtside.constants import HISTOGRAM_BINS, MAX_HUE_FEATURES, MAX_HUE_VALUES
 from courtside.operators.profile import few_values
-from courtside.operators.quantiles import SORT_ROWS, exact_quantiles, long_numbers
+from courtside.operators.quantiles import SORT_ROWS, exact_quantiles, long_numbers, quantiles_and_groups
+from courtside.operators.windows import BROADCAST_ROWS
 from courtside.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -110,16 +111,17 @@ def box_summary(
 
     Whiskers end at the last values within 1.5 times the quartile distance.
     """
-    quantiles = exact_quantiles(df, columns, QUARTILES, by, sort_rows)
+    quantiles, n_groups = quantiles_and_groups(df, columns, QUARTILES, by, sort_rows)
     q = F.col("quantiles")
     boxes = quantiles.select(
         F.col("group").alias("_group"), F.col("column").alias("_column"),
         q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
         (q[0] - 1.5 * (q[2] - q[0])).alias("_from"), (q[2] + 1.5 * (q[2] - q[0])).alias("_to"),
     )
-    # One row per group and column, and `by` has few values.
+    if n_groups <= BROADCAST_ROWS:
+        boxes = F.broadcast(boxes)
     numbers = long_numbers(df, columns, by).join(
-        F.broadcast(boxes), F.col("group").eqNullSafe(F.col("_group")) & (F.col("column") == F.col("_column"))
+        boxes, F.col("group").eqNullSafe(F.col("_group")) & (F.col("column") == F.col("_column"))
     )
     within = F.col("value").between(F.col("_from"), F.col("_to"))
     return numbers.groupBy("group", "column", "q1", "median", "q3").agg(

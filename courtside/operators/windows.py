@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from courtside.session import materialize
+
 # A group with more rows than this is cut into slices of about this size.
 SLICE_ROWS = 1_000_000
 
@@ -23,6 +25,46 @@ def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], n_rows: int) -
     return df.join(side, same, "left").drop(*[f"_of_{key}" for key in keys])
 
 
+def cut_into_slices(
+    df: DataFrame, keys: Sequence[str], order: str, slice_rows: int = SLICE_ROWS
+) -> tuple[DataFrame, list[str], int]:
+    """Add columns that cut each group of more than ``slice_rows`` rows into ranges of ``order``.
+
+    Returns the frame, the slice columns, outermost first, and the number of
+    slices. The first cut makes ranges of equal width; a range that still holds
+    too many rows, because the numbers crowd there, is cut again into a further
+    column. Rows that needed no cut have NULL. Without a large group there are
+    no slice columns.
+    """
+    group, levels, n_slices = list(keys), [], 0
+    number = F.col(order).cast("bigint")
+    rows = df
+    while True:
+        sizes = rows.groupBy(*group).agg(
+            F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")
+        )
+        hot = sizes.where((F.col("_n") > slice_rows) & (F.col("_hi") > F.col("_lo"))).withColumn(
+            "_pieces", F.ceil(F.col("_n") / F.lit(slice_rows))
+        )
+        n_hot, pieces = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_pieces"), F.lit(0))).first()
+        if n_hot == 0:
+            return df, levels, n_slices
+        n_slices += pieces
+        # Stored, as every further cut builds on it.
+        hot = materialize(hot.drop("_n"), "hot")
+        level = f"_slice_{len(levels)}"
+        reach = F.col("_hi") - F.col("_lo") + 1
+        place = F.floor((number - F.col("_lo")) / reach * F.col("_pieces"))
+        df = (
+            _lookup(df, hot, group, n_hot)
+            .withColumn(level, place.cast("bigint"))
+            .drop("_lo", "_hi", "_pieces")
+        )
+        levels.append(level)
+        group.append(level)
+        rows = df.where(F.col(level).isNotNull())
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,45 +76,31 @@ def with_previous(
     """Add ``prev_<column>``: the value one row earlier in the group, by ``order``.
 
     ``order`` is a whole number that is unique in its group. When no group has
-    more than ``slice_rows`` rows this is one window. Otherwise each larger
-    group is cut into slices by ranges of ``order``, the window runs per slice,
-    and the first row of a slice takes the last row of the slice before it, so
-    that no task sorts a whole hot group.
+    more than ``slice_rows`` rows this is one window. Otherwise the larger
+    groups are cut into slices, the window runs per slice, and the first row of
+    a slice takes the last row of the slice before it, so that no task sorts a
+    whole hot group.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi")
-    )
-    hot = sizes.where(F.col("_n") > slice_rows).withColumn(
-        "_pieces", F.ceil(F.col("_n") / F.lit(slice_rows))
-    )
-    n_hot, n_slices = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_pieces"), F.lit(0))).first()
-
-    if n_hot == 0:
+    cut, levels, n_slices = cut_into_slices(df, keys, order, slice_rows)
+    if not levels:
         window = Window.partitionBy(*keys).orderBy(order)
         return df.withColumns({prefix + c: F.lag(c).over(window) for c in columns})
 
-    reach = F.col("_hi") - F.col("_lo") + 1
-    place = F.floor((F.col(order) - F.col("_lo")) / reach * F.col("_pieces"))
-    cut = (
-        _lookup(df, hot.drop("_n"), keys, n_hot)
-        .withColumn("_slice", F.coalesce(place, F.lit(0)).cast("bigint"))
-        .drop("_lo", "_hi")
-    )
     values = F.struct(*columns)
     tails = (
-        cut.where(F.col("_pieces").isNotNull())
-        .groupBy(*keys, "_slice")
+        cut.where(F.col(levels[0]).isNotNull())
+        .groupBy(*keys, *levels)
         .agg(F.max_by(values, F.col(order)).alias("_tail"))
     )
-    # One row per slice: a million-row slice leaves one row here.
+    # One row per slice here, for the many rows of a slice there.
     carried = tails.withColumn(
-        "_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_slice"))
+        "_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy(*levels))
     ).drop("_tail")
 
-    window = Window.partitionBy(*keys, "_slice").orderBy(order)
-    inside = cut.drop("_pieces").withColumn("_inside", F.lag(values).over(window))
-    joined = _lookup(inside, carried, [*keys, "_slice"], n_slices)
+    window = Window.partitionBy(*keys, *levels).orderBy(order)
+    inside = cut.withColumn("_inside", F.lag(values).over(window))
+    joined = _lookup(inside, carried, [*keys, *levels], n_slices)
     previous = F.coalesce(F.col("_inside"), F.col("_carry"))
     return joined.select(
         *df.columns, *[previous.getField(c).alias(prefix + c) for c in columns]

@@ -149,13 +149,14 @@ def export_join(spark: SparkSession, joins: Mapping[str, DataFrame], target, csv
 
 
 def range_bounds(df: DataFrame, key: str, pages: int) -> list[tuple[int, int]]:
-    """Ends of ``pages`` equal key ranges, both inclusive, that cover every key once."""
+    """Ends of up to ``pages`` equal key ranges, both inclusive, that cover every key once."""
     low, high = df.agg(F.min(key), F.max(key)).first()
     if low is None:
         return []
     reach = high - low + 1
+    pages = min(pages, reach)
     edges = [low + reach * i // pages for i in range(pages + 1)]
-    return [(a, b - 1) for a, b in zip(edges, edges[1:]) if b > a]
+    return [(a, b - 1) for a, b in zip(edges, edges[1:])]
 
 
 def page_totals(df: DataFrame, key: str, pages: int) -> DataFrame:
@@ -163,20 +164,18 @@ def page_totals(df: DataFrame, key: str, pages: int) -> DataFrame:
 
     Ranges of a key are the same on every read, unlike pages by row number.
     """
+    spark = df.sparkSession
     bounds = range_bounds(df, key, pages)
     if not bounds:
-        return df.sparkSession.createDataFrame([], "page int, low long, high long, n_rows long")
+        return spark.createDataFrame([], "page int, low long, high long, n_rows long")
     low, reach = bounds[0][0], bounds[-1][1] - bounds[0][0] + 1
-    # The number of whole edges at or below the key.
-    place = ((F.col(key) - F.lit(low) + 1) * F.lit(pages) - 1)
-    number = F.floor(place / F.lit(reach)).cast("int")
-    edges = df.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(bounds)], "page int, low long, high long"
-    )
+    # How many range starts lie at or below the key.
+    number = F.expr(f"CAST(((CAST(`{key}` AS BIGINT) - {low} + 1) * {len(bounds)} - 1) DIV {reach} AS INT)")
     counts = (
         df.where(F.col(key).isNotNull())
         .select(number.alias("page"))
         .groupBy("page")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    return F.broadcast(edges).join(counts, "page", "left").na.fill(0, ["n_rows"]).select("page", "low", "high", "n_rows")
+    edges = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(bounds)], "page int, low long, high long")
+    return edges.join(counts, "page", "left").na.fill(0, ["n_rows"]).select("page", "low", "high", "n_rows")

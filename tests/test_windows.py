@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from courtside.operators.windows import with_previous
+from courtside.operators.windows import cut_into_slices, with_previous
 from courtside.plans.features import player_features, score_deltas
 
 
@@ -37,8 +37,18 @@ def test_previous_value_with_a_hot_group(spark, slice_rows, spread):
 
 def test_no_task_sorts_a_whole_hot_group(spark):
     df = spark.range(4000).select(F.floor(F.col("id") / 10_000).alias("game"), F.col("id").alias("number"), F.col("id").alias("value"))
-    plan = with_previous(df, ["game"], "number", ["value"], slice_rows=100)._jdf.queryExecution().toString()
-    assert "hashpartitioning(game" in plan and "_slice" in plan
+    found = with_previous(df, ["game"], "number", ["value"], slice_rows=100)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    over_rows = [line for line in plan.splitlines() if "Window" in line and "AS _inside" in line]
+    assert over_rows and all("_slice_0" in line for line in over_rows)
+
+
+@pytest.mark.parametrize("numbers", [range(3000), [i**4 for i in range(3000)], [*range(1500), *range(10**15, 10**15 + 1500)]])
+def test_slices_are_small_however_the_numbers_crowd(spark, numbers):
+    df = spark.createDataFrame([("hot", n) for n in numbers] + [("cold", 1)], "game string, number long")
+    cut, levels, _ = cut_into_slices(df, ["game"], "number", slice_rows=100)
+    sizes = [r["count"] for r in cut.groupBy("game", *levels).count().collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 3001
 
 
 EVENTS = "game_id long, eventnum long, player1_id long, period long, eventmsgtype int, score string"
