@@ -474,6 +474,23 @@ def game_scan(t):
     return game_scan(t["v_game"])
 
 
+_DISTINCT = ("l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")
+
+
+@query("distinct_counts", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_nonnull, count(DISTINCT {c}) AS n_distinct
+FROM lineitem""" for c in _DISTINCT))
+def distinct_counts(t):
+    return profile.distinct_counts(t["lineitem"], _DISTINCT)
+
+
+@query("consolidated_types", "SELECT * FROM orders")
+def consolidated_types(t):
+    """A date that came as text, found by its name and its values; the other columns in their wide types."""
+    text_date = t["orders"].withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    return types.cast_to(text_date, types.consolidated_schema(text_date, types.dates_by_name(text_date)))
+
+
 @query("preview", None)
 def preview(t):
     """Any 1000 rows of a table; without an order, which ones is up to the scan."""

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from courtside.operators.joins import star_join
+from courtside.operators import unions
+from courtside.operators.joins import star_join, star_joins
 from courtside.plans import rosters
 from courtside.registry.core import checked, query
+from courtside.session import scratch_path
+from courtside.sources.copying import export_join
+from courtside.sources.stores import FolderStore
 
 _ROSTER_VIEWS = ("v_line_score", "v_play_by_play", "v_common_player_info")
 
@@ -152,3 +156,46 @@ JOIN v_play_by_play t2 ON t0.game_id = t2.game_id"""),
 def auto_star_join(t):
     tables = {name: t[f"v_{name}"] for name in ("line_score", "game_summary", "play_by_play")}
     return star_join(tables, "game_id")
+
+
+@query(
+    "joined_table_export",
+    checked("v_line_score", "v_game_summary", sql="""
+SELECT t0.game_id, t0.team_id_home AS line_score__team_id_home, t0.team_id_away AS line_score__team_id_away,
+  t0.pts_home AS line_score__pts_home, t0.pts_away AS line_score__pts_away, t1.pts AS game_summary__pts
+FROM v_line_score t0 JOIN v_game_summary t1 ON t0.game_id = t1.game_id"""),
+)
+def joined_table_export(t):
+    """The first of the generated joins, stored as a table and read back."""
+    tables = {name: t[f"v_{name}"] for name in ("line_score", "game_summary")}
+    joins = star_joins({"game_id": list(tables)}, tables)
+    return export_join(t.spark, joins, FolderStore(scratch_path(t.spark, "joined")))[1]
+
+
+@query("team_points", checked("v_line_score", sql=f"WITH {_TEAM_POINTS} SELECT * FROM team_points"))
+def team_points(t):
+    return unions.team_points(t["v_line_score"])
+
+
+@query(
+    "distinct_roster",
+    checked("v_play_by_play", sql="""
+SELECT game_id, player1_team_id AS team_id, player1_id AS player_id FROM v_play_by_play WHERE player1_id IS NOT NULL
+UNION SELECT game_id, player2_team_id, player2_id FROM v_play_by_play WHERE player2_id IS NOT NULL
+UNION SELECT game_id, player3_team_id, player3_id FROM v_play_by_play WHERE player3_id IS NOT NULL"""),
+)
+def distinct_roster(t):
+    return unions.distinct_roster(t["v_play_by_play"])
+
+
+@query(
+    "typed_player_info",
+    checked("v_common_player_info", sql=f"""
+SELECT person_id, {_HEIGHT} AS height_in, TRY_CAST(weight AS REAL) AS weight,
+  TRY_CAST(from_year AS INTEGER) AS from_year, TRY_CAST(to_year AS INTEGER) AS to_year,
+  TRY_CAST(draft_year AS INTEGER) AS draft_year, TRY_CAST(draft_round AS INTEGER) AS draft_round,
+  TRY_CAST(draft_number AS INTEGER) AS draft_number FROM v_common_player_info"""),
+)
+def typed_player_info(t):
+    info = t["v_common_player_info"]
+    return info.select("person_id", *rosters.typed_bio(info))

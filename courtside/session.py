@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="courtside-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
@@ -49,9 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="courtside-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -137,6 +137,20 @@ def test_join_is_stored_and_exported_once(spark, tmp_path, database):
     assert copying.export_join(spark, {}, database) is None
 
 
+def test_shared_columns_go_through_json(spark, tmp_path):
+    tables = {
+        "a": spark.createDataFrame([(1, 2)], "id long, x long"),
+        "b": spark.createDataFrame([(1, 3)], "id long, y long"),
+    }
+    catalog.common_columns_document(spark, tables).write.json(str(tmp_path / "common"))
+    common = csv_source.read_json_config(spark, str(tmp_path / "common"))
+    assert common["id"]["table_count"] == 2
+    assert common["id"]["tables"][0]["statistics"] == {"min": 1.0, "max": 1.0, "mean": 1.0, "std": 0.0}
+    assert star_joins(common, tables)["id"].columns == ["id", "a__x", "b__y"]
+    (tmp_path / "groups.json").write_text('{"team": ["a",\n "b"]}')
+    assert csv_source.read_json_config(spark, str(tmp_path / "groups.json")) == {"team": ["a", "b"]}
+
+
 def test_ranges_cover_every_key_once(spark):
     df = spark.createDataFrame([(v,) for v in (5, 6, 7, 100, 101, 250, 251, 251, None)], "k long")
     bounds = copying.range_bounds(df, "k", 7)
