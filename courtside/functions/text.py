@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from courtside.constants import CSV_MISSING, NUMERIC_PART, NUMERIC_TEXT, SENTINEL_TEXTS
 
-# A whole plain number, also with a trailing point ("12."). The pattern keeps
-# out the hex and suffixed forms ("0x1p3", "1d") that a JVM parse would take.
+# The patterns keep out the hex and suffixed forms ("0x1p3", "1d") that a JVM
+# parse would take, and they are cheap: a cast that fails costs an exception.
+_WHOLE_NUMBER = r"^\s*[-+]?[0-9]+\s*$"
 _PLAIN_NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 
 
@@ -19,12 +20,12 @@ def to_double(text: Column) -> Column:
 
 def to_bigint(text: Column) -> Column:
     """The whole number a text spells, NULL for anything else, also for '3.0'."""
-    return text.try_cast("bigint")
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint"))
 
 
 def to_integer(text: Column) -> Column:
     """As :func:`to_bigint`, for 32 bits."""
-    return text.try_cast("int")
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("int"))
 
 
 def csv_value(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,11 @@ QUARTILES = (0.25, 0.5, 0.75)
 # distinct value; with fewer, the counting shuffle would cost more than it saves.
 ROWS_PER_VALUE = 20
 
+# Up to so many values are spread over the cores by hand.
+SPREAD_ROWS = 5_000_000
 
-def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
+
+def ranges_of(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
     """Per column n, about how many distinct values, ends, mean and deviation, in one pass."""
     rows = (
         long_numbers(df, columns)
@@ -42,20 +46,26 @@ def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
     return {row["column"]: row for row in rows}
 
 
-def counted_values(df: DataFrame, ranges: Mapping[str, Row]) -> tuple[DataFrame | None, DataFrame | None]:
-    """(column, value, w) of the columns with few distinct values, counted, and of the others, as they come.
+def weighted_values(df: DataFrame, ranges: Mapping[str, Row]) -> DataFrame:
+    """(column, value, w): values of columns with few distinct ones counted, others as they come.
 
-    The counts of columns with few values are stored, as several passes use them.
+    The counts are stored, as several passes use them. Where all values are few
+    rows, they are spread over the cores, as every row is about to be worked on
+    a hundred times; larger inputs come in enough partitions.
     """
+    spark = df.sparkSession
     few = [c for c, row in ranges.items() if row["n_values"] * ROWS_PER_VALUE <= row["n"]]
     many = [c for c in ranges if c not in few]
-    counted = scattered = None
+    parts = []
     if few:
         counts = long_numbers(df, few).groupBy("column", "value").agg(F.count(F.lit(1)).alias("w"))
-        counted = materialize(counts, "counted")
+        parts.append(materialize(counts, "counted"))
     if many:
-        scattered = long_numbers(df, many).select("column", "value", F.lit(1).cast("bigint").alias("w"))
-    return counted, scattered
+        values = long_numbers(df, many).select("column", "value", F.lit(1).cast("bigint").alias("w"))
+        if sum(ranges[c]["n"] for c in many) <= SPREAD_ROWS:
+            values = values.repartition(spark.sparkContext.defaultParallelism)
+        parts.append(values)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _edges(row: Row) -> tuple[float, float]:
@@ -73,7 +83,7 @@ def histogram(
     The bins of a column are the same for all groups; the last one is closed.
     Bins that hold nothing are there with 0.
     """
-    ranges = _ranges(df, columns)
+    ranges = ranges_of(df, columns)
     spark = df.sparkSession
     ends = {c: _edges(row) for c, row in ranges.items()}
     # One row per column: bounded by the schema, not by the data.
@@ -161,15 +171,14 @@ def kernel_density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     Every value adds to all points of the grid within its task, so only
     ``points`` rows per task travel. Where values repeat, they are counted first.
     """
-    ranges = _ranges(df, [column])
+    ranges = ranges_of(df, [column])
     row = ranges[column]
     h = row["std"] * row["n"] ** -0.2
     step = (row["high"] - row["low"]) / (points - 1)
-    counted, scattered = counted_values(df, ranges)
     x = F.lit(row["low"]) + F.col("point") * F.lit(step)
     z = (x - F.col("value")) / F.lit(h)
     return (
-        (counted if scattered is None else scattered)
+        weighted_values(df, ranges)
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy("point")
         .agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("_sum"))
@@ -254,12 +263,12 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], refine: bool = True)
     A grid finds the neighbourhood, moving on when the best exponent is at its
     end; finer grids and a parabola through the best three points follow.
     """
-    ranges = _ranges(df, columns)
+    ranges = ranges_of(df, columns)
     means = {c: row["mean"] for c, row in ranges.items()}
-    sources = [part for part in counted_values(df, ranges) if part is not None]
+    values = weighted_values(df, ranges)
 
     def best(exponents: Mapping[str, Sequence[float]]) -> dict[str, list[Row]]:
-        rows = [row for part in sources for row in log_likelihood(part, exponents, means).collect()]
+        rows = log_likelihood(values, exponents, means).collect()
         return {
             c: sorted((r for r in rows if r["column"] == c and math.isfinite(r["loglik"] or math.nan)),
                       key=lambda r: r["lambda"])

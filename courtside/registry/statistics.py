@@ -176,11 +176,10 @@ def yj_loglik_grid(t):
     """Log-likelihood of the power transform on the whole exponent grid."""
     parts = []
     for df, columns in ((t["v_game"], _YJ_COLUMNS), (t["customer"], ("c_acctbal",))):
-        ranges = stats._ranges(df, columns)
+        ranges = stats.ranges_of(df, columns)
         means = {c: row["mean"] for c, row in ranges.items()}
-        for values in stats.counted_values(df, ranges):
-            if values is not None:
-                parts.append(stats.log_likelihood(values, {c: stats.lambda_grid() for c in columns}, means))
+        grid = {c: stats.lambda_grid() for c in columns}
+        parts.append(stats.log_likelihood(stats.weighted_values(df, ranges), grid, means))
     return reduce(DataFrame.unionByName, parts).select("column", "lambda", "n", F.round("loglik", 3).alias("loglik"))
 
 
