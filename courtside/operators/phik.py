@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from courtside.constants import CORRELATION_THRESHOLD, PHIK_BINS
 from courtside.operators.cleaning import varying_columns
-from courtside.session import materialize
+from courtside.session import materialize, ship_package
 
 # A side with more bins than this is integrated over instead of binned.
 FINE_BINS = 2000
@@ -199,6 +199,7 @@ def _phik_batches(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Serie
 
 def phik_pairs(df: DataFrame, interval_columns: Sequence[str], bins: int = PHIK_BINS) -> DataFrame:
     """(column_1, column_2, n, n_1, n_2, chi2, phik) for every pair of columns that vary."""
+    ship_package(df.sparkSession)
     correlation = F.pandas_udf("double")(_phik_batches)
     chi2 = contingency_chi2(binned(df, interval_columns, bins))
     # Few rows with much work in each: one task per pair, not one for all.

@@ -15,7 +15,7 @@ from courtside.constants import HISTOGRAM_BINS, MAX_HUE_FEATURES, MAX_HUE_VALUES
 from courtside.operators.profile import few_values
 from courtside.operators.quantiles import SORT_ROWS, exact_quantiles, long_numbers, quantiles_and_groups
 from courtside.operators.windows import BROADCAST_ROWS
-from courtside.session import materialize
+from courtside.session import materialize, ship_package
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -362,6 +362,7 @@ def id_density(df: DataFrame, column: str) -> DataFrame:
     The distinct ids are sorted by range, each partition is summed up where it
     is, and only the ends of the partitions are compared with each other.
     """
+    ship_package(df.sparkSession)
     ids = df.select(F.col(column).cast("bigint").alias("id")).where(F.col("id").isNotNull()).distinct()
     parts = ids.orderBy("id").mapInPandas(
         _gap_summary, "first long, last long, n long, wide long, least long, most long"

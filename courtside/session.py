@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/courtside/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Functions that run in tasks are sent by name, and a worker that was not
+    started in this folder, or on this machine, would not find them.
+    """
+    package = Path(__file__).parent
+    context = spark.sparkContext
+    if context.applicationId in _shipped or not package.is_dir():
+        return
+    # The driver reads the archive from here and hands it to the workers itself.
+    archive = Path(tempfile.mkdtemp(prefix="courtside-")) / package.name
+    context.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+    _shipped.add(context.applicationId)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
