@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from courtside.operators.windows import BROADCAST_ROWS
+
 # Most values of a group that are sorted in one task.
 SORT_ROWS = 500_000
 
@@ -50,10 +52,11 @@ class _Interval:
 
 
 def _interval_frame(df: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
-    """Few rows: at most two ranks per group and probability."""
+    """Few rows: at most two ranks per long group and probability."""
     rows = [(i, iv.group, iv.column, iv.low, iv.high) for i, iv in enumerate(intervals)]
     schema = "id int, group string, column string, low double, high double"
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    frame = df.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(frame) if len(rows) <= BROADCAST_ROWS else frame
 
 
 def _inside(numbers: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
@@ -94,7 +97,7 @@ def _sorted_values(numbers: DataFrame, intervals: Sequence[_Interval]) -> dict[t
     ranks = [(i, r - iv.below) for i, iv in enumerate(intervals) for r in iv.ranks]
     wanted = numbers.sparkSession.createDataFrame(ranks, "id int, rank int")
     values = _inside(numbers, intervals).groupBy("id").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    picked = values.join(F.broadcast(wanted), "id").select("id", "rank", F.get("values", F.col("rank")).alias("value"))
+    picked = values.join(wanted, "id").select("id", "rank", F.get("values", F.col("rank")).alias("value"))
     return {
         (intervals[row["id"]].group, intervals[row["id"]].column, row["rank"] + intervals[row["id"]].below): row["value"]
         for row in picked.collect()
@@ -164,6 +167,8 @@ def quantiles_and_groups(
         names = numbers.sparkSession.createDataFrame(
             [(g["group"], g["column"]) for g in long_groups], "of_group string, of_column string"
         )
+        if len(long_groups) <= BROADCAST_ROWS:
+            names = F.broadcast(names)
         same = F.col("group").eqNullSafe(F.col("of_group")) & (F.col("column") == F.col("of_column"))
         short = numbers.join(names, same, "left_anti")
     result = short.groupBy("group", "column").agg(

@@ -12,12 +12,23 @@ from courtside.sources.stores import FolderStore
 
 _ROSTER_VIEWS = ("v_line_score", "v_play_by_play", "v_common_player_info")
 
-_TEAM_POINTS = """team_points AS (
-  SELECT game_id, team_id_home AS team_id, pts_home AS final_score FROM v_line_score
-  UNION ALL
-  SELECT game_id, team_id_away, pts_away FROM v_line_score
+_SCORES = """scores AS (
+  SELECT game_id, unnest([team_id_home, team_id_away]) AS team_id, unnest([pts_home, pts_away]) AS final_score
+  FROM v_line_score
 )"""
 
+_SEEN = " UNION ".join(
+    f"""SELECT game_id, player{slot}_team_id AS team_id, player{slot}_id AS player_id FROM v_play_by_play
+  WHERE player{slot}_id IS NOT NULL"""
+    for slot in (1, 2, 3)
+)
+
+_BIO_INTEGERS = ("from_year", "to_year", "draft_year", "draft_round", "draft_number")
+_BIO_TEXTS = ("first_name", "last_name", "position", "height", "weight", "season_exp", *_BIO_INTEGERS)
+_SIDE_COLUMNS = ("final_score", "team_id_home", "team_id_away", "pts_home", "pts_away")
+_PLAY_COLUMNS = ("eventnum", "player1_id", "player1_team_id", "player2_id", "player2_team_id", "player3_id",
+                 "player3_team_id")
+
 _HEIGHT = """CASE WHEN len(string_split(coalesce(height, ''), '-')) = 2
     THEN TRY_CAST(string_split(height, '-')[1] AS INTEGER) * 12 + TRY_CAST(string_split(height, '-')[2] AS INTEGER)
   END"""
@@ -30,33 +41,24 @@ def _roster_inputs(t):
 @query(
     "roster_scores",
     checked(*_ROSTER_VIEWS, sql=f"""
-WITH {_TEAM_POINTS}, roster AS (
-  SELECT game_id, player1_team_id AS team_id, player1_id AS player_id FROM v_play_by_play WHERE player1_id IS NOT NULL
-  UNION
-  SELECT game_id, player2_team_id, player2_id FROM v_play_by_play WHERE player2_id IS NOT NULL
-  UNION
-  SELECT game_id, player3_team_id, player3_id FROM v_play_by_play WHERE player3_id IS NOT NULL
-)
-SELECT tp.game_id, tp.team_id, tp.final_score, r.player_id, first_name, last_name, position, height, weight
-FROM team_points tp JOIN roster r ON tp.game_id = r.game_id AND tp.team_id = r.team_id
-JOIN v_common_player_info ON person_id = r.player_id
-ORDER BY tp.game_id, tp.team_id, last_name, first_name"""),
+WITH {_SCORES}, seen AS ({_SEEN})
+SELECT game_id, team_id, final_score, player_id, first_name, last_name, position, height, weight
+FROM scores JOIN seen USING (game_id, team_id) JOIN v_common_player_info ON player_id = person_id"""),
 )
 def roster_scores(t):
     return rosters.roster_scores(*_roster_inputs(t))
 
 
 _TYPED = f"""
-WITH {_TEAM_POINTS}, pbp AS (
-  SELECT DISTINCT game_id, player1_team_id AS team_id, player1_id AS player_id FROM v_play_by_play WHERE player1_id != 0
+WITH {_SCORES}, seen AS (
+  SELECT player1_id AS player_id, player1_team_id AS team_id, game_id FROM v_play_by_play
+  WHERE player1_id <> 0 GROUP BY ALL
 )
-SELECT t.game_id, t.team_id, t.final_score, pbp.player_id, first_name, last_name, season_exp,
-  {_HEIGHT} AS height_in,
-  TRY_CAST(weight AS REAL) AS weight, TRY_CAST(from_year AS INTEGER) AS from_year,
-  TRY_CAST(to_year AS INTEGER) AS to_year, TRY_CAST(draft_year AS INTEGER) AS draft_year,
-  TRY_CAST(draft_round AS INTEGER) AS draft_round, TRY_CAST(draft_number AS INTEGER) AS draft_number
-FROM team_points t JOIN pbp ON pbp.game_id = t.game_id AND pbp.team_id = t.team_id
-LEFT JOIN v_common_player_info ON person_id = pbp.player_id"""
+SELECT game_id, team_id, final_score, player_id, first_name, last_name, season_exp,
+  {_HEIGHT} AS height_in, TRY_CAST(weight AS REAL) AS weight,
+  {", ".join(f"TRY_CAST({c} AS INTEGER) AS {c}" for c in _BIO_INTEGERS)}
+FROM scores JOIN seen USING (game_id, team_id)
+LEFT JOIN v_common_player_info ON player_id = person_id"""
 
 
 @query("roster_scores_typed", checked(*_ROSTER_VIEWS, sql=_TYPED))
@@ -66,7 +68,7 @@ def roster_scores_typed(t):
 
 @query(
     "roster_left_top100",
-    checked(*_ROSTER_VIEWS, sql=_TYPED + "\nORDER BY t.game_id, t.team_id, pbp.player_id LIMIT 100"),
+    checked(*_ROSTER_VIEWS, sql=_TYPED + "\nORDER BY game_id, team_id, player_id LIMIT 100"),
 )
 def roster_left_top100(t):
     return rosters.roster_top(*_roster_inputs(t), n=100)
@@ -75,28 +77,17 @@ def roster_left_top100(t):
 @query(
     "roster_star",
     checked(*_ROSTER_VIEWS, sql=f"""
-WITH t AS (
-  SELECT game_id, team_id_home AS team_id, pts_home AS final_score, team_id_home, team_id_away, pts_home, pts_away
+WITH sides AS (
+  SELECT *, unnest([team_id_home, team_id_away]) AS team_id, unnest([pts_home, pts_away]) AS final_score
   FROM v_line_score
-  UNION ALL
-  SELECT game_id, team_id_away, pts_away, team_id_home, team_id_away, pts_home, pts_away FROM v_line_score
-), pbp AS (
-  SELECT DISTINCT player1_team_id AS team_id, player1_id AS player_id, * FROM v_play_by_play WHERE player1_id != 0
-)
-SELECT t.game_id, t.team_id, t.final_score AS t__final_score, t.team_id_home AS t__team_id_home,
-  t.team_id_away AS t__team_id_away, t.pts_home AS t__pts_home, t.pts_away AS t__pts_away,
-  pbp.player_id AS pbp__player_id, eventnum AS pbp__eventnum, player1_id AS pbp__player1_id,
-  player1_team_id AS pbp__player1_team_id, player2_id AS pbp__player2_id, player2_team_id AS pbp__player2_team_id,
-  player3_id AS pbp__player3_id, player3_team_id AS pbp__player3_team_id,
-  first_name AS cpi__first_name, last_name AS cpi__last_name, position AS cpi__position, height AS cpi__height,
-  weight AS cpi__weight, season_exp AS cpi__season_exp, from_year AS cpi__from_year, to_year AS cpi__to_year,
-  draft_year AS cpi__draft_year, draft_round AS cpi__draft_round, draft_number AS cpi__draft_number,
-  {_HEIGHT} AS cpi__height_in, TRY_CAST(weight AS REAL) AS cpi__weight_cast,
-  TRY_CAST(from_year AS INTEGER) AS cpi__from_year_cast, TRY_CAST(to_year AS INTEGER) AS cpi__to_year_cast,
-  TRY_CAST(draft_year AS INTEGER) AS cpi__draft_year_cast, TRY_CAST(draft_round AS INTEGER) AS cpi__draft_round_cast,
-  TRY_CAST(draft_number AS INTEGER) AS cpi__draft_number_cast
-FROM t JOIN pbp ON pbp.game_id = t.game_id AND pbp.team_id = t.team_id
-LEFT JOIN v_common_player_info ON person_id = pbp.player_id"""),
+), plays AS (SELECT DISTINCT * FROM v_play_by_play WHERE player1_id <> 0)
+SELECT game_id, team_id, {", ".join(f"sides.{c} AS t__{c}" for c in _SIDE_COLUMNS)},
+  player1_id AS pbp__player_id, {", ".join(f"plays.{c} AS pbp__{c}" for c in _PLAY_COLUMNS)},
+  {", ".join(f"{c} AS cpi__{c}" for c in _BIO_TEXTS)}, {_HEIGHT} AS cpi__height_in,
+  TRY_CAST(weight AS REAL) AS cpi__weight_cast,
+  {", ".join(f"TRY_CAST({c} AS INTEGER) AS cpi__{c}_cast" for c in _BIO_INTEGERS)}
+FROM sides JOIN plays USING (game_id) LEFT JOIN v_common_player_info ON player1_id = person_id
+WHERE player1_team_id = team_id"""),
 )
 def roster_star(t):
     return rosters.roster_star(*_roster_inputs(t))
@@ -122,16 +113,17 @@ def pbp_game_join(t):
         "v_player", "v_player_bio", "v_draft_history", "v_team", "v_team_details", "v_game", "v_game_summary",
         "v_commentary",
         sql="""
-SELECT p.player_id, pi.display_first_last AS player_name, t.team_name, td.season_year, g.game_id,
-  g.game_date_est AS game_date, s.pts AS team_points, pbp.comment AS play_commentary
-FROM v_player p
-LEFT JOIN v_player_bio pi ON p.player_id = pi.player_id
-LEFT JOIN v_draft_history dh ON p.player_id = dh.player_id
-LEFT JOIN v_team t ON p.team_id = t.team_id
-LEFT JOIN v_team_details td ON t.team_id = td.team_id
-LEFT JOIN v_game g ON p.game_id = g.game_id
-LEFT JOIN v_game_summary s ON g.game_id = s.game_id
-LEFT JOIN v_commentary pbp ON g.game_id = pbp.game_id""",
+WITH people AS (
+  SELECT player_id, team_id AS of_team, game_id AS of_game, display_first_last AS player_name
+  FROM v_player LEFT JOIN v_player_bio USING (player_id)
+), drafted AS (SELECT people.* FROM people LEFT JOIN v_draft_history USING (player_id)),
+teams AS (SELECT team_id, team_name, season_year FROM v_team LEFT JOIN v_team_details USING (team_id)),
+games AS (
+  SELECT v_game.game_id, game_date_est AS game_date, pts AS team_points, comment AS play_commentary
+  FROM v_game LEFT JOIN v_game_summary USING (game_id) LEFT JOIN v_commentary USING (game_id)
+)
+SELECT player_id, player_name, team_name, season_year, game_id, game_date, team_points, play_commentary
+FROM drafted LEFT JOIN teams ON of_team = team_id LEFT JOIN games ON of_game = game_id""",
     ),
 )
 def merged_left_chain(t):
@@ -172,17 +164,14 @@ def joined_table_export(t):
     return export_join(t.spark, joins, FolderStore(scratch_path(t.spark, "joined")))[1]
 
 
-@query("team_points", checked("v_line_score", sql=f"WITH {_TEAM_POINTS} SELECT * FROM team_points"))
+@query("team_points", checked("v_line_score", sql=f"WITH {_SCORES} SELECT * FROM scores"))
 def team_points(t):
     return unions.team_points(t["v_line_score"])
 
 
 @query(
     "distinct_roster",
-    checked("v_play_by_play", sql="""
-SELECT game_id, player1_team_id AS team_id, player1_id AS player_id FROM v_play_by_play WHERE player1_id IS NOT NULL
-UNION SELECT game_id, player2_team_id, player2_id FROM v_play_by_play WHERE player2_id IS NOT NULL
-UNION SELECT game_id, player3_team_id, player3_id FROM v_play_by_play WHERE player3_id IS NOT NULL"""),
+    checked("v_play_by_play", sql=_SEEN),
 )
 def distinct_roster(t):
     return unions.distinct_roster(t["v_play_by_play"])
@@ -192,9 +181,7 @@ def distinct_roster(t):
     "typed_player_info",
     checked("v_common_player_info", sql=f"""
 SELECT person_id, {_HEIGHT} AS height_in, TRY_CAST(weight AS REAL) AS weight,
-  TRY_CAST(from_year AS INTEGER) AS from_year, TRY_CAST(to_year AS INTEGER) AS to_year,
-  TRY_CAST(draft_year AS INTEGER) AS draft_year, TRY_CAST(draft_round AS INTEGER) AS draft_round,
-  TRY_CAST(draft_number AS INTEGER) AS draft_number FROM v_common_player_info"""),
+  {", ".join(f"TRY_CAST({c} AS INTEGER) AS {c}" for c in _BIO_INTEGERS)} FROM v_common_player_info"""),
 )
 def typed_player_info(t):
     info = t["v_common_player_info"]

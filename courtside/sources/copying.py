@@ -7,8 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.operators.types import spark_schema
 from courtside.operators.unions import stack_tables
-from courtside.sources.csv import group_files, load_csv, table_files
+from courtside.sources.csv import group_files, profiled_csv, table_files, typed
 
 OUTCOME = "table_name string, status string, rows_source long, rows_target long, error string"
 
@@ -18,14 +19,20 @@ def _outcome(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, OUTCOME)
 
 
-def _copy_one(spark: SparkSession, read: Callable[[], DataFrame], target, table: str, mode: str) -> tuple:
-    """Copy one table; whatever goes wrong is reported and does not stop the others."""
+Reader = Callable[[], tuple[DataFrame, int | None]]
+
+
+def _copy_one(spark: SparkSession, read: Reader, target, table: str, mode: str) -> tuple:
+    """Copy one table; whatever goes wrong is reported and does not stop the others.
+
+    ``read`` gives the table, and its row count where reading it told.
+    """
     try:
-        source = read()
-        if source.isEmpty():
+        source, rows = read()
+        rows = source.count() if rows is None else rows
+        if rows == 0:
             return (table, "skipped", 0, None, None)
         before = target.read(spark, table).count() if mode == "append" and table in target.tables(spark) else 0
-        rows = source.count()
         target.write(source, table, mode)
         written = target.read(spark, table).count() - before
         return (table, "copied" if written == rows else "mismatch", rows, written, None)
@@ -48,8 +55,12 @@ def copy_tables(
     """
     names = source.tables(spark) if tables is None else tables
 
-    def reader(table: str) -> Callable[[], DataFrame]:
-        return lambda: clean(source.read(spark, table)) if clean else source.read(spark, table)
+    def reader(table: str) -> Reader:
+        def read():
+            df = source.read(spark, table)
+            return (clean(df) if clean else df), None
+
+        return read
 
     return _outcome(spark, [_copy_one(spark, reader(t), target, t, mode) for t in names])
 
@@ -81,7 +92,7 @@ def consolidate(
     return result
 
 
-def merge_databases(spark: SparkSession, sources: Mapping[str, object], target) -> DataFrame:
+def unite_databases(spark: SparkSession, sources: Mapping[str, object], target) -> DataFrame:
     """All tables of several databases in one; tables of the same name are appended to each other.
 
     The target is replaced, so a second run does not repeat rows.
@@ -91,10 +102,12 @@ def merge_databases(spark: SparkSession, sources: Mapping[str, object], target)
         for table in store.tables(spark):
             by_table.setdefault(table, {})[database] = store
 
-    def reader(table: str) -> Callable[[], DataFrame]:
-        return lambda: stack_tables(
-            {database: store.read(spark, table) for database, store in by_table[table].items()}, source_column=None
-        )
+    def reader(table: str) -> Reader:
+        def read():
+            parts = {database: store.read(spark, table) for database, store in by_table[table].items()}
+            return stack_tables(parts, source_column=None), None
+
+        return read
 
     return _outcome(spark, [_copy_one(spark, reader(t), target, t, "overwrite") for t in sorted(by_table)])
 
@@ -124,8 +137,13 @@ def load_csv_folder(
         for table in files:
             target.drop(spark, table)
 
-    def reader(path: str) -> Callable[[], DataFrame]:
-        return lambda: load_csv(spark, path, ladder, **options)
+    def reader(path: str) -> Reader:
+        def read():
+            text, profiles = profiled_csv(spark, path)
+            rows = profiles[0]["n_rows"] if profiles else 0
+            return typed(text, spark_schema(profiles, ladder, **options)), rows
+
+        return read
 
     return _outcome(spark, [_copy_one(spark, reader(path), target, t, mode) for t, path in files.items()])
 

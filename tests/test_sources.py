@@ -109,7 +109,7 @@ def test_merge_is_the_same_when_run_again(spark, tmp_path, database):
     two.write(spark.createDataFrame([(2, 5)], "id long, age long"), "people")
     two.write(spark.range(3), "other")
     for _ in range(2):
-        outcome = copying.merge_databases(spark, {"one": one, "two": two}, database)
+        outcome = copying.unite_databases(spark, {"one": one, "two": two}, database)
         assert {r["table_name"]: r["rows_target"] for r in outcome.collect()} == {"people": 2, "other": 3}
     assert set(database.read(spark, "people").columns) == {"id", "name", "age"}
     stacked, skipped = unions.stack_database(spark, database.database, limit=1)
