@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Over how many partitions the rows without a key are spread.
@@ -22,22 +22,29 @@ NULL_KEY_SPREAD = 1024
 COPIES_PER_PIECE = 100_000
 
 
-def left_lookup(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
-    """Left join to a dimension on one key; rows with a NULL key are kept, and spread.
+def _spread_keys(left: DataFrame, right: DataFrame, key: str, right_key: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with a second join key that spreads the left rows without a first one.
 
-    The second join key is 0 for every row that can match and 1 to
-    ``NULL_KEY_SPREAD`` for the others, so these are hashed apart. On the right
-    it is written as a remainder, as a plain 0 would be folded out of the keys.
-    The right key column is not in the result.
+    It is 0 for every row that can match and 1 to ``NULL_KEY_SPREAD`` for the
+    others, so these are hashed apart. On the right it is written as a
+    remainder, as a plain 0 would be folded out of the keys.
     """
     spread = F.when(
         F.col(key).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_KEY_SPREAD)) + 1
     ).otherwise(F.lit(0).cast("bigint"))
     keyed_left = left.withColumn("_spread", spread)
-    keyed_right = right.withColumnRenamed(right_key or key, "_key").withColumn(
+    keyed_right = right.withColumnRenamed(right_key, "_key").withColumn(
         "_zero", F.pmod(F.xxhash64("_key"), F.lit(1).cast("bigint"))
     )
-    on = (F.col(key) == F.col("_key")) & (F.col("_spread") == F.col("_zero"))
+    return keyed_left, keyed_right, (F.col(key) == F.col("_key")) & (F.col("_spread") == F.col("_zero"))
+
+
+def left_lookup(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
+    """Left join to a dimension on one key; rows with a NULL key are kept, and spread.
+
+    The right key column is not in the result.
+    """
+    keyed_left, keyed_right, on = _spread_keys(left, right, key, right_key or key)
     return keyed_left.join(keyed_right, on, "left").drop("_key", "_spread", "_zero")
 
 
@@ -49,7 +56,8 @@ def left_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     distinct keys, which are merged before they are shuffled.
     """
     matched = left.join(right, key)
-    unmatched = left.join(right.select(key).distinct(), key, "left_anti")
+    keyed_left, keyed_right, on = _spread_keys(left, right.select(key).distinct(), key, key)
+    unmatched = keyed_left.join(keyed_right, on, "left_anti").drop("_spread")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 

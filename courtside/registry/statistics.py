@@ -191,18 +191,14 @@ WITH {_YJ_GRID}, best AS (
   FROM scores GROUP BY "column")
 SELECT game_id, {", ".join(
         f'''round((SELECT ({_transform_sql(f"CAST({c} AS DOUBLE)", chr(34) + "lambda" + chr(34))} - mean) / sqrt(var)
-  FROM best WHERE "column" = '{c}'), 6) AS {c}''' for c in _YJ_COLUMNS)}
+  FROM best WHERE "column" = '{c}'), 4) + 0.0 AS {c}''' for c in _YJ_COLUMNS)}
 FROM v_game"""),
 )
 def yj_transform(t):
     """Columns transformed with the best exponent of the grid, and standardised."""
     games = t["v_game"].select("game_id", *_YJ_COLUMNS)
     fitted = stats.fit_yeo_johnson(games, _YJ_COLUMNS, refine=False)
-    return _rounded6(stats.apply_yeo_johnson(games, fitted))
-
-
-def _rounded6(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in _YJ_COLUMNS})
+    return _rounded(stats.apply_yeo_johnson(games, fitted), *_YJ_COLUMNS)
 
 
 @query("yj_fit", None)
