@@ -13,6 +13,15 @@ _WHOLE_NUMBER = r"^\s*[-+]?[0-9]+\s*$"
 _PLAIN_NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 
 
+def _found(text: Column, pattern: str, group: int) -> Column:
+    """What a pattern finds in a text; NULL, not '', where it finds nothing.
+
+    Going through an array runs the pattern once; ``nullif`` would run it twice.
+    """
+    found = F.array(F.regexp_extract(text, pattern, group))
+    return F.get(F.filter(found, lambda part: part != ""), F.lit(0))
+
+
 def to_double(text: Column) -> Column:
     """The number a text spells, NULL for anything else."""
     return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
@@ -61,7 +70,7 @@ def string_to_number(text: Column) -> Column:
     return (
         F.when(F.length(text) == 0, None)
         .when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
-        .otherwise(F.regexp_extract(text, NUMERIC_PART, 0).try_cast("double"))
+        .otherwise(_found(text, NUMERIC_PART, 0).try_cast("double"))
     )
 
 
@@ -79,7 +88,7 @@ def json_number(text: Column) -> Column:
 
 def leading_integer(text: Column) -> Column:
     """Leading digits of a text as a whole number, 0 when there are none; NULL stays."""
-    digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
+    digits = _found(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
     return F.when(text.isNotNull(), F.coalesce(digits, F.lit(0)))
 
 
