@@ -59,7 +59,7 @@ def compare(spark, con, name: str, folder: str) -> str:
     ours = QUERIES[name](spark, folder).toArrow()
     if name not in ORACLES:
         return "" if ours.num_rows >= 0 else "no result"
-    theirs = con.execute(ORACLES[name]).to_arrow_table()
+    theirs = con.sql(ORACLES[name]).to_arrow_table()
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return f"columns {sorted(set(ours.column_names) ^ set(theirs.column_names))}"
     if _types(ours) != _types(theirs):
