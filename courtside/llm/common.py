@@ -13,6 +13,7 @@ from courtside.session import materialize, ship_package
 
 # White space between words, and what stands between words of letters, digits
 # and anything outside ASCII.
+SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 PLAIN_GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -45,12 +46,6 @@ def raw_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), PLAIN_GAP_ANY_CASE), "")
 
 
-def word_numbers(spaced: Column) -> Column:
-    """Struct (n_words, word_chars) of words joined by one space."""
-    words = F.when(spaced == "", F.lit(0)).otherwise(F.size(F.split(spaced, " "))).cast("long")
-    return let(words, lambda n: F.struct(n.alias("n_words"), (F.length(spaced) - F.greatest(n - 1, F.lit(0))).alias("word_chars")))
-
-
 def each_text(docs: DataFrame, fn: Callable, columns: list[str], schema: str) -> DataFrame:
     """Run ``fn(*values) -> row`` for every row, Arrow batches in and out.
 

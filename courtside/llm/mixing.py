@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import let, one_spaced, stored_copy, word_numbers
+from courtside.llm.common import SPACE, SPACE_CHARS, let, stored_copy
 
 # Weights dealt to the sources in order, repeating, and how each weight's
 # schedule leans: weight at the end minus weight at the start, half of it, as a
@@ -27,7 +27,8 @@ BUCKET_DIGITS = 3
 
 def word_count(text: Column) -> Column:
     """Words between white space; 0 for NULL."""
-    return let(one_spaced(text), lambda t: word_numbers(t).getField("n_words"))
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
+    return let(trimmed, lambda t: F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE))).cast("long"))
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:

@@ -9,12 +9,11 @@ references are sums over all documents of a language that are long enough.
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import SPACE_CHARS, let, one_spaced, stored_copy, word_numbers
+from courtside.llm.common import SPACE_CHARS, let, one_spaced, stored_copy
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]+"
@@ -37,46 +36,55 @@ COMMON_WORDS = {
 }
 
 
-def text_counts(text: Column, spaced: Column) -> Column:
-    """Struct of the counted values of a text, given as it is and with its words joined by one space."""
+def repeated_lines(text: Column) -> Column:
+    """Lines with a word that are equal to an earlier line."""
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "")
-    return let(
-        word_numbers(spaced),
-        lambda n: F.struct(
-            n.getField("n_words").alias("n_words"),
-            n.getField("word_chars").alias("word_chars"),
-            (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            repeated_words(spaced).cast("long").alias("n_repeat_words"),
-        ),
-    )
+    return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def repeated_words(spaced: Column, window: int = WINDOW) -> Column:
+def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """Words covered by windows that occur twice or more, first ones included.
 
-    A pattern that looks ahead at each word lists the windows. Only texts with
-    fewer distinct windows than windows are sorted.
+    Words and windows are told apart by 64-bit hashes. Only texts with fewer
+    distinct windows than windows are sorted.
     """
-    one = "[^ ]++"
-    windows = F.regexp_extract_all(spaced, F.lit("(?:^|(?<= ))(?=(" + " ".join([one] * window) + "))"), F.lit(1))
-
-    def covered(texts: Column) -> Column:
-        ordered = F.sort_array(F.transform(texts, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
-        same = lambda x, y: F.coalesce(x.getField("w") == y.getField("w"), F.lit(False))
-        twice = let(
-            ordered,
-            lambda o: F.filter(o, lambda e, j: F.when(j > 0, same(F.get(o, j - 1), e)).otherwise(False) | same(F.get(o, j + 1), e)),
-        )
-        starts = F.sort_array(F.transform(twice, lambda e: e.getField("i")))
-        return let(
-            starts,
-            lambda s: F.aggregate(
-                F.transform(s, lambda p, j: F.least(F.lit(window), F.coalesce(F.get(s, j + 1) - p, F.lit(window)))), F.lit(0), lambda a, x: a + x
-            ),
+
+    def after(h: Column, step: int) -> Column:
+        return F.slice(h, step + 1, F.greatest(F.size(h) - step, F.lit(0)))
+
+    def windows(h: Column) -> Column:
+        """Hashes of growing runs: of n words, then n more, as far as the window."""
+        join = lambda x, y: F.xxhash64(x, y)
+        if window == 1:
+            return h
+        runs, length = h, 1
+        while 2 * length <= window:
+            runs, length = let(runs, lambda r, step=length: F.zip_with(r, after(r, step), join)), 2 * length
+        for length in range(length, window):
+            runs = F.zip_with(runs, after(h, length), join)
+        return F.slice(runs, 1, F.greatest(F.size(h) - (window - 1), F.lit(0)))
+
+    def covered(keys: Column) -> Column:
+        """A walk over the windows beside those that occur once, which stand in the same order."""
+        twice = let(F.sort_array(keys), lambda o: F.array_distinct(F.filter(o, lambda x, j: F.when(j > 0, F.get(o, j - 1) == x).otherwise(False))))
+        return let(F.array_except(keys, twice), lambda once: F.aggregate(keys, start, lambda a, x: step(a, x, once), lambda a: a.getField("n")))
+
+    start = F.struct(*[F.lit(0).alias(f) for f in ("seen", "at", "end", "n")])
+
+    def step(a: Column, key: Column, once: Column) -> Column:
+        single = F.coalesce(F.get(once, a.getField("seen")) == key, F.lit(False))
+        at, end = a.getField("at"), a.getField("end")
+        return F.struct(
+            (a.getField("seen") + single.cast("int")).alias("seen"),
+            (at + 1).alias("at"),
+            F.when(single, end).otherwise(at + window).alias("end"),
+            (a.getField("n") + F.when(single, 0).otherwise(at + window - F.greatest(end, at))).alias("n"),
         )
 
-    return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    return let(
+        let(hashes, windows), lambda keys: F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.lit(0)).otherwise(covered(keys))
+    )
 
 
 def class_counts(text: Column, word_chars: Column) -> Column:
@@ -90,50 +98,61 @@ def class_counts(text: Column, word_chars: Column) -> Column:
         return F.array(blank, lower, without(rest, "[A-Z]+"), without(rest, "[0-9]+"), without(rest, SYMBOLS), signs, F.octet_length(rest) - F.length(rest))
 
     # What is left without lower-case letters and white space is short.
-    return let(F.regexp_replace(text, r"[a-z\x20\x09-\x0D]+", ""), of).cast("array<double>")
+    return let(F.regexp_replace(text, r"[a-z\x20\x09-\x0D]+", ""), of)
 
 
 def vocabulary(common_words: dict[str, str] = COMMON_WORDS) -> list[str]:
     return sorted({w for words in common_words.values() for w in words.split()})
 
 
-def common_counts(spaced: Column, n_words: Column, listed: list[str]) -> Column:
-    """Counts of each listed word, and of all others at the end; of words joined by one space."""
-    found = F.regexp_extract_all(F.lower(spaced), F.lit("(?:^|(?<= ))(" + "|".join(re.escape(w) for w in listed) + ")(?= |$)"), F.lit(1))
-    count = lambda t, w: (F.length(t) - F.length(F.replace(t, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)
-    joined = lambda x: F.concat(F.lit(" "), F.array_join(x, "  "), F.lit(" "))
+def common_counts(words: Column, listed: list[str]) -> Column:
+    """Counts of each listed word, small or with a capital, and of all others at the end."""
+    spelled = sorted({*listed, *(w.capitalize() for w in listed)})
+    count = lambda t, n, w: (n - F.length(F.replace(t, F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)
+    joined = lambda x: F.lower(F.concat(F.lit(" "), F.array_join(x, "  "), F.lit(" ")))
     return let(
-        found, lambda x: F.concat(let(joined(x), lambda t: F.array(*[count(t, w) for w in listed])), F.array((n_words - F.size(x)).cast("double")))
+        F.filter(words, lambda w: w.isin(spelled)),
+        lambda x: F.concat(let(joined(x), lambda t: let(F.length(t), lambda n: F.array(*[count(t, n, w) for w in listed]))), F.array((F.size(words) - F.size(x)).cast("double"))),
     )
 
 
-def distance(counts: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance between counts and reference shares."""
-    log2 = lambda x: F.log2(x)
-    shares = F.array(*[F.lit(float(x)) for x in reference])
+def distances(counts: Column, known: list[list[float]]) -> Column:
+    """The smallest Jensen-Shannon distance (base 2) between counts and one of the reference shares."""
+    entropy = lambda x: F.when(x > 0, -x * F.log2(x)).otherwise(0.0)
+    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
-    def part(p: Column, q: Column) -> Column:
-        m = (p + q) / 2
-        return F.when(p > 0, p * log2(p / m)).otherwise(0.0) + F.when(q > 0, q * log2(q / m)).otherwise(0.0)
+    def to(shares: Column, own: Column, reference: list[float]) -> Column:
+        other = -math.fsum(q * math.log2(q) for q in reference if q > 0)
+        mean = F.zip_with(shares, F.array(*[F.lit(q) for q in reference]), lambda p, q: entropy((p + q) / 2))
+        return F.sqrt(F.greatest(total(mean) - (own + other) / 2, F.lit(0.0)))
 
-    def from_total(total: Column) -> Column:
-        parts = F.zip_with(counts, shares, lambda c, q: part(c / total, q))
-        return F.sqrt(F.greatest(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
+    def of(shares: Column) -> Column:
+        return let(total(F.transform(shares, entropy)), lambda own: F.least(*[to(shares, own, r) for r in known], F.lit(1.0)))
 
-    return let(F.greatest(F.aggregate(counts, F.lit(0.0), lambda a, x: a + x), F.lit(1.0)), from_total)
+    return let(let(F.greatest(total(counts), F.lit(1.0)), lambda n: F.transform(counts, lambda c: c / n)), of)
 
 
 def measured(docs: DataFrame, listed: list[str]) -> DataFrame:
     """``docs`` (text, any others) with the struct column ``m``: counts, chars, and both histograms, in one pass over the text."""
 
     def of(text: Column, spaced: Column) -> Column:
+        words = F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+        return let(words, lambda w: with_words(text, w, F.length(spaced) - F.greatest(F.size(w) - 1, F.lit(0))))
+
+    def with_words(text: Column, words: Column, word_chars: Column) -> Column:
         return let(
-            text_counts(text, spaced),
-            lambda c: F.struct(
-                c.alias("counts"),
+            class_counts(text, word_chars),
+            lambda classes: F.struct(
+                F.struct(
+                    F.size(words).cast("long").alias("n_words"),
+                    word_chars.cast("long").alias("word_chars"),
+                    F.get(classes, F.lit(4)).cast("long").alias("n_symbols"),
+                    repeated_lines(text).cast("long").alias("n_dup_lines"),
+                    repeated_words(words).cast("long").alias("n_repeat_words"),
+                ).alias("counts"),
                 F.length(text).alias("chars"),
-                class_counts(text, c.getField("word_chars")).alias("classes"),
-                common_counts(spaced, c.getField("n_words"), listed).alias("common"),
+                classes.cast("array<double>").alias("classes"),
+                common_counts(words, listed).alias("common"),
             ),
         )
 
@@ -176,7 +195,7 @@ def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), common_words:
     rows = docs.select(F.col("text"), F.col("lang"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     counted = stored_copy(measured(rows, listed).drop("text"), "measured")
     known = references(counted, listed)
-    nearest = lambda key: F.least(*[distance(F.col(f"m.{key}"), r[key]) for r in known], F.lit(1.0))
+    nearest = lambda key: distances(F.col(f"m.{key}"), [r[key] for r in known])
     guard = lambda enough, key: F.when(enough, nearest(key)) if known else F.lit(None).cast("double")
     n, repeat = F.col("m.counts.n_words"), F.col("m.counts.n_repeat_words")
     base = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
