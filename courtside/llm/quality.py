@@ -49,17 +49,19 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     distinct windows than windows are sorted.
     """
 
+    join = lambda x, y: F.xxhash64(x, y)
+
     def after(h: Column, step: int) -> Column:
         return F.slice(h, step + 1, F.greatest(F.size(h) - step, F.lit(0)))
 
+    def doubled(length: int):
+        return lambda r: F.zip_with(r, after(r, length), join)
+
     def windows(h: Column) -> Column:
         """Hashes of growing runs: of n words, then n more, as far as the window."""
-        join = lambda x, y: F.xxhash64(x, y)
-        if window == 1:
-            return h
         runs, length = h, 1
         while 2 * length <= window:
-            runs, length = let(runs, lambda r, step=length: F.zip_with(r, after(r, step), join)), 2 * length
+            runs, length = let(runs, doubled(length)), 2 * length
         for length in range(length, window):
             runs = F.zip_with(runs, after(h, length), join)
         return F.slice(runs, 1, F.greatest(F.size(h) - (window - 1), F.lit(0)))
