@@ -80,9 +80,9 @@ def grid(fps: DataFrame) -> DataFrame:
     return fps.select(F.explode(F.expr(f"concat({', '.join(points)})")).alias("point"), "fp")
 
 
-def _reach(fps: np.ndarray, bits: int) -> tuple[list[int], list[int]]:
+def _reach(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """One link per fingerprint to the first one of its component, by search."""
-    left, right = [], []
+    left, right = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
     rest = fps
     while len(rest) > 1:
         root, rest = rest[0], rest[1:]
@@ -93,9 +93,9 @@ def _reach(fps: np.ndarray, bits: int) -> tuple[list[int], list[int]]:
                 found = rest[near]
                 rest = rest[~near]
                 frontier.extend(found)
-                left.extend([int(root)] * len(found))
-                right.extend(found.tolist())
-    return left, right
+                left.append(np.full(len(found), root))
+                right.append(found)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _links(points: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +116,10 @@ def _links(points: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarray,
         p, f, n = p[wider], f[wider], n[wider]
     for head, size in zip(heads[sizes > SMALL_POINT], sizes[sizes > SMALL_POINT]):
         left, right = _reach(fps[head : head + size], bits)
-        a.append(np.array(left, np.int64))
-        b.append(np.array(right, np.int64))
-    return np.concatenate(a or [np.empty(0, np.int64)]), np.concatenate(b or [np.empty(0, np.int64)])
+        a.append(left)
+        b.append(right)
+    none = [np.empty(0, np.uint64)]
+    return np.concatenate(a or none).view(np.int64), np.concatenate(b or none).view(np.int64)
 
 
 def _search(bits: int):
@@ -128,10 +129,10 @@ def _search(bits: int):
             pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0) if len(left) else np.empty((0, 2), np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-        points, fps = np.empty(0, np.int64), np.empty(0, np.int64)
+        points, fps = np.empty(0, np.int64), np.empty(0, np.uint64)  # signed numbers are counted without their sign
         for batch in batches:
             points = np.r_[points, batch.column(0).to_numpy(zero_copy_only=False)]
-            fps = np.r_[fps, batch.column(1).to_numpy(zero_copy_only=False)]
+            fps = np.r_[fps, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)]
             if not len(points):
                 continue
             last = np.searchsorted(points, points[-1])  # the last point may go on in the next batch
