@@ -116,7 +116,6 @@ HISTOGRAM_BINS = 30
 PHIK_BINS = 10
 MAX_HUE_VALUES = 10
 MAX_HUE_FEATURES = 5
-PROFILE_SAMPLE_ROWS = 1000
 FLOAT32_LIMIT = 1e38
 MAX_VARCHAR = 255
 MIN_VARCHAR = 10

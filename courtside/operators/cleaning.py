@@ -22,6 +22,11 @@ def _replace(df: DataFrame, kinds: tuple[type, ...], change) -> DataFrame:
     )
 
 
+def quoted(column: str) -> str:
+    """A column name as one name, whatever is in it."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN as NULL in every float column."""
     return _replace(df, (T.FloatType, T.DoubleType), fx.nan_to_null)
@@ -60,10 +65,16 @@ def to_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) if c in wanted else F.col(c) for c in df.columns])
 
 
+def _value(df: DataFrame, column: str) -> Column:
+    """A column with NaN, which is no value, as NULL."""
+    value = F.col(quoted(column))
+    return fx.nan_to_null(value) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else value
+
+
 def drop_all_null_columns(df: DataFrame) -> DataFrame:
-    """Without the columns that hold no value at all; one aggregation decides."""
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
-    return df.select(*[c for c in df.columns if counts[c] > 0])
+    """Without the columns that hold nothing but NULL and NaN; one aggregation decides."""
+    counts = df.agg(*[F.count(_value(df, c)).alias(f"n_{i}") for i, c in enumerate(df.columns)]).first()
+    return df.select(*[quoted(c) for i, c in enumerate(df.columns) if counts[i] > 0])
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -72,19 +83,19 @@ def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def varying_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """Columns with more than one distinct value.
+    """Columns with more than one distinct value, NULL and NaN aside.
 
     That is where the smallest and the largest value differ, which needs no
     distinct count.
     """
     columns = list(df.columns if columns is None else columns)
-    row = df.agg(*[(F.min(c) != F.max(c)).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c]]
+    row = df.agg(*[(F.min(_value(df, c)) != F.max(_value(df, c))).alias(f"v_{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if row[i]]
 
 
 def drop_constant_columns(df: DataFrame) -> DataFrame:
     """Without the columns that have fewer than two distinct values."""
-    return df.select(*varying_columns(df))
+    return df.select(*[quoted(c) for c in varying_columns(df)])
 
 
 def demote_integral(df: DataFrame, forced_strings: Sequence[str] = FORCED_STRING_COLUMNS) -> DataFrame:

@@ -15,8 +15,8 @@ from courtside.plans.features import PLAYER_KEYS
 
 TRAIN_PERCENT = 80
 
-# Trees are grown deep, as an unlimited tree is, but not to single rows.
-MAX_DEPTH = 12
+# As deep as Spark grows trees.
+MAX_DEPTH = 30
 
 
 def in_training(percent: int = TRAIN_PERCENT) -> Column:

@@ -204,7 +204,7 @@ def phik_pairs(df: DataFrame, interval_columns: Sequence[str], bins: int = PHIK_
     chi2 = contingency_chi2(binned(df, interval_columns, bins))
     # Few rows with much work in each: one task per pair, not one for all.
     n_pairs = len(df.columns) * (len(df.columns) - 1) // 2
-    chi2 = chi2.repartition(max(1, min(n_pairs, 200)))
+    chi2 = chi2.repartition(max(1, n_pairs))
     return chi2.withColumn("phik", correlation("chi2", "n", "n_1", "n_2"))
 
 

@@ -98,15 +98,19 @@ def id_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, min, max) of the columns named like an id, or of those given.
 
     Text is read by its leading digits, NaN does not count, and a column
-    without values has no row.
+    without values has no row. Ranges are whole numbers, and doubles only if
+    one of the columns is not whole.
     """
     columns = [c for c in df.columns if "id" in c.lower()] if columns is None else list(columns)
     values = []
+    broken = {c for c in columns if isinstance(_field(df, c), (T.FractionalType, T.DecimalType))}
     for c in columns:
         is_text = isinstance(_field(df, c), T.StringType)
-        number = leading_integer(F.col(c)) if is_text else F.col(c)
-        values.append(F.nanvl(number.cast("double"), F.lit(None).cast("double")).alias(c))
-    long = df.select(*values).unpivot([], columns, "column", "value")
+        name = f"`{c}`"
+        whole = leading_integer(F.col(name)) if is_text else F.col(name).cast("bigint")
+        number = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double")) if c in broken else whole
+        values.append((number.cast("double") if broken else number).alias(c))
+    long = df.select(*values).unpivot([], [f"`{c}`" for c in columns], "column", "value")
     return (
         long.where(F.col("value").isNotNull())
         .groupBy("column")
@@ -201,10 +205,10 @@ def text_profile(df: DataFrame) -> DataFrame:
     n_bool, n_int, min_int, max_int, n_double, n_integral, max_abs, n_timestamp,
     max_len.
     """
-    places = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns) for x in (c, i)])
+    # One row per column, from the schema; a column of an empty table is there with zeros.
+    names = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "position int, column string")
     cells = (
-        df.select(*[csv_value(F.col(c)).alias(c) for c in df.columns])
-        .unpivot([], df.columns, "column", "text")
+        df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), csv_value(F.col(f"`{c}`")).alias("text")) for c in df.columns])))
         .withColumn("whole", to_bigint(F.col("text")))
         .withColumn("number", to_double(F.col("text")))
     )
@@ -222,7 +226,9 @@ def text_profile(df: DataFrame) -> DataFrame:
         F.count(F.when(F.col("number").isNull(), to_timestamp(text))).alias("n_timestamp"),
         F.coalesce(F.max(F.length(text)), F.lit(0)).alias("max_len"),
     )
-    return profile.select(places[F.col("column")].alias("position"), "*")
+    counts = [c for c in profile.columns if c.startswith("n_") or c == "max_len"]
+    found = F.broadcast(names).join(profile, "column", "left").na.fill(0, counts)
+    return found.select("position", *profile.columns)
 
 
 def mixed_type_report(df: DataFrame) -> DataFrame:

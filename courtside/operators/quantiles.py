@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from courtside.functions.text import is_finite
 from courtside.operators.windows import BROADCAST_ROWS
 
 # Most values of a group that are sorted in one task.
@@ -30,12 +31,10 @@ QUANTILES = "group string, column string, n long, quantiles array<double>"
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
-    """(group, column, value) of all numbers but NULL and NaN."""
+    """(group, column, value) of all finite numbers: NULL, NaN and infinities are no measurements."""
     group = F.col(by).cast("string") if by else F.lit("all")
     wide = df.select(group.alias("group"), *[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot(["group"], list(columns), "column", "value").where(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
+    return wide.unpivot(["group"], list(columns), "column", "value").where(is_finite(F.col("value")))
 
 
 @dataclass
@@ -68,7 +67,11 @@ def _inside(numbers: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
 
 
 def _narrow(numbers: DataFrame, intervals: Sequence[_Interval]) -> list[_Interval]:
-    place = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+    # The smallest value goes to the first bin and the largest to the last, so
+    # every pass narrows. Halves keep the width of the widest interval finite.
+    reach = F.col("high") - F.col("low")
+    halves = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+    place = F.when(reach < float("inf"), (F.col("value") - F.col("low")) / reach).otherwise(halves)
     bins = (
         _inside(numbers, intervals)
         .withColumn("bin", F.least(F.floor(place * BINS), F.lit(BINS - 1)))

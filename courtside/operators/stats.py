@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from courtside.constants import HISTOGRAM_BINS, MAX_HUE_FEATURES, MAX_HUE_VALUES
+from courtside.constants import HISTOGRAM_BINS
 from courtside.operators.profile import few_values
 from courtside.operators.quantiles import SORT_ROWS, exact_quantiles, long_numbers, quantiles_and_groups
 from courtside.operators.windows import BROADCAST_ROWS
@@ -142,20 +142,41 @@ def box_summary(
     )
 
 
+def left_out(
+    df: DataFrame, columns: Sequence[str], hues: Sequence[str], max_columns: int | None = None, max_values: int | None = None
+) -> dict[str, str]:
+    """What :func:`grouped_quartiles` would leave out under these limits, and why."""
+    out = {c: "past the number of columns" for c in (columns[max_columns:] if max_columns is not None else ())}
+    for hue in hues:
+        if hue not in df.columns:
+            out[hue] = "not a column"
+        elif max_values is not None and not few_values(df, hue, max_values):
+            out[hue] = "too many values"
+    return out
+
+
 def grouped_quartiles(
-    df: DataFrame, columns: Sequence[str], hues: Sequence[str], sort_rows: int = SORT_ROWS
+    df: DataFrame,
+    columns: Sequence[str],
+    hues: Sequence[str],
+    sort_rows: int = SORT_ROWS,
+    max_columns: int | None = None,
+    max_values: int | None = None,
 ) -> DataFrame | None:
-    """(hue, group, column, n, q1, median, q3) for the first few columns.
+    """(hue, group, column, n, q1, median, q3) of every column by every hue that is a column.
 
-    A hue that is not a column, or has too many values, is left out; None when
-    none is left.
+    ``max_columns`` takes the first columns only and ``max_values`` leaves out
+    hues with more values, as a figure would; both are off unless given, and
+    :func:`left_out` tells what they leave out. None when no hue is left.
     """
     result = None
+    skipped = left_out(df, columns, hues, max_columns, max_values)
+    columns = [c for c in columns if c not in skipped]
     for hue in hues:
-        if hue not in df.columns or not few_values(df, hue, MAX_HUE_VALUES):
+        if hue in skipped:
             continue
         known = df.where(F.col(hue).isNotNull())
-        quantiles = exact_quantiles(known, columns[:MAX_HUE_FEATURES], QUARTILES, hue, sort_rows)
+        quantiles = exact_quantiles(known, columns, QUARTILES, hue, sort_rows)
         q = F.col("quantiles")
         part = quantiles.select(
             F.lit(hue).alias("hue"), "group", "column", "n",
@@ -168,11 +189,14 @@ def grouped_quartiles(
 def kernel_density(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """(point, x, density): Gaussian kernels, Scott's bandwidth, from smallest to largest value.
 
+    There is no curve, and so no rows, for fewer than two different values.
     Every value adds to all points of the grid within its task, so only
     ``points`` rows per task travel. Where values repeat, they are counted first.
     """
     ranges = ranges_of(df, [column])
-    row = ranges[column]
+    row = ranges.get(column)
+    if row is None or row["n"] < 2 or row["low"] == row["high"]:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     h = row["std"] * row["n"] ** -0.2
     step = (row["high"] - row["low"]) / (points - 1)
     x = F.lit(row["low"]) + F.col("point") * F.lit(step)
@@ -280,22 +304,21 @@ def fit_yeo_johnson(df: DataFrame, columns: Sequence[str], refine: bool = True)
 
     chosen: dict[str, Row] = {}
     search = {c: lambda_grid() for c in ranges}
-    for _ in range(8):
+    while search:
         scores = best(search)
         search = {}
         for c, rows in scores.items():
             if not rows:
                 continue
             winner = top(rows)
-            if c not in chosen or winner["loglik"] > chosen[c]["loglik"]:
-                chosen[c] = winner
+            if c in chosen and winner["loglik"] <= chosen[c]["loglik"]:
+                continue  # the best so far was not at an end after all
+            chosen[c] = winner
             reach = LAMBDA_HIGH - LAMBDA_LOW
             if winner["lambda"] == rows[-1]["lambda"]:
                 search[c] = lambda_grid(winner["lambda"], winner["lambda"] + reach)
             elif winner["lambda"] == rows[0]["lambda"]:
                 search[c] = lambda_grid(winner["lambda"] - reach, winner["lambda"])
-        if not search:
-            break
 
     for step in LAMBDA_REFINEMENTS if refine else ():
         scores = best({c: lambda_grid(r["lambda"] - 10 * step, r["lambda"] + 10 * step, step) for c, r in chosen.items()})

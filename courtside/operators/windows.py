@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtside.session import materialize
 
@@ -25,6 +26,12 @@ def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], n_rows: int) -
     return df.join(side, same, "left").drop(*[f"_of_{key}" for key in keys])
 
 
+def _whole_number(df: DataFrame, order: str) -> None:
+    """Other orders cannot be cut into ranges, so they are refused at every size."""
+    if not isinstance(df.schema[order].dataType, T.IntegralType):
+        raise TypeError(f"{order} must be a whole number, not {df.schema[order].dataType.simpleString()}")
+
+
 def cut_into_slices(
     df: DataFrame, keys: Sequence[str], order: str, slice_rows: int = SLICE_ROWS
 ) -> tuple[DataFrame, list[str], int]:
@@ -33,9 +40,10 @@ def cut_into_slices(
     Returns the frame, the slice columns, outermost first, and the number of
     slices. The first cut makes ranges of equal width; a range that still holds
     too many rows, because the numbers crowd there, is cut again into a further
-    column. Rows that needed no cut have NULL. Without a large group there are
-    no slice columns.
+    column. Rows without a number come first, as slice -1 of their group. Rows
+    that needed no cut have NULL. Without a large group there are no slice columns.
     """
+    _whole_number(df, order)
     group, levels, n_slices = list(keys), [], 0
     number = F.col(order).cast("bigint")
     rows = df
@@ -57,7 +65,7 @@ def cut_into_slices(
         place = F.floor((number - F.col("_lo")) / reach * F.col("_pieces"))
         df = (
             _lookup(df, hot, group, n_hot)
-            .withColumn(level, place.cast("bigint"))
+            .withColumn(level, F.when(F.col("_pieces").isNotNull(), F.coalesce(place.cast("bigint"), F.lit(-1))))
             .drop("_lo", "_hi", "_pieces")
         )
         levels.append(level)
@@ -75,8 +83,9 @@ def with_previous(
 ) -> DataFrame:
     """Add ``prev_<column>``: the value one row earlier in the group, by ``order``.
 
-    ``order`` is a whole number that is unique in its group. When no group has
-    more than ``slice_rows`` rows this is one window. Otherwise the larger
+    ``order`` is a whole number that is unique in its group; a row without one
+    comes first, and rows that do share a number are taken by their values.
+    When no group has more than ``slice_rows`` rows this is one window. Otherwise the larger
     groups are cut into slices, the window runs per slice, and the first row of
     a slice takes the last row of the slice before it, so that no task sorts a
     whole hot group.
@@ -84,21 +93,21 @@ def with_previous(
     keys = list(keys)
     cut, levels, n_slices = cut_into_slices(df, keys, order, slice_rows)
     if not levels:
-        window = Window.partitionBy(*keys).orderBy(order)
+        window = Window.partitionBy(*keys).orderBy(order, *columns)
         return df.withColumns({prefix + c: F.lag(c).over(window) for c in columns})
 
     values = F.struct(*columns)
     tails = (
         cut.where(F.col(levels[0]).isNotNull())
         .groupBy(*keys, *levels)
-        .agg(F.max_by(values, F.col(order)).alias("_tail"))
+        .agg(F.max(F.struct(F.col(order).alias("_order"), values.alias("_values"))).getField("_values").alias("_tail"))
     )
     # One row per slice here, for the many rows of a slice there.
     carried = tails.withColumn(
         "_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy(*levels))
     ).drop("_tail")
 
-    window = Window.partitionBy(*keys, *levels).orderBy(order)
+    window = Window.partitionBy(*keys, *levels).orderBy(order, *columns)
     inside = cut.withColumn("_inside", F.lag(values).over(window))
     joined = _lookup(inside, carried, [*keys, *levels], n_slices)
     previous = F.coalesce(F.col("_inside"), F.col("_carry"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtside.functions.text import height_to_inches, to_double, to_integer
 from courtside.operators.joins import left_fanout, left_lookup, prefixed, spell_out_copies, with_copies
 from courtside.operators.unions import distinct_roster, team_points
+from courtside.session import materialize
 
 _BIO_INTEGERS = ("from_year", "to_year", "draft_year", "draft_round", "draft_number")
 
@@ -107,7 +108,8 @@ def merged_chain(
     base = left_lookup(base, games, "of_game", "_game")
     base = left_lookup(base, game_summary.select("game_id", F.col("pts").alias("team_points")), "game_id")
     plays = play_by_play.select("game_id", F.col("comment").alias("play_commentary"))
-    return spell_out_copies(left_fanout(base, plays, "game_id")).select(
+    # Stored, as the fan-out reads it twice: for the matches and for the rest.
+    return spell_out_copies(left_fanout(materialize(base, "chain"), plays, "game_id")).select(
         "player_id", "player_name", "team_name", "season_year", "game_id", "game_date", "team_points",
         "play_commentary",
     )

@@ -9,6 +9,7 @@ from courtside.plans.features import player_features
 from courtside.plans.points_model import train_points_model
 from courtside.registry.core import checked, query
 from courtside.registry.features import EVENT_TYPES, FEATURES_SQL
+from courtside.session import materialize
 
 _SPLIT = "(game_id * 31 + player1_id * 17 + period * 7) % 100 < 80"
 
@@ -19,7 +20,7 @@ _SPLIT = "(game_id * 31 + player1_id * 17 + period * 7) % 100 < 80"
 WITH {FEATURES_SQL} SELECT game_id, player1_id, period, total_points, {_SPLIT} AS training FROM features"""),
 )
 def train_test_split(t):
-    features = player_features(t["v_events_scored"], EVENT_TYPES)
+    features = materialize(player_features(t["v_events_scored"], EVENT_TYPES), "features")
     train, test = model.train_test_split(features)
     columns = ("game_id", "player1_id", "period", "total_points")
     return train.select(*columns, F.lit(True).alias("training")).unionByName(
@@ -35,7 +36,8 @@ SELECT count(*) AS n, round(avg(abs(total_points - mean)), 6) AS mae FROM featur
 )
 def naive_mae(t):
     """Mean absolute error of predicting the training mean."""
-    train, test = model.train_test_split(player_features(t["v_events_scored"], EVENT_TYPES))
+    features = materialize(player_features(t["v_events_scored"], EVENT_TYPES), "features")
+    train, test = model.train_test_split(features)
     return model.mean_absolute_error(model.naive_predictions(train, test)).withColumn("mae", F.round("mae", 6))
 
 

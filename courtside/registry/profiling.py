@@ -139,7 +139,7 @@ def candidate_keys(t):
 @query(
     "id_min_max",
     view_ctes("v_play_by_play") + "\n" + " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max
+        f"""SELECT '{c}' AS "column", CAST(min({c}) AS BIGINT) AS min, CAST(max({c}) AS BIGINT) AS max
 FROM v_play_by_play HAVING count({c}) > 0"""
         for c in ("game_id", "player1_id", "player1_team_id", "player2_id", "player2_team_id", "player3_id",
                   "player3_team_id")
@@ -152,7 +152,7 @@ def id_min_max(t):
 @query(
     "text_id_min_max",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", CAST(min(v) AS DOUBLE) AS min, CAST(max(v) AS DOUBLE) AS max FROM (
+        f"""SELECT '{c}' AS "column", min(v) AS min, max(v) AS max FROM (
   SELECT coalesce(TRY_CAST(regexp_extract({c}, '^\\s*([+-]?[0-9]+)', 1) AS BIGINT), 0) AS v FROM {t}
   WHERE {c} IS NOT NULL)"""
         for t, c in (("orders", "o_orderpriority"), ("orders", "o_orderstatus"))
@@ -234,7 +234,7 @@ def array_first_number(t):
     parts = (
         F.when(F.col("o_orderkey") % 2 == 0, F.reverse(F.split("o_orderpriority", "-")))
         .otherwise(
-            F.slice(F.split(F.concat_ws("-", "o_orderpriority", F.col("o_custkey").cast("string")), "-"), 2, 1000)
+            F.expr("slice(split(concat_ws('-', o_orderpriority, CAST(o_custkey AS STRING)), '-'), 2, size(split(o_orderpriority, '-')))")
         )
     )
     return t["orders"].select("o_orderkey", fx.first_numeric_in_array(parts).alias("number"))

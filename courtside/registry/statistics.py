@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.constants import HISTOGRAM_BINS, SEASON_TYPE
+from courtside.constants import HISTOGRAM_BINS, MAX_HUE_VALUES, SEASON_TYPE
 from courtside.operators import phik, stats
 from courtside.operators.quantiles import exact_quantiles
 from courtside.plans import eda
@@ -100,7 +100,7 @@ FROM ({_long_sql("SELECT * FROM v_game", hue)}) GROUP BY "group", "column" """
 )
 def grouped_quartiles(t):
     """Quartiles by season, season type and home team; the away team is not a column here."""
-    return _rounded(stats.grouped_quartiles(t["v_game"], FEATURES, _HUES), "q1", "median", "q3")
+    return _rounded(stats.grouped_quartiles(t["v_game"], FEATURES, _HUES, max_values=MAX_HUE_VALUES), "q1", "median", "q3")
 
 
 @query(

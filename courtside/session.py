@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -17,8 +18,8 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+OWN_SETTINGS = {**ADAPTIVE_SETTINGS, "spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
@@ -26,7 +27,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName("courtside")
     if master:
         builder = builder.master(master)
-    for key, value in {**ADAPTIVE_SETTINGS, **settings}.items():
+    for key, value in {**OWN_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -34,7 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the adaptive settings to a session somebody else built."""
+    """Apply the adaptive settings to a session somebody else built; its time zone stays."""
     for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -55,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return _own_folder()
 

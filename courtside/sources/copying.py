@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.operators.types import spark_schema
 from courtside.operators.unions import stack_tables
 from courtside.sources.csv import group_files, profiled_csv, table_files, typed
 
+# Tables copied at the same time.
+TABLES_AT_ONCE = 8
+
 OUTCOME = "table_name string, status string, rows_source long, rows_target long, error string"
 
 
@@ -29,15 +35,22 @@ def _copy_one(spark: SparkSession, read: Reader, target, table: str, mode: str)
     """
     try:
         source, rows = read()
-        rows = source.count() if rows is None else rows
-        if rows == 0:
+        if rows == 0 or (rows is None and source.isEmpty()):
             return (table, "skipped", 0, None, None)
         before = target.read(spark, table).count() if mode == "append" and table in target.tables(spark) else 0
-        target.write(source, table, mode)
+        seen = Observation()
+        target.write(source.observe(seen, F.count(F.lit(1)).alias("n")), table, mode)
+        rows = seen.get["n"]
         written = target.read(spark, table).count() - before
         return (table, "copied" if written == rows else "mismatch", rows, written, None)
     except Exception as error:  # noqa: BLE001 - reported per table
-        return (table, "failed", None, None, str(error).splitlines()[0][:300])
+        return (table, "failed", None, None, str(error))
+
+
+def _copy_all(spark: SparkSession, jobs: Sequence[tuple[Reader, object, str, str]]) -> list[tuple]:
+    """Outcomes of (reader, target, table, mode) in order; some tables at a time, so that small ones fill the cluster."""
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(lambda job: _copy_one(spark, *job)), jobs))
 
 
 def copy_tables(
@@ -50,8 +63,8 @@ def copy_tables(
 ) -> DataFrame:
     """Copy tables from one store to another, each in one distributed job.
 
-    Returns one row per table: copied (the counts of both sides agree),
-    mismatch, skipped (no rows) or failed. ``clean`` is applied on the way.
+    Returns one row per table: copied (as many rows arrived as were read while
+    writing), mismatch, skipped (no rows) or failed. ``clean`` is applied on the way.
     """
     names = source.tables(spark) if tables is None else tables
 
@@ -62,7 +75,7 @@ def copy_tables(
 
         return read
 
-    return _outcome(spark, [_copy_one(spark, reader(t), target, t, mode) for t in names])
+    return _outcome(spark, _copy_all(spark, [(reader(t), target, t, mode) for t in names]))
 
 
 def consolidate(
@@ -76,20 +89,24 @@ def consolidate(
     """Copy several databases, each from the kind of store it lives in, into one.
 
     ``origins`` maps a database to a kind, ``stores`` a kind to a function from
-    database to store. A kind that is not there is an error before anything runs.
+    database to store. A kind that is not there is an error before anything
+    runs. A table that several databases have is replaced by the first of them
+    and appended to by the others.
     """
     unknown = sorted({kind for kind in origins.values() if kind not in stores})
     if unknown:
         raise ValueError(f"no store of kind: {', '.join(unknown)}")
-    parts = [
-        copy_tables(spark, stores[kind](database), target, mode=mode, clean=clean)
-        .withColumn("database", F.lit(database))
-        for database, kind in origins.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    parts, taken = [], set()
+    for database, kind in origins.items():
+        store = stores[kind](database)
+        names = store.tables(spark)
+        again = [t for t in names if t in taken]
+        for tables, how in (([t for t in names if t not in taken], mode), (again, "append")):
+            copied = copy_tables(spark, store, target, tables, how, clean)
+            # Only a table that is there now may be appended to.
+            taken.update(r["table_name"] for r in copied.where("status in ('copied', 'mismatch')").collect())
+            parts.append(copied.withColumn("database", F.lit(database)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def unite_databases(spark: SparkSession, sources: Mapping[str, object], target) -> DataFrame:
@@ -109,7 +126,7 @@ def unite_databases(spark: SparkSession, sources: Mapping[str, object], target)
 
         return read
 
-    return _outcome(spark, [_copy_one(spark, reader(t), target, t, "overwrite") for t in sorted(by_table)])
+    return _outcome(spark, _copy_all(spark, [(reader(t), target, t, "overwrite") for t in sorted(by_table)]))
 
 
 def append_like(spark: SparkSession, source, target, table: str) -> None:
@@ -126,11 +143,13 @@ def load_csv_folder(
     mode: str = "overwrite",
     clear_first: bool = False,
     first_dot: bool = False,
+    multiline: bool = True,
     **options,
 ) -> DataFrame:
     """Load the CSV files of a folder, or of one group, as typed tables.
 
-    ``clear_first`` drops the tables that are about to be loaded.
+    ``clear_first`` drops the tables that are about to be loaded;
+    ``multiline=False`` declares that no cell holds a line break.
     """
     files = group_files(spark, folder, group) if group else table_files(spark, folder, first_dot)
     if clear_first:
@@ -139,13 +158,13 @@ def load_csv_folder(
 
     def reader(path: str) -> Reader:
         def read():
-            text, profiles = profiled_csv(spark, path)
+            text, profiles = profiled_csv(spark, path, multiline)
             rows = profiles[0]["n_rows"] if profiles else 0
             return typed(text, spark_schema(profiles, ladder, **options)), rows
 
         return read
 
-    return _outcome(spark, [_copy_one(spark, reader(path), target, t, mode) for t, path in files.items()])
+    return _outcome(spark, _copy_all(spark, [(reader(path), target, t, mode) for t, path in files.items()]))
 
 
 def export_join(spark: SparkSession, joins: Mapping[str, DataFrame], target, csv_target=None) -> tuple[str, DataFrame] | None:

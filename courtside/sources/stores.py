@@ -42,6 +42,10 @@ class FolderStore:
     format: str = "parquet"
     options: dict = field(default_factory=dict)
 
+    def _options(self) -> dict:
+        """CSV quotes are doubled and cells may hold line breaks, as the loader reads them."""
+        return {"escape": '"', "multiLine": "true", **self.options} if self.format == "csv" else self.options
+
     def _path(self, table: str) -> str:
         return f"{self.path.rstrip('/')}/{table}.{self.format}"
 
@@ -50,10 +54,10 @@ class FolderStore:
         return [step.removesuffix(ending) for step in table_paths(spark, self.path, ending)]
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format(self.format).options(**self.options).load(self._path(table))
+        return spark.read.format(self.format).options(**self._options()).load(self._path(table))
 
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
-        df.write.format(self.format).options(**self.options).mode(mode).save(self._path(table))
+        df.write.format(self.format).options(**self._options()).mode(mode).save(self._path(table))
 
 
 @dataclass(frozen=True)

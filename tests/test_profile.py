@@ -74,6 +74,28 @@ def test_id_ranges(spark):
     }
 
 
+def test_wide_ids_stay_whole(spark):
+    df = spark.createDataFrame([(2**53 + 1, "9007199254740993x"), (2**53 + 3, None)], "id long, text_id string")
+    found = by_column(profile.id_ranges(df))
+    assert {c: (r["min"], r["max"]) for c, r in found.items()} == {
+        "id": (2**53 + 1, 2**53 + 3), "text_id": (2**53 + 1, 2**53 + 1)
+    }
+
+
+def test_profile_of_empty_tables_and_awkward_names(spark):
+    df = spark.createDataFrame([], "`team.name` string, n string")
+    rows = by_column(profile.text_profile(df))
+    assert set(rows) == {"team.name", "n"} and rows["team.name"]["n_rows"] == 0 and rows["n"]["position"] == 1
+
+
+def test_nan_is_no_value(spark):
+    from courtside.operators.cleaning import drop_all_null_columns, drop_constant_columns
+
+    df = spark.createDataFrame([(math.nan, 1.0, 1.0), (None, 1.0, 2.0), (math.nan, math.nan, 3.0)], "`a.b` double, same double, other double")
+    assert drop_all_null_columns(df).columns == ["same", "other"]
+    assert drop_constant_columns(df).columns == ["other"]
+
+
 def test_few_values(spark):
     df = spark.range(100).select((F.col("id") % 10).alias("ten"), (F.col("id") % 11).alias("eleven"))
     assert profile.few_values(df, "ten", 10) and not profile.few_values(df, "eleven", 10)

@@ -206,3 +206,25 @@ def test_stages_are_written_to_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(folder) and scratch_path(spark, "x") != scratch_path(spark, "x")
     stored = materialize(spark.range(10), "ten")
     assert stored.count() == 10 and folder in stored.inputFiles()[0]
+
+
+def test_csv_text_survives_the_sink_and_the_loader(spark, tmp_path):
+    rows = [(1, 'a "b", c\nnext'), (2, "plain"), (3, 'back\\slash "q"')]
+    df = spark.createDataFrame(rows, "id int, `team.name` string")
+    store = FolderStore(str(tmp_path), "csv", {"header": "true"})
+    store.write(df, "texts")
+    assert sorted((int(r[0]), r[1]) for r in store.read(spark, "texts").collect()) == sorted(rows)
+    loaded = FolderStore(str(tmp_path / "out"))
+    outcome = copying.load_csv_folder(spark, str(tmp_path), loaded).first()
+    assert outcome["status"] == "copied" and outcome["rows_target"] == 3
+    assert sorted(tuple(r) for r in loaded.read(spark, "texts").collect()) == sorted(rows)
+
+
+def test_databases_with_a_table_in_common_lose_none(spark, tmp_path):
+    for name, n in (("one", 3), ("two", 5)):
+        FolderStore(str(tmp_path / name)).write(spark.range(n), "t")
+    target = FolderStore(str(tmp_path / "all"))
+    kinds = {"files": lambda database: FolderStore(str(tmp_path / database))}
+    outcome = copying.consolidate(spark, {"one": "files", "two": "files"}, kinds, target)
+    assert sorted((r["rows_source"], r["rows_target"], r["status"]) for r in outcome.collect()) == [(3, 3, "copied"), (5, 5, "copied")]
+    assert target.read(spark, "t").count() == 8

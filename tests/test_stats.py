@@ -117,8 +117,32 @@ def test_grouped_quartiles_skip_hues(spark):
         (F.col("id") * 1.0).alias("v"), (F.col("id") % 3).alias("three"), (F.col("id") % 11).alias("eleven")
     )
     found = stats.grouped_quartiles(df, ["v"], ["three", "eleven", "absent"])
+    assert {r["hue"] for r in found.collect()} == {"three", "eleven"}
+    found = stats.grouped_quartiles(df, ["v"], ["three", "eleven", "absent"], max_values=10)
     assert {r["hue"] for r in found.collect()} == {"three"}
-    assert stats.grouped_quartiles(df, ["v"], ["eleven"]) is None
+    assert stats.grouped_quartiles(df, ["v"], ["eleven"], max_values=10) is None
+    assert stats.left_out(df, ["v", "three"], ["eleven", "absent"], 1, 10) == {
+        "three": "past the number of columns", "eleven": "too many values", "absent": "not a column"
+    }
+
+
+def test_infinities_and_nan_are_no_measurements_at_any_size(spark):
+    rows = [(float(i),) for i in range(31)] + [(math.inf,), (-math.inf,), (math.nan,), (None,)]
+    df = spark.createDataFrame(rows, "v double")
+    for sort_rows in (5, 1000):
+        box = stats.box_summary(df, ["v"], sort_rows=sort_rows).first()
+        assert (box["n"], box["q1"], box["median"], box["q3"]) == (31, 7.5, 15.0, 22.5)
+
+
+def test_quantiles_of_the_widest_interval(spark):
+    df = spark.createDataFrame([(s * 1.7e308 / (i + 1),) for i in range(50) for s in (1, -1)], "v double")
+    narrowed = stats.box_summary(df, ["v"], sort_rows=4).first()
+    assert narrowed["median"] == pytest.approx(0.0, abs=1e300) and narrowed["n"] == 100
+
+
+def test_no_density_without_two_values(spark):
+    for rows in ([], [(3.0,)], [(3.0,), (3.0,)]):
+        assert stats.kernel_density(spark.createDataFrame(rows, "v double"), "v").count() == 0
 
 
 def test_id_density(spark):

@@ -51,6 +51,21 @@ def test_slices_are_small_however_the_numbers_crowd(spark, numbers):
     assert max(sizes) <= 100 and sum(sizes) == 3001
 
 
+@pytest.mark.parametrize("slice_rows", [3, 1000])
+def test_rows_without_a_number_come_first_at_any_size(spark, slice_rows):
+    df = spark.createDataFrame([("g", None, 7)] + [("g", n, n) for n in range(10)], "game string, number long, value int")
+    found = with_previous(df, ["game"], "number", ["value"], slice_rows=slice_rows)
+    previous = {r["number"]: r["prev_value"] for r in found.collect()}
+    assert previous[None] is None and previous[0] == 7 and previous[9] == 8
+
+
+@pytest.mark.parametrize("slice_rows", [3, 1000])
+def test_only_whole_numbers_order_rows(spark, slice_rows):
+    df = spark.createDataFrame([("g", "10", 1), ("g", "9", 2)], "game string, number string, value int")
+    with pytest.raises(TypeError):
+        with_previous(df, ["game"], "number", ["value"], slice_rows=slice_rows)
+
+
 EVENTS = "game_id long, eventnum long, player1_id long, period long, eventmsgtype int, score string"
 
 
