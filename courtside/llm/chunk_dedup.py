@@ -71,15 +71,8 @@ def _chunked(doc_id, text):
     return _NO_ID if doc_id is None else doc_id, key, digests, starts, words
 
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Passages of ``docs`` (doc_id, text, any others) that occur in other documents too.
-
-    doc_id, start_word (from 0), n_words, removed_words (words of chunks that
-    a document with a smaller doc_id has already, which deduplication removes).
-    One row per passage and document, the first document included. Nothing is
-    found in NULL and empty texts and in an empty table. Rows that repeat a
-    doc_id do not count as other documents, and rows that are the same are told
-    once; rows without doc_id are one document without id.
+def shared_chunks(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, at, start, n, first): each chunk that occurs in several documents, with the smallest of their doc_ids.
 
     Digests are counted before they are joined, so a passage that many
     documents share meets as one row per task, and the join splits hot digests.
@@ -91,13 +84,16 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = shared.where("first < last").select("digest", "first")
     placed = cut.select("doc_id", "key", F.posexplode(F.arrays_zip("digests", "starts", "words")).alias("at", "c"))
     placed = placed.select("doc_id", "key", "at", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"), F.col("c.words").alias("n"))
-    met = placed.join(shared, "digest")
+    return placed.join(shared, "digest").drop("digest")
+
+
+def runs(chunks: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, start_word, n_words, removed_words): neighbouring chunks together, from ``min_words`` words on."""
     in_text = Window.partitionBy("doc_id", "key").orderBy("at")
-    step = F.col("at") - F.lag("at").over(in_text)
-    met = met.withColumn("step", step)
+    met = chunks.withColumn("step", F.col("at") - F.lag("at").over(in_text))
     met = met.where("step is null or step > 0")  # rows of a text that is there twice
     run = F.sum(F.when(F.col("step") == 1, 0).otherwise(1)).over(in_text.rowsBetween(Window.unboundedPreceding, 0))
-    passages = (
+    found = (
         met.withColumn("run", run)
         .groupBy("doc_id", "key", "run")
         .agg(
@@ -107,12 +103,25 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         )
         .where(F.col("n_words") >= min_words)
     )
-    return passages.select(F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), "start_word", "n_words", "removed_words")
+    return found.select(F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), "start_word", "n_words", "removed_words")
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Passages of ``docs`` (doc_id, text, any others) that occur in other documents too.
+
+    doc_id, start_word (from 0), n_words, removed_words (words of chunks that
+    a document with a smaller doc_id has already; a few by chance in the first
+    document). One row per passage and document, the first document included.
+    Nothing is found in NULL and empty texts and in an empty table. Rows that
+    repeat a doc_id do not count as other documents, and rows that are the same
+    are told once; rows without doc_id are one document without id.
+    """
+    return runs(shared_chunks(docs), min_words)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id and the text left of each document, with passages cut that an earlier document has; words joined by one space."""
-    cut = repeated_passages(docs, min_words).where("removed_words > 0").groupBy("doc_id")
+    cut = runs(shared_chunks(docs).where("first < doc_id"), min_words).groupBy("doc_id")
     cut = cut.agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans")).withColumnRenamed("doc_id", "_id")
     rows = docs.join(cut, docs["doc_id"] == cut["_id"], "left").select("doc_id", "text", "spans")
     return each_text(rows, _without, ["doc_id", "text", "spans"], "doc_id long, text string")

@@ -184,19 +184,10 @@ def references(counted: DataFrame, listed: list[str]) -> list[dict]:
     ]
 
 
-def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), common_words: dict[str, str] = COMMON_WORDS) -> DataFrame:
-    """The columns ``carry`` of ``docs`` (doc_id, text, lang, any others) and a struct column ``quality``.
-
-    Fields: the five counts, ``base_failed``, ``class_distance`` and
-    ``common_distance`` (NULL below the minimum lengths, or where no language
-    has a reference) and ``kept``. NULL and empty texts have no words and
-    fail the base rule. Rows are judged one by one, so repeated rows stay.
-    Texts are read once; what was measured is stored, summed to references,
-    and compared with them.
-    """
+def _judged(docs: DataFrame, carry: list[str], common_words: dict[str, str]) -> DataFrame:
+    """``quality`` beside the columns ``carry`` of ``docs``, which are called c0, c1 and so on."""
     listed = vocabulary(common_words)
-    names = {c: f"c{i}" for i, c in enumerate(carry)}
-    rows = docs.select(F.col("text"), F.col("lang"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    rows = docs.select(F.col("text"), F.col("lang"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
     counted = stored_copy(measured(rows, listed).drop("text"), "measured")
     known = references(counted, listed)
     nearest = lambda key: distances(F.col(f"m.{key}"), [r[key] for r in known])
@@ -214,10 +205,23 @@ def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), common_words:
         F.col("common_far").alias("common_distance"),
         (~F.col("base") & near).alias("kept"),
     )
-    return far.select(*[F.col(f).alias(c) for c, f in names.items()], verdict.alias("quality"))
+    return far.select(*[f"c{i}" for i in range(len(carry))], verdict.alias("quality"))
+
+
+def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), common_words: dict[str, str] = COMMON_WORDS) -> DataFrame:
+    """The columns ``carry`` of ``docs`` (doc_id, text, lang, any others) and a struct column ``quality``.
+
+    Fields: the five counts, ``base_failed``, ``class_distance`` and
+    ``common_distance`` (NULL below the minimum lengths, or where no language
+    has a reference) and ``kept``. NULL and empty texts have no words and
+    fail the base rule. Rows are judged one by one, so repeated rows stay.
+    Texts are read once; what was measured is stored, summed to references,
+    and compared with them.
+    """
+    return _judged(docs, list(carry), common_words).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "quality")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they were."""
-    kept = judged(docs, tuple(docs.columns)).where("quality.kept")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = _judged(docs, docs.columns, COMMON_WORDS).where("quality.kept")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

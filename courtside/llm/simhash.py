@@ -81,19 +81,20 @@ def grid(fps: DataFrame) -> DataFrame:
 
 
 def _reach(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """One link per fingerprint to the first one of its component, by search."""
+    """One link per fingerprint, to the one it was reached from; the links connect each component."""
     left, right = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
     rest = fps
     while len(rest) > 1:
         root, rest = rest[0], rest[1:]
         frontier = [root]
         while frontier and len(rest):
-            near = np.bitwise_count(rest ^ frontier.pop()) <= bits
+            here = frontier.pop()
+            near = np.bitwise_count(rest ^ here) <= bits
             if near.any():
                 found = rest[near]
                 rest = rest[~near]
                 frontier.extend(found)
-                left.append(np.full(len(found), root))
+                left.append(np.full(len(found), here))
                 right.append(found)
     return np.concatenate(left), np.concatenate(right)
 
