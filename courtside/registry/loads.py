@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from courtside.registry.core import query
 from courtside.session import scratch_path
 from courtside.sources import copying
@@ -20,7 +25,10 @@ def csv_round_trip(t):
     return load_csv(t.spark, path, parse_dates=True)
 
 
-_COPIED = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
+_COPIED = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part",
+    "region", "supplier",
+)
 
 
 def _totals_sql(tables) -> str:
@@ -33,7 +41,7 @@ def _totals_sql(tables) -> str:
 
 @query("copy_control_totals", _totals_sql(_COPIED))
 def copy_control_totals(t):
-    """Tables copied to another format, rows counted on both sides."""
+    """All tables copied to another format, rows counted on both sides."""
     source = FolderStore(t.folder)
     target = FolderStore(scratch_path(t.spark, "copy"), "orc")
     return copying.copy_tables(t.spark, source, target, _COPIED)
@@ -71,6 +79,75 @@ def page_totals(t):
     return copying.page_totals(t["lineitem"], "l_orderkey", 20)
 
 
+_TEXTS = """
+SELECT 'documents' AS table_name, doc_id AS id, concat('He said "', text, '",', chr(10), ' twice ') AS text FROM {documents}
+UNION ALL SELECT 'conversations', conv_id * 1000 + turn, concat(chr(10), '"', text, '"') FROM {conversations}"""
+
+
+@query("csv_text_round_trip", _TEXTS.format(documents="documents", conversations="conversations"))
+def csv_text_round_trip(t):
+    """Texts with line breaks, commas and quotes through the CSV sink and the loader."""
+    texts = t.spark.sql(_TEXTS, documents=t["documents"], conversations=t["conversations"])
+    home = scratch_path(t.spark, "texts")
+    FolderStore(home, "csv", _CSV).write(texts, "texts")
+    loaded = FolderStore(scratch_path(t.spark, "loaded"))
+    copying.load_csv_folder(t.spark, home, loaded)
+    return loaded.read(t.spark, "texts")
+
+
+@query(
+    "csv_group_load",
+    """SELECT 'team' AS table_name, n_nationkey AS id, n_name AS name FROM nation
+UNION ALL SELECT 'team_details', r_regionkey, r_name FROM region""",
+)
+def csv_group_load(t):
+    """The files of one group, loaded into cleared tables by the types they hold; files of other groups stay out."""
+    home = scratch_path(t.spark, "group")
+    files = FolderStore(home, "csv", _CSV)
+    files.write(t["nation"].selectExpr("n_nationkey AS id", "n_name AS name"), "team")
+    files.write(t["region"].selectExpr("r_regionkey AS id", "r_name AS name"), "team_details")
+    files.write(t["supplier"].selectExpr("s_suppkey AS id", "s_name AS name"), "player")
+    target = FolderStore(scratch_path(t.spark, "teams"))
+    for _ in range(2):  # a second load leaves the same
+        copying.load_csv_folder(t.spark, home, target, group="team_specific", parse_dates=True)
+    tables = target.tables(t.spark)
+    return reduce(
+        DataFrame.unionByName,
+        [target.read(t.spark, n).select(F.lit(n).alias("table_name"), F.col("id").cast("int").alias("id"), "name") for n in tables],
+    )
+
+
+@query("copied_content", "SELECT * FROM events")
+def copied_content(t):
+    """A table as it is after a copy to another format."""
+    target = FolderStore(scratch_path(t.spark, "copy"), "orc")
+    copying.copy_tables(t.spark, FolderStore(t.folder), target, ["events"])
+    return target.read(t.spark, "events")
+
+
+@query(
+    "consolidated_content",
+    """SELECT l_orderkey AS id, CAST(l_quantity AS BIGINT) AS n FROM lineitem
+UNION ALL SELECT o_orderkey, CAST(o_custkey AS BIGINT) FROM orders""",
+)
+def consolidated_content(t):
+    """Two databases with a table of the same name: the rows of both."""
+    homes = {"one": scratch_path(t.spark, "one"), "two": scratch_path(t.spark, "two")}
+    FolderStore(homes["one"]).write(t["lineitem"].selectExpr("l_orderkey AS id", "CAST(l_quantity AS BIGINT) AS n"), "rows")
+    FolderStore(homes["two"]).write(t["orders"].selectExpr("o_orderkey AS id", "CAST(o_custkey AS BIGINT) AS n"), "rows")
+    target = FolderStore(scratch_path(t.spark, "both"))
+    copying.consolidate(t.spark, {"one": "files", "two": "files"}, {"files": lambda d: FolderStore(homes[d])}, target)
+    return target.read(t.spark, "rows")
+
+
+@query("ranged_copy", "SELECT * FROM orders")
+def ranged_copy(t):
+    """A table as it is after a copy by ranges of its key."""
+    target = FolderStore(scratch_path(t.spark, "ranges"))
+    copying.copy_ranges(t.spark, FolderStore(t.folder), target, "orders", "o_orderkey", 4)
+    return target.read(t.spark, "orders")
+
+
 @query("incremental_load", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def incremental_load(t):
     """A folder of CSV files taken in by a stream, a few files per batch."""

@@ -41,7 +41,18 @@ def naive_mae(t):
     return model.mean_absolute_error(model.naive_predictions(train, test)).withColumn("mae", F.round("mae", 6))
 
 
-@query("rf_predictions", None)
+@query(
+    "rf_predictions",
+    checked("v_events_scored", sql=f"""
+WITH {FEATURES_SQL} SELECT game_id, player1_id, period, total_points, true AS within_labels
+FROM features WHERE NOT {_SPLIT}"""),
+)
 def rf_predictions(t):
-    """The forest's predictions of the test rows; another forest would predict otherwise, so no SQL."""
-    return train_points_model(t["v_events_scored"], types=EVENT_TYPES)[1]
+    """The test rows, and whether each prediction lies among the labels, as means of labels do.
+
+    Another forest would predict otherwise, so the numbers themselves have no SQL.
+    """
+    predictions = train_points_model(t["v_events_scored"], types=EVENT_TYPES)[1]
+    low, high = player_features(t["v_events_scored"], EVENT_TYPES).agg(F.min("total_points"), F.max("total_points")).first()
+    within = F.coalesce(F.col("prediction").between(low - 1e-9, high + 1e-9), F.lit(False))
+    return predictions.select("game_id", "player1_id", "period", "total_points", within.alias("within_labels"))

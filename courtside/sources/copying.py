@@ -196,6 +196,21 @@ def range_bounds(df: DataFrame, key: str, pages: int) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(edges, edges[1:])]
 
 
+def copy_ranges(spark: SparkSession, source, target, table: str, key: str, pages: int) -> DataFrame:
+    """Copy a table in ranges of a whole-number key: one row per range with what was read and what arrived.
+
+    page, low, high, status, rows_source, rows_target, error. A range that
+    failed can be copied again by itself. Rows without a key go with the first range.
+    """
+    df = source.read(spark, table)
+    rows = []
+    for page, (low, high) in enumerate(range_bounds(df, key, pages)):
+        part = df.where(F.col(key).between(low, high) | (F.col(key).isNull() if page == 0 else F.lit(False)))
+        _, status, read, written, error = _copy_one(spark, lambda part=part: (part, None), target, table, "append" if page else "overwrite")
+        rows.append((page, low, high, status, read, written, error))
+    return spark.createDataFrame(rows, "page int, low long, high long, status string, rows_source long, rows_target long, error string")
+
+
 def page_totals(df: DataFrame, key: str, pages: int) -> DataFrame:
     """(page, low, high, n_rows) per key range, to check a ranged copy against.
 

@@ -44,7 +44,8 @@ class FolderStore:
 
     def _options(self) -> dict:
         """CSV quotes are doubled and cells may hold line breaks, as the loader reads them."""
-        return {"escape": '"', "multiLine": "true", **self.options} if self.format == "csv" else self.options
+        spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        return {"escape": '"', "multiLine": "true", **spaces, **self.options} if self.format == "csv" else self.options
 
     def _path(self, table: str) -> str:
         return f"{self.path.rstrip('/')}/{table}.{self.format}"
