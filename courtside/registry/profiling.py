@@ -326,6 +326,48 @@ def infer_rowstore_types(t):
     return _inferred(t, "rowstore")
 
 
+def _whole_sql(column: str, tables) -> str:
+    top = " UNION ALL ".join(f"SELECT max({c}) AS v FROM {t}" for t, c in tables)
+    return f"""SELECT '{column}' AS "column", CASE WHEN max(v) <= 32767 THEN 'SMALLINT' WHEN max(v) <= 2147483647 THEN 'INTEGER' ELSE 'BIGINT' END AS merged
+FROM ({top})"""
+
+
+@query(
+    "merged_types",
+    f"""WITH merged AS (
+{_whole_sql("id", (("orders", "o_orderkey"), ("nation", "n_nationkey"), ("documents", "doc_id")))}
+UNION ALL SELECT 'code', CASE WHEN max(length(text)) <= 255 THEN concat('VARCHAR(', max(length(text)), ')') ELSE 'TEXT' END FROM documents
+UNION ALL SELECT 'name', concat('VARCHAR(', max(length(v)), ')') FROM (SELECT n_name AS v FROM nation UNION ALL SELECT o_orderpriority FROM orders)
+UNION ALL SELECT 'amount', CASE WHEN max(o_custkey) <= 32767 THEN 'REAL' ELSE 'DOUBLE PRECISION' END FROM orders
+UNION ALL SELECT 'flag', 'TEXT')
+SELECT "column", merged, concat('"', "column", '" ', merged) AS ddl,
+  CASE WHEN "column" IN ('id', 'flag') THEN 'Int64' WHEN "column" = 'amount' THEN 'Float64' ELSE 'string' END AS loaded,
+  CASE WHEN merged = 'SMALLINT' THEN 'Int16' WHEN merged = 'INTEGER' THEN 'Int32' WHEN merged = 'BIGINT' THEN 'Int64'
+    WHEN merged = 'REAL' THEN 'Float32' WHEN merged = 'DOUBLE PRECISION' THEN 'Float64' ELSE 'String' END AS columnstore FROM merged""",
+)
+def merged_types(t):
+    """Types inferred table by table and merged, as declared, and as another store has them."""
+    parts = [
+        t["orders"].selectExpr("o_orderkey AS id", "o_orderstatus AS code", "o_orderpriority AS name", "o_custkey AS amount", "o_orderkey > 0 AS flag"),
+        t["nation"].selectExpr("n_nationkey AS id", "n_name AS code", "n_name AS name", "n_regionkey + 0.5D AS amount", "n_regionkey AS flag"),
+        t["documents"].selectExpr("doc_id AS id", "text AS code", "doc_id % 2 = 0 AS flag"),
+    ]
+    inferred = [{r["column"]: r["inferred_type"] for r in types.infer_types(profile.as_text(p), "rowstore").collect()} for p in parts]
+    merged = types.merge_schemas(inferred)
+    loaded = types.merge_schemas([{c: _loaded(n) for c, n in schema.items()} for schema in inferred], types.merge_loaded)
+    rows = [(c, n, types.render_ddl([(c, n, True)], "rowstore"), loaded[c], types.map_source_type(n, "rowstore")) for c, n in merged.items()]
+    return t.spark.createDataFrame(rows, '`column` string, merged string, ddl string, loaded string, columnstore string')
+
+
+def _loaded(name: str) -> str:
+    """The loaded type of a row-store type."""
+    if name == "BOOLEAN":
+        return "boolean"
+    if name in ("SMALLINT", "INTEGER", "BIGINT"):
+        return "Int64"
+    return "Float64" if name in ("REAL", "DOUBLE PRECISION") else "string"
+
+
 @query("infer_warehouse_types", _inferred_sql("'INT64'", "'FLOAT64'", "BOOL", "'STRING'", "INT64"))
 def infer_warehouse_types(t):
     return _inferred(t, "warehouse")

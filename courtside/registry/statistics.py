@@ -31,10 +31,10 @@ FROM ({source}) WHERE {c} IS NOT NULL"""
     )
 
 
-def _histogram_sql(group: str) -> str:
+def _histogram_sql(group: str, long: str | None = None, before: str = "") -> str:
     bins = HISTOGRAM_BINS
     return checked("v_game", sql=f"""
-WITH long AS ({_long_sql("SELECT * FROM v_game", group)}),
+WITH {before}long AS ({long or _long_sql("SELECT * FROM v_game", group)}),
 edges AS (SELECT "column", min(v) AS lo, max(v) AS hi FROM long GROUP BY ALL),
 counts AS (
   SELECT "group", "column", least(CAST(floor((v - lo) / (hi - lo) * {bins}) AS INTEGER), {bins - 1}) AS bin,
@@ -58,8 +58,9 @@ def grouped_histogram(t):
     return stats.histogram(t["v_game"], FEATURES, by="season_type")
 
 
-_BOX_SQL = checked("v_game", sql=f"""
-WITH long AS ({_long_sql(_REGULAR)}),
+def _box_sql(long: str, before: str = "") -> str:
+    return checked("v_game", sql=f"""
+WITH {before}long AS ({long}),
 q AS (SELECT "group", "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
   quantile_cont(v, 0.75) AS q3 FROM long GROUP BY ALL)
 SELECT "group", "column", round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, count(*) AS n,
@@ -69,6 +70,9 @@ SELECT "group", "column", round(q1, 4) AS q1, round(median, 4) AS median, round(
 FROM long JOIN q USING ("group", "column") GROUP BY "group", "column", q.q1, q.median, q.q3""")
 
 
+_BOX_SQL = _box_sql(_long_sql(_REGULAR))
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in columns})
 
@@ -183,24 +187,49 @@ def yj_loglik_grid(t):
     return reduce(DataFrame.unionByName, parts).select("column", "lambda", "n", F.round("loglik", 3).alias("loglik"))
 
 
-@query(
-    "yj_transform",
-    checked("v_game", sql=f"""
-WITH {_YJ_GRID}, best AS (
+_TRANSFORMED = f"""{_YJ_GRID}, best AS (
   SELECT "column", arg_max("lambda", loglik) AS "lambda", arg_max(mean, loglik) AS mean, arg_max(var, loglik) AS var
-  FROM scores GROUP BY "column")
-SELECT game_id, {", ".join(
-        f'''round((SELECT ({_transform_sql(f"CAST({c} AS DOUBLE)", chr(34) + "lambda" + chr(34))} - mean) / sqrt(var)
+  FROM scores GROUP BY "column"),
+transformed AS (SELECT game_id, season_type, {", ".join(
+    f'''round((SELECT ({_transform_sql(f"CAST({c} AS DOUBLE)", chr(34) + "lambda" + chr(34))} - mean) / sqrt(var)
   FROM best WHERE "column" = '{c}'), 4) + 0.0 AS {c}''' for c in _YJ_COLUMNS)}
-FROM v_game"""),
-)
-def yj_transform(t):
-    """Columns transformed with the best exponent of the grid, and standardised."""
-    games = t["v_game"].select("game_id", *_YJ_COLUMNS)
+FROM v_game)"""
+
+
+def _transformed(t) -> DataFrame:
+    games = t["v_game"].select("game_id", "season_type", *_YJ_COLUMNS)
     fitted = stats.fit_yeo_johnson(games, _YJ_COLUMNS, refine=False)
     return _rounded(stats.apply_yeo_johnson(games, fitted), *_YJ_COLUMNS)
 
 
+@query("yj_transform", checked("v_game", sql=f"WITH {_TRANSFORMED} SELECT * EXCLUDE (season_type) FROM transformed"))
+def yj_transform(t):
+    """Columns transformed with the best exponent of the grid, and standardised."""
+    return _transformed(t).drop("season_type")
+
+
+# The same names as above are taken by the values before the transform.
+_BEFORE = _TRANSFORMED.replace("long AS (", "raw AS (", 1).replace("FROM long", "FROM raw") + ", "
+_BEFORE = _BEFORE.replace("grid AS (", "exponents AS (", 1).replace(", grid)", ", exponents)")
+_AFTER = _long_sql("SELECT * FROM transformed", columns=_YJ_COLUMNS)
+
+
+@query("histogram_transformed", _histogram_sql("'all'", _AFTER, _BEFORE))
+def histogram_transformed(t):
+    return stats.histogram(_transformed(t), _YJ_COLUMNS)
+
+
+@query("box_summary_transformed", _box_sql(_AFTER, _BEFORE))
+def box_summary_transformed(t):
+    return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS), "q1", "median", "q3")
+
+
+@query("grouped_box_transformed", _box_sql(_long_sql("SELECT * FROM transformed", "season_type", _YJ_COLUMNS), _BEFORE))
+def grouped_box_transformed(t):
+    """Distributions by season type of the values of the same rows, transformed."""
+    return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS, by="season_type"), "q1", "median", "q3")
+
+
 @query("yj_fit", None)
 def yj_fit(t):
     """The refined exponent per column; a search, so there is no SQL for it."""
