@@ -66,6 +66,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/courtside/{name}-{uuid.uuid4().hex}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this package stored below the shared folder; frames that were read from there are gone with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/courtside")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

@@ -114,3 +114,10 @@ def test_stacked_tables_with_different_types(spark):
     numbers = unions.stack_tables({k: tables[k] for k in ("t1", "t2")}, source_column=None)
     assert dict(numbers.dtypes)["x"] == "double"
     assert unions.stack_tables(tables, limit=1).count() == 3
+
+
+def test_the_chain_before_a_fan_out_is_planned_once(spark, tables):
+    from courtside.registry import QUERIES
+
+    plan = QUERIES["merged_left_chain"](spark, tables.folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 6

@@ -228,3 +228,37 @@ def test_databases_with_a_table_in_common_lose_none(spark, tmp_path):
     outcome = copying.consolidate(spark, {"one": "files", "two": "files"}, kinds, target)
     assert sorted((r["rows_source"], r["rows_target"], r["status"]) for r in outcome.collect()) == [(3, 3, "copied"), (5, 5, "copied")]
     assert target.read(spark, "t").count() == 8
+
+
+def test_ranges_cover_a_table_once(spark, tmp_path):
+    source, target = FolderStore(str(tmp_path / "from")), FolderStore(str(tmp_path / "to"))
+    source.write(spark.createDataFrame([(i * i, i) for i in range(50)] + [(None, -1)], "key long, v int"), "t")
+    outcome = copying.copy_ranges(spark, source, target, "t", "key", 4).collect()
+    assert sum(r["rows_target"] or 0 for r in outcome) == 51 and {r["status"] for r in outcome} <= {"copied", "skipped"}
+    assert sorted(r["v"] for r in target.read(spark, "t").collect()) == [-1, *range(50)]
+
+
+def test_a_cluster_needs_a_shared_folder_and_scratch_can_be_cleared(tmp_path):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context, Conf()
+
+    with pytest.raises(ValueError):
+        shared_folder(Session())
+
+
+def test_settings_of_a_session_stay(spark):
+    from courtside.session import tune
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert tune(spark).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
