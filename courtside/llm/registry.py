@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 from courtside.llm import chunk_dedup, decontamination, html_text, language_id, license_scan, mixing, pii, quality, simhash, token_files
 from courtside.llm.common import read
 
-TOKENIZER = os.environ.get("TOKENIZER_FILE") or public_tokenizers.path("word_bpe_49k.json")
+# The vocabulary the queries encode with; the operator takes any file's path.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
