@@ -42,10 +42,12 @@ CLOSES_SAME |= {"tr": ("tr td th", frozenset(["table"])), "td": ("td th", frozen
 CLOSES_SAME |= {"option": ("option", frozenset(["select"]))}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header "
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "menu modal nav navbar navigation newsletter notice popup promo promoted promotion related share sharing sidebar signup social sponsor "
     "sponsored subscribe subscription toolbar widget".split()
 )
+ENDS = frozenset(["header", "footer"])
+OF_SITE = frozenset("site page global main top bottom masthead".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -71,11 +73,17 @@ def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and NAMES & set(re.split(r"[^a-z0-9]+", value)):
+        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and any(map(_names_boilerplate, value.split())):
             return True
     return False
 
 
+def _names_boilerplate(name: str) -> bool:
+    """Whether a class or id names boilerplate; the header of an article or a section does not."""
+    parts = set(re.split(r"[^a-z0-9]+", name)) - {""}
+    return bool(parts & NAMES) or bool(parts & ENDS and parts <= ENDS | OF_SITE)
+
+
 class Element:
     __slots__ = ("tag", "start", "end", "parent", "boilerplate", "in_article", "prose", "key")
 

@@ -17,6 +17,7 @@ PAGES = "page_id long, url string, html string, text string, host string, digest
         ("<article><p>a</p></article><p>outside</p><article>b</article>", "a b"), ("<p>1 < 2 & 3 <4</p>", "1 < 2 & 3 <4"), ("<ul><li>a<li>b</ul>", "a b"),
         ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"), ("<p>a</div></section>b", "a b"), ('<p title="a>b">x</p>', "x"), ("<p>unclosed <b", "unclosed <b"),
         ("<textarea><p>x</textarea><p>y", "y"), ("<div hidden>x</div><div role=navigation>y</div><div>z</div>", "z"), ("<script>never closed", ""),
+        ('<div class="site-header">s</div><main><header><h1>T</h1></header><div class="post-header">by me</div><p>x</main>', "T by me x"),
     ],
 )
 def test_text_of_a_page(source, text):
