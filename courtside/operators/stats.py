@@ -169,21 +169,19 @@ def grouped_quartiles(
     hues with more values, as a figure would; both are off unless given, and
     :func:`left_out` tells what they leave out. None when no hue is left.
     """
-    result = None
     skipped = left_out(df, columns, hues, max_columns, max_values)
-    columns = [c for c in columns if c not in skipped]
-    for hue in hues:
-        if hue in skipped:
-            continue
-        known = df.where(F.col(hue).isNotNull())
-        quantiles = exact_quantiles(known, columns, QUARTILES, hue, sort_rows)
-        q = F.col("quantiles")
-        part = quantiles.select(
-            F.lit(hue).alias("hue"), "group", "column", "n",
-            q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
-        )
-        result = part if result is None else result.unionByName(part)
-    return result
+    columns, hues = [c for c in columns if c not in skipped], [h for h in hues if h not in skipped]
+    if not hues:
+        return None
+    # All hues in one long form, so that one pass serves them all.
+    keys = F.array(*[F.when(F.col(h).isNotNull(), F.concat(F.lit(f"{i}:"), F.col(h).cast("string"))) for i, h in enumerate(hues)])
+    known = df.select(*columns, F.explode(keys).alias("_key")).where(F.col("_key").isNotNull())
+    q, place = F.col("quantiles"), F.instr("group", ":")
+    return exact_quantiles(known, columns, QUARTILES, "_key", sort_rows).select(
+        F.get(F.array(*[F.lit(h) for h in hues]), F.substring_index("group", ":", 1).cast("int")).alias("hue"),
+        F.col("group").substr(place + 1, F.length("group")).alias("group"), "column", "n",
+        q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
+    )
 
 
 def kernel_density(df: DataFrame, column: str, points: int = 200) -> DataFrame:

@@ -230,12 +230,47 @@ def grouped_box_transformed(t):
     return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS, by="season_type"), "q1", "median", "q3")
 
 
-@query("yj_fit", None)
+def _refined_sql(name: str, grid: str) -> str:
+    """Scores of a grid of exponents per column, under a name."""
+    return f"""{name}_grid AS ({grid}),
+{name} AS (
+  SELECT "column", "lambda", a + s1 / n AS mean, (s2 - s1 * s1 / n) / n AS var,
+    -n / 2 * ln((s2 - s1 * s1 / n) / n) + ("lambda" - 1) * jacobian AS loglik
+  FROM (
+    SELECT "column", "lambda", sum(w) AS n, any_value(a) AS a, sum(w * (t - a)) AS s1, sum(w * (t - a) * (t - a)) AS s2,
+      sum(w * j) AS jacobian
+    FROM (SELECT "column", "lambda", w, {_transform_sql("v", '"lambda"')} AS t, {_transform_sql("m", '"lambda"')} AS a,
+            sign(v) * ln(1 + abs(v)) AS j
+          FROM counted JOIN middle USING ("column") JOIN {name}_grid USING ("column"))
+    GROUP BY ALL))"""
+
+
+def _around_sql(scores: str, step: float, digits: int) -> str:
+    return f"""SELECT "column", round(best - 10 * {step} + i * {step}, {digits}) AS "lambda"
+  FROM (SELECT "column", arg_max("lambda", loglik) AS best FROM {scores} GROUP BY "column"), range(21) AS r(i)"""
+
+
+_VERTEX_SQL = """SELECT "column", best + coalesce(0.5 * (a - d) / (a - 2 * b + d) * 0.001, 0) AS "lambda"
+  FROM (SELECT "column", arg_max("lambda", loglik) AS best, arg_max(a, loglik) AS a, max(loglik) AS b, arg_max(d, loglik) AS d
+    FROM (SELECT *, lag(loglik) OVER w AS a, lead(loglik) OVER w AS d FROM finer WINDOW w AS (PARTITION BY "column" ORDER BY "lambda"))
+    GROUP BY "column")"""
+
+
+@query(
+    "yj_fit",
+    checked("v_game", sql=f"""
+WITH {_YJ_GRID}, {_refined_sql("fine", _around_sql("scores", 0.01, 3))}, {_refined_sql("finer", _around_sql("fine", 0.001, 4))},
+{_refined_sql("vertex", _VERTEX_SQL)}
+SELECT "column", round("lambda", 4) AS "lambda", CAST(printf('%.5e', mean) AS DOUBLE) AS mean, CAST(printf('%.5e', sqrt(var)) AS DOUBLE) AS std
+FROM vertex WHERE "column" <> 'c_acctbal'"""),
+)
 def yj_fit(t):
-    """The refined exponent per column; a search, so there is no SQL for it."""
+    """The refined exponent per column: two finer grids and a parabola."""
     fitted = stats.fit_yeo_johnson(t["v_game"], _YJ_COLUMNS)
     rows = [(c, f["lambda"], f["mean"], f["std"]) for c, f in sorted(fitted.items())]
-    return t.spark.createDataFrame(rows, "column string, lambda double, mean double, std double")
+    found = t.spark.createDataFrame(rows, "column string, lambda double, mean double, std double")
+    digits = {c: F.format_string("%.5e", c).cast("double") for c in ("mean", "std")}
+    return found.withColumns({"lambda": F.round("lambda", 4), **digits})
 
 
 _PHIK_COLUMNS = ("season_type", "team_name_home", "wl_home", "fg_pct_home", "reb_home", "pts_home")
