@@ -58,12 +58,12 @@ def grouped_histogram(t):
     return stats.histogram(t["v_game"], FEATURES, by="season_type")
 
 
-def _box_sql(long: str, before: str = "") -> str:
+def _box_sql(long: str, before: str = "", digits: int = 4) -> str:
     return checked("v_game", sql=f"""
 WITH {before}long AS ({long}),
 q AS (SELECT "group", "column", quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
   quantile_cont(v, 0.75) AS q3 FROM long GROUP BY ALL)
-SELECT "group", "column", round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, count(*) AS n,
+SELECT "group", "column", round(q1, {digits}) AS q1, round(median, {digits}) AS median, round(q3, {digits}) AS q3, count(*) AS n,
   min(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_low,
   max(CASE WHEN v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_high,
   count(*) FILTER (WHERE v NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_outliers
@@ -73,8 +73,8 @@ FROM long JOIN q USING ("group", "column") GROUP BY "group", "column", q.q1, q.m
 _BOX_SQL = _box_sql(_long_sql(_REGULAR))
 
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+def _rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 @query("box_summary", _BOX_SQL)
@@ -219,15 +219,15 @@ def histogram_transformed(t):
     return stats.histogram(_transformed(t), _YJ_COLUMNS)
 
 
-@query("box_summary_transformed", _box_sql(_AFTER, _BEFORE))
+@query("box_summary_transformed", _box_sql(_AFTER, _BEFORE, 6))
 def box_summary_transformed(t):
-    return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS), "q1", "median", "q3")
+    return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS), "q1", "median", "q3", digits=6)
 
 
-@query("grouped_box_transformed", _box_sql(_long_sql("SELECT * FROM transformed", "season_type", _YJ_COLUMNS), _BEFORE))
+@query("grouped_box_transformed", _box_sql(_long_sql("SELECT * FROM transformed", "season_type", _YJ_COLUMNS), _BEFORE, 6))
 def grouped_box_transformed(t):
     """Distributions by season type of the values of the same rows, transformed."""
-    return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS, by="season_type"), "q1", "median", "q3")
+    return _rounded(stats.box_summary(_transformed(t), _YJ_COLUMNS, by="season_type"), "q1", "median", "q3", digits=6)
 
 
 def _refined_sql(name: str, grid: str) -> str:
