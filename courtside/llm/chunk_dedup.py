@@ -4,12 +4,11 @@ A gear hash rolls over the bytes of a text. A chunk ends after the word at
 whose end the hash falls below a threshold, so where chunks end depends on the
 sixteen bytes before it only, and text inserted elsewhere moves no boundary.
 Chunks are told apart by a 64-bit digest of their bytes. A passage is a run of
-neighbouring chunks that all occur in another document too; it is reported from
-``MIN_WORDS`` words on, so that a digest met by chance alone reports nothing.
-
-A passage loses the parts of a chunk at its two ends, about eight words in all,
-so a run of ``MIN_WORDS`` stands for a passage of roughly fifty words or
-more in nearly all cases.
+neighbouring chunks that all occur in another document too. It may go on into
+the chunks at its two ends, and before the first of them by the bytes the hash
+looks back, so its length is known within their words: a run is reported if the
+passage can be longer than ``PASSAGE_WORDS``, and from ``MIN_WORDS`` words on, so
+that a digest met by chance alone reports nothing.
 """
 
 from __future__ import annotations
@@ -21,7 +20,11 @@ from pyspark.sql import functions as F
 
 from courtside.llm.common import each_text, stored_copy
 
+PASSAGE_WORDS = 50
 MIN_WORDS = 16
+# Boundaries in the first sixteen bytes of a passage depend on what stands
+# before it; so many words fit there.
+WINDOW_WORDS = 8
 MEAN_WORDS = 4
 _NO_ID = -(1 << 63)
 _STEP = 1 << 20
@@ -67,28 +70,32 @@ def chunks(text: str | None) -> tuple[list[int], list[int]]:
 def _chunked(doc_id, text):
     digests, words = chunks(text)
     starts = np.cumsum([0, *words[:-1]]).tolist() if words else []
+    before, after = [0, *words[:-1]][: len(words)], [*words[1:], 0][: len(words)]
     key = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
-    return _NO_ID if doc_id is None else doc_id, key, digests, starts, words
+    return _NO_ID if doc_id is None else doc_id, key, digests, starts, words, before, after
 
 
 def shared_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, at, start, n, first): each chunk that occurs in several documents, with the smallest of their doc_ids.
+    """(doc_id, key, at, start, n, before, after, first): each chunk that occurs in several documents.
+
+    ``before`` and ``after`` are the words of its neighbours, ``first`` is the
+    smallest doc_id that has it.
 
     Digests are counted before they are joined, so a passage that many
     documents share meets as one row per task, and the join splits hot digests.
     """
-    schema = "doc_id long, key long, digests array<long>, starts array<int>, words array<int>"
+    schema = "doc_id long, key long, digests array<long>, starts array<int>, n array<int>, before array<int>, after array<int>"
     cut = stored_copy(each_text(docs, _chunked, ["doc_id", "text"], schema), "chunks")
     single = cut.select("doc_id", F.explode("digests").alias("digest"))
     shared = single.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = shared.where("first < last").select("digest", "first")
-    placed = cut.select("doc_id", "key", F.posexplode(F.arrays_zip("digests", "starts", "words")).alias("at", "c"))
-    placed = placed.select("doc_id", "key", "at", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"), F.col("c.words").alias("n"))
+    placed = cut.select("doc_id", "key", F.posexplode(F.arrays_zip("digests", "starts", "n", "before", "after")).alias("at", "c"))
+    placed = placed.select("doc_id", "key", "at", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"), "c.n", "c.before", "c.after")
     return placed.join(shared, "digest").drop("digest")
 
 
-def runs(chunks: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, start_word, n_words, removed_words): neighbouring chunks together, from ``min_words`` words on."""
+def runs(chunks: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, start_word, n_words, removed_words): neighbouring chunks together, where the passage can be longer than ``passage_words``."""
     in_text = Window.partitionBy("doc_id", "key").orderBy("at")
     met = chunks.withColumn("step", F.col("at") - F.lag("at").over(in_text))
     met = met.where("step is null or step > 0")  # rows of a text that is there twice
@@ -99,15 +106,17 @@ def runs(chunks: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .agg(
             F.min("start").cast("long").alias("start_word"),
             F.sum("n").alias("n_words"),
+            F.min_by("before", "at").alias("before"),
+            F.max_by("after", "at").alias("after"),
             F.sum(F.when(F.col("first") < F.col("doc_id"), F.col("n")).otherwise(0)).cast("long").alias("removed_words"),
         )
-        .where(F.col("n_words") >= min_words)
+        .where((F.col("n_words") >= min_words) & (F.col("n_words") + F.col("before") + F.col("after") + WINDOW_WORDS > passage_words))
     )
     return found.select(F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), "start_word", "n_words", "removed_words")
 
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Passages of ``docs`` (doc_id, text, any others) that occur in other documents too.
+def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+    """Passages of more than ``passage_words`` words of ``docs`` (doc_id, text, any others) that occur in other documents too.
 
     doc_id, start_word (from 0), n_words, removed_words (words of chunks that
     a document with a smaller doc_id has already; a few by chance in the first
@@ -116,12 +125,12 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeat a doc_id do not count as other documents, and rows that are the same
     are told once; rows without doc_id are one document without id.
     """
-    return runs(shared_chunks(docs), min_words)
+    return runs(shared_chunks(docs), passage_words, min_words)
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id and the text left of each document, with passages cut that an earlier document has; words joined by one space."""
-    cut = runs(shared_chunks(docs).where("first < doc_id"), min_words).groupBy("doc_id")
+    cut = runs(shared_chunks(docs).where("first < doc_id"), passage_words, min_words).groupBy("doc_id")
     cut = cut.agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans")).withColumnRenamed("doc_id", "_id")
     rows = docs.join(cut, docs["doc_id"] == cut["_id"], "left").select("doc_id", "text", "spans")
     return each_text(rows, _without, ["doc_id", "text", "spans"], "doc_id long, text string")

@@ -55,6 +55,17 @@ def test_shared_passages_are_found_and_clean_documents_left(spark):
     assert all(r["removed_words"] == r["n_words"] if r["doc_id"] % 2 else r["removed_words"] < c.MIN_WORDS for r in found)
 
 
+def test_shorter_passages_are_left(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(40):
+        p = text_of(rng, 25)
+        rows += [(2 * k + c, f"{text_of(rng, 30)} {p} {text_of(rng, 30)}") for c in range(2)]
+    found = c.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.count() <= 12  # next to long chunks
+    assert c.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), passage_words=20, min_words=6).select("doc_id").distinct().count() > 70
+
+
 def test_repeats_are_removed_but_for_the_first(spark):
     rng = random.Random(6)
     p, own = text_of(rng, 80), [text_of(rng, 30) for _ in range(3)]
