@@ -17,11 +17,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import each_text
+from courtside.llm.common import each_text, stored_copy
 
 # A subtree is a template from so many pages of a host on, and from this share of them.
 MIN_PAGES = 10
 MIN_SHARE = 0.01
+# Templates sent along, of some ten bytes each.
+MAX_SENT = 200_000
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -209,46 +211,56 @@ class Page:
         return " ".join("".join(parts).split())
 
 
-def _keys(page_id, url, source):
+def _described(digest, url, source):
     page = Page(source)
-    return host_of(url), page.content(), sorted({key for key, _ in page.subtrees()})
+    return digest, host_of(url), page.content(), sorted({key for key, _ in page.subtrees()})
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, key): subtrees that recur on many pages of a host with different content.
+def described(pages: DataFrame) -> DataFrame:
+    """(digest, host, content, keys) of every different page, stored: each page is parsed once for it."""
+    digest = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
+    rows = pages.select(digest.alias("digest"), "url", "html")
+    return stored_copy(each_text(rows, _described, ["digest", "url", "html"], "digest long, host string, content long, keys array<long>").distinct(), "subtrees")
+
+
+def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, key) of ``described`` pages: subtrees that recur on many pages of a host with different content.
 
     A host's pages are counted by content first, so no task holds a host.
     """
-    found = each_text(pages, _keys, ["page_id", "url", "html"], "host string, content long, keys array<long>").distinct()
     sizes = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
     counts = found.select("host", "content", F.explode("keys").alias("key")).distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
     many = counts.where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= min_share * F.col("n_pages"))
-    return many.select("host", "key")
+    return stored_copy(many.select("host", "key"), "templates")
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, max_sent: int = MAX_SENT) -> DataFrame:
     """page_id, url, text, n_chars, n_template of every row of ``pages`` (page_id, url, html, any others).
 
     ``n_template`` is the number of template subtrees found on the page. NULL
     html is an empty page with empty text; pages without a host are one host;
     repeated rows give repeated results, and copies count once as evidence of a
-    template.
+    template. Up to ``max_sent`` templates are sent to the tasks by host; with
+    more of them each page's own are joined to it.
     """
-    templates = site_templates(pages, min_pages, min_share)
+    found = described(pages)
+    templates = site_templates(found, min_pages, min_share)
+    schema = "page_id long, url string, text string, n_chars long, n_template long"
+    rows = templates.limit(max_sent + 1).collect()
+    if len(rows) <= max_sent:
+        by_host: dict[str, set[int]] = {}
+        for r in rows:
+            by_host.setdefault(r["host"], set()).add(r["key"])
+        sent = pages.sparkSession.sparkContext.broadcast(by_host)
+        return each_text(pages, lambda i, url, source: _text_row(i, url, source, sent.value.get(host_of(url))), ["page_id", "url", "html"], schema)
+    own = found.select("digest", "host", F.explode("keys").alias("key")).join(templates, ["host", "key"])
+    own = own.groupBy(F.col("digest").alias("_digest")).agg(F.collect_set("key").alias("keys"))
     digest = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
-    keyed = each_text(
-        pages.select("page_id", "url", "html", digest.alias("digest")), _page_keys, ["digest", "url", "html"], "digest long, host string, keys array<long>"
-    ).distinct()
-    own = keyed.select("digest", "host", F.explode("keys").alias("key")).join(templates, ["host", "key"]).groupBy("digest").agg(F.collect_set("key").alias("keys"))
-    own = own.withColumnRenamed("digest", "_digest")
-    rows = pages.select("page_id", "url", "html", digest.alias("digest")).join(own, F.col("digest") == F.col("_digest"), "left")
-    return each_text(rows, _text_row, ["page_id", "url", "html", "keys"], "page_id long, url string, text string, n_chars long, n_template long")
-
-
-def _page_keys(digest, url, source):
-    return digest, host_of(url), sorted({key for key, _ in Page(source).subtrees()})
+    joined = pages.select("page_id", "url", "html", digest.alias("digest")).join(own, F.col("digest") == F.col("_digest"), "left")
+    return each_text(joined, _text_row, ["page_id", "url", "html", "keys"], schema)
 
 
 def _text_row(page_id, url, source, keys):
-    text = Page(source).text(frozenset(keys or ()))
-    return page_id, url, text, len(text), len(keys or ())
+    page, keys = Page(source), frozenset(keys or ())
+    text = page.text(keys)
+    return page_id, url, text, len(text), len(keys & {key for key, _ in page.subtrees()}) if keys else 0

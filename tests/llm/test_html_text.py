@@ -41,9 +41,10 @@ def text_by_page(df):
     return {r["page_id"]: r["text"] for r in df.collect()}
 
 
-def test_templates_of_a_host_go(spark):
+@pytest.mark.parametrize("max_sent", [h.MAX_SENT, 0])
+def test_templates_of_a_host_go(spark, max_sent):
     rows = site(12) + [(100 + i, u, s) for i, u, s in site(3, "b.com")]
-    found = text_by_page(h.main_text(frame(spark, rows)))
+    found = text_by_page(h.main_text(frame(spark, rows), max_sent=max_sent))
     assert found[3] == "Story 3 Only here 3"
     assert found[101] == "Join our list Story 1 Only here 1 Shared line"
 
