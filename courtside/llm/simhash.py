@@ -207,12 +207,14 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     of their fingerprint; an empty table gives no rows.
     """
     prints = stored_copy(fingerprints(docs), "fingerprints")
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    first = stored_copy(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "first")
     found = components(links(first.select("fp"), bits))
     member = found.withColumnRenamed("node", "fp").join(first, "fp")
     smallest = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = member.join(smallest, "root").select("fp", "component_id")
     classes = first.join(classes, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    # Stored, so that nothing else asks for the copies of a fingerprint to stay together and the join may split them.
+    classes = stored_copy(classes, "classes")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
