@@ -18,14 +18,16 @@ that is run again leaves an unused file at worst.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,8 +40,8 @@ MAGIC = b"PFORTOK1"
 BLOCK = 4096
 PERCENTILE = 0.98
 END_ID = 1
-# Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 300_000
+# Pieces of text, and runs within them, whose ids a worker remembers before it starts anew.
+REMEMBERED = 400_000
 _HEAD = struct.Struct("<IIIB")
 _TRAILER = struct.Struct("<QQQQ8s")
 _FLUSH = 64
@@ -160,38 +162,112 @@ class Reader:
             held, start = held[size:], start + size
 
 
-class _Words(dict):
-    """Ids of a piece of text without space and line break, remembered.
+class _Remembered(dict):
+    """Results of a function, forgotten all at once when they are too many."""
 
-    The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its pieces in order.
-    """
-
-    def __init__(self, tokenizer):
+    def __init__(self, fn):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.fn = fn
 
-    def __missing__(self, word: str):
-        ids = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids) if word else ()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        value = self.fn(key)
+        if len(key) <= 64:
+            self[key] = value
+        return value
 
 
-_known: dict[int, _Words] = {}
+# Pieces whose characters have had the same case and class in every version of
+# Unicode, and neither compose nor count as white space.
+_PLAIN_PIECE = re.compile("[!-~\xa1-\u024f]+")
 
 
-def encode(text: str | None, vocabulary: str, end_id: int = END_ID) -> np.ndarray:
-    """Ids of a text and the end id; ``vocabulary`` is the tokenizer file's content."""
-    words = _known.get(hash(vocabulary))
-    if words is None:
+class _Packers(dict):
+    """Packers of so many unsigned 32-bit integers."""
+
+    def __missing__(self, n: int) -> struct.Struct:
+        return self.setdefault(n, struct.Struct(f"<{n}I"))
+
+
+_INTEGERS = _Packers()
+
+
+def _byte_letters() -> list[str]:
+    """The letter each byte is written as by byte-level tokenizers: printable ones stay, the others follow from 256 on."""
+    stay = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in stay else chr(next(rest)) for b in range(256)]
+
+
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit integers, by a tokenizer file's content.
+
+    A tokenizer that lower-cases and drops white space gives the ids of a text
+    as those of its pieces between spaces and line breaks, and the ids of a
+    plain piece as those of the runs its own pattern finds; both are remembered.
+    Any other tokenizer encodes the text as a whole.
+    """
+
+    def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
-        words = _known[hash(vocabulary)] = _Words(Tokenizer.from_str(vocabulary))
-    if len(words) > REMEMBERED:
-        words.clear()
-    pieces = (text or "").replace("\n", " ").split(" ")
-    return np.fromiter(chain(chain.from_iterable(map(words.__getitem__, pieces)), (end_id,)), np.uint32)
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        made = json.loads(vocabulary)
+        self.model = self.tokenizer.model
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in made["added_tokens"]) or "(?!)")
+        self.pattern = self._pattern(made)
+        self.letters = _byte_letters()
+        self.pieces, self.runs = _Remembered(self._piece), _Remembered(self._run)
+
+    @staticmethod
+    def _pattern(made: dict) -> regex.Pattern | None:
+        """The pattern of the pre-tokenizer, if the file drops white space and is byte-level."""
+        kinds = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
+            return None
+        split, level = steps
+        if split["behavior"] != "Removed" or not split["invert"] or level["add_prefix_space"] or level["use_regex"]:
+            return None
+        pattern = regex.compile(split["pattern"]["Regex"])
+        as_runs = pattern.findall("abcé,") == ["abcé", ","] and pattern.findall("z.") == ["z", "."]
+        return pattern if as_runs and not pattern.search(" \n") else None
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _run(self, run: str) -> bytes:
+        word = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
+        return _INTEGERS[len(tokens := self.model.tokenize(word))].pack(*[t.id for t in tokens])
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece:
+            return b""
+        low = piece.lower()
+        if not _PLAIN_PIECE.fullmatch(low) or self.special.search(piece):
+            return self._whole(piece)
+        if low.isalpha():
+            return self.runs[low]
+        if low[-1] in ",." and low[:-1].isalpha():
+            return self.runs[low[:-1]] + self.runs[low[-1]]
+        return b"".join(map(self.runs.__getitem__, self.pattern.findall(low)))
+
+    def ids(self, text: str) -> np.ndarray:
+        if self.pattern is None:
+            return np.frombuffer(self._whole(text), "<u4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" "))), "<u4")
+
+
+_known: dict[int, Encoder] = {}
+
+
+def encode(text: str | None, vocabulary: str, end_id: int = END_ID) -> np.ndarray:
+    """Ids of a text and the end id; ``vocabulary`` is the tokenizer file's content."""
+    key = hash(vocabulary)
+    if key not in _known:
+        _known[key] = Encoder(vocabulary)
+    return np.append(_known[key].ids(text or ""), np.uint32(end_id))
 
 
 def _place(uri: str) -> tuple[arrow_fs.FileSystem, str]:

@@ -13,6 +13,8 @@ from tokenizers import Tokenizer
 from courtside.llm import token_files as t
 from tests.llm.conftest import awkward
 
+VOCABULARY = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+WHOLE = Tokenizer.from_str(VOCABULARY)
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -62,7 +64,7 @@ def test_a_file_of_another_kind_is_refused():
         t.Reader(io.BytesIO(b"x" * 100), 100)
 
 
-TEXTS = ["", " ", "a\tb\x0bc d", "don't <|endoftext|> x<|startoftext|>y", "É é ́x ﬁ Ǆ Σς İ", "a  \n\n b", "12345 $$$ \U0001f600‍", "x" * 300 + " " + "y" * 90]
+TEXTS = ["I\'LL don\'t 'Tis we've", "ß²¼\xa0x\x85y\x1cz\x7f ÀÉ\u0130Å \xad ¡¿ǅ", "".join(map(chr, range(1, 0x260))), "Straße,naïve—x <| |> <|x|>", "", " ", "a\tb\x0bc d", "don't <|endoftext|> x<|startoftext|>y", "É é ́x ﬁ Ǆ Σς İ", "a  \n\n b", "12345 $$$ \U0001f600‍", "x" * 300 + " " + "y" * 90]
 
 
 def whole(text):
@@ -75,6 +77,19 @@ def test_pieces_give_the_ids_of_the_text():
         assert t.encode(text, vocabulary).tolist() == whole(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aZé Ñ'sSlLtTdD.,!$1²\n\t\xa0\u0301\u0130<|>"), max_size=30))
+def test_any_text_gives_its_ids(text):
+    assert t.encode(text, VOCABULARY).tolist() == [*WHOLE.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_a_tokenizer_that_keeps_spaces_sees_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    vocabulary, other = open(path, encoding="utf-8").read(), Tokenizer.from_file(path)
+    for text in TEXTS:
+        assert t.encode(text, vocabulary).tolist() == [*other.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_awkward_rows(docs, no_docs, tmp_path):
     found = [tuple(r) for r in t.token_output(docs, PATH, str(tmp_path / "some")).orderBy("start").collect()]
     rows = sorted(((r[0], r[1]) for r in awkward()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
