@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.llm.common import each_text, stored_copy
@@ -69,50 +69,66 @@ def chunks(text: str | None) -> tuple[list[int], list[int]]:
 
 def _chunked(doc_id, text):
     digests, words = chunks(text)
-    starts = np.cumsum([0, *words[:-1]]).tolist() if words else []
-    before, after = [0, *words[:-1]][: len(words)], [*words[1:], 0][: len(words)]
     key = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
-    return _NO_ID if doc_id is None else doc_id, key, digests, starts, words, before, after
+    return _NO_ID if doc_id is None else doc_id, key, digests, words
 
 
-def shared_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, at, start, n, before, after, first): each chunk that occurs in several documents.
+def chunked(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, digests, words) of every different row, stored.
 
-    ``before`` and ``after`` are the words of its neighbours, ``first`` is the
-    smallest doc_id that has it.
+    ``key`` tells different texts with one doc_id apart, and is 0 where a
+    doc_id has one text, so that it takes no room in what is shuffled.
+    """
+    cut = stored_copy(each_text(docs, _chunked, ["doc_id", "text"], "doc_id long, key long, digests array<long>, words array<int>"), "chunks")
+    texts = cut.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    several = texts.where("n > 1").select(F.col("doc_id").alias("_id"), (F.col("low") < F.col("high")).alias("differ"))
+    if several.isEmpty():
+        return cut.withColumn("key", F.lit(0).cast("long"))
+    told = cut.join(several, F.col("doc_id") == F.col("_id"), "left")
+    key = F.when(F.col("differ"), F.col("key")).otherwise(F.lit(0).cast("long"))
+    once = told.where("_id is not null").dropDuplicates(["doc_id", "key"])
+    return told.where("_id is null").unionByName(once).select("doc_id", key.alias("key"), "digests", "words")
+
+
+def shared_chunks(cut: DataFrame) -> DataFrame:
+    """(doc_id, key, at, first): each chunk that occurs in several documents, with the smallest doc_id that has it.
 
     Digests are counted before they are joined, so a passage that many
     documents share meets as one row per task, and the join splits hot digests.
     """
-    schema = "doc_id long, key long, digests array<long>, starts array<int>, n array<int>, before array<int>, after array<int>"
-    cut = stored_copy(each_text(docs, _chunked, ["doc_id", "text"], schema), "chunks")
     single = cut.select("doc_id", F.explode("digests").alias("digest"))
     shared = single.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = shared.where("first < last").select("digest", "first")
-    placed = cut.select("doc_id", "key", F.posexplode(F.arrays_zip("digests", "starts", "n", "before", "after")).alias("at", "c"))
-    placed = placed.select("doc_id", "key", "at", F.col("c.digests").alias("digest"), F.col("c.starts").alias("start"), "c.n", "c.before", "c.after")
-    return placed.join(shared, "digest").drop("digest")
-
-
-def runs(chunks: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, start_word, n_words, removed_words): neighbouring chunks together, where the passage can be longer than ``passage_words``."""
-    in_text = Window.partitionBy("doc_id", "key").orderBy("at")
-    met = chunks.withColumn("step", F.col("at") - F.lag("at").over(in_text))
-    met = met.where("step is null or step > 0")  # rows of a text that is there twice
-    run = F.sum(F.when(F.col("step") == 1, 0).otherwise(1)).over(in_text.rowsBetween(Window.unboundedPreceding, 0))
-    found = (
-        met.withColumn("run", run)
-        .groupBy("doc_id", "key", "run")
-        .agg(
-            F.min("start").cast("long").alias("start_word"),
-            F.sum("n").alias("n_words"),
-            F.min_by("before", "at").alias("before"),
-            F.max_by("after", "at").alias("after"),
-            F.sum(F.when(F.col("first") < F.col("doc_id"), F.col("n")).otherwise(0)).cast("long").alias("removed_words"),
-        )
-        .where((F.col("n_words") >= min_words) & (F.col("n_words") + F.col("before") + F.col("after") + WINDOW_WORDS > passage_words))
-    )
-    return found.select(F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), "start_word", "n_words", "removed_words")
+    return cut.select("doc_id", "key", F.posexplode("digests").alias("at", "digest")).join(shared, "digest").drop("digest")
+
+
+def _runs_of(passage_words: int, min_words: int):
+    def runs_of(doc_id, words, found):
+        """Runs of neighbouring chunks, as (start_word, n_words, removed_words)."""
+        starts, out, i = np.cumsum([0, *words]).tolist(), [], 0
+        found = sorted((f["at"], f["again"]) for f in found)
+        while i < len(found):
+            j = i
+            while j + 1 < len(found) and found[j + 1][0] == found[j][0] + 1:
+                j += 1
+            first, last = found[i][0], found[j][0]
+            n = starts[last + 1] - starts[first]
+            reach = n + (words[first - 1] if first else 0) + (words[last + 1] if last + 1 < len(words) else 0) + WINDOW_WORDS
+            if n >= min_words and reach > passage_words:
+                out.append({"start_word": starts[first], "n_words": n, "removed_words": sum(words[at] for at, again in found[i : j + 1] if again)})
+            i = j + 1
+        return None if doc_id == _NO_ID else doc_id, out
+
+    return runs_of
+
+
+def runs(cut: DataFrame, found: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, runs): neighbouring ``found`` chunks of a text together, where the passage can be longer than ``passage_words``."""
+    again = F.col("first") < F.col("doc_id")
+    by_text = found.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", again.alias("again"))).alias("found"))
+    rows = cut.select("doc_id", "key", "words").join(by_text, ["doc_id", "key"])
+    schema = "doc_id long, runs array<struct<start_word:long,n_words:long,removed_words:long>>"
+    return each_text(rows, _runs_of(passage_words, min_words), ["doc_id", "words", "found"], schema)
 
 
 def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
@@ -125,13 +141,15 @@ def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_w
     repeat a doc_id do not count as other documents, and rows that are the same
     are told once; rows without doc_id are one document without id.
     """
-    return runs(shared_chunks(docs), passage_words, min_words)
+    cut = chunked(docs)
+    return runs(cut, shared_chunks(cut), passage_words, min_words).select("doc_id", F.inline("runs"))
 
 
 def remove_repeats(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id and the text left of each document, with passages cut that an earlier document has; words joined by one space."""
-    cut = runs(shared_chunks(docs).where("first < doc_id"), passage_words, min_words).groupBy("doc_id")
-    cut = cut.agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans")).withColumnRenamed("doc_id", "_id")
+    chunks_of = chunked(docs)
+    cut = runs(chunks_of, shared_chunks(chunks_of).where("first < doc_id"), passage_words, min_words)
+    cut = cut.groupBy("doc_id").agg(F.flatten(F.collect_list("runs")).alias("spans")).withColumnRenamed("doc_id", "_id")
     rows = docs.join(cut, docs["doc_id"] == cut["_id"], "left").select("doc_id", "text", "spans")
     return each_text(rows, _without, ["doc_id", "text", "spans"], "doc_id long, text string")
 
