@@ -4,8 +4,9 @@ Every element of a page is a subtree, hashed over its markup and text. Spark
 counts on how many pages of a host, of different content, each hash occurs; a
 subtree that recurs on many is part of the site's template and is deleted with
 what it holds. Elements that are boilerplate by their tag, role or class are
-deleted too. Paragraphs and headings inside an article are never taken for a
-template: a sentence may recur in articles.
+deleted too. Nothing else is: an article is a hint only. What stands in one
+counts once for all copies of it, and its paragraphs and headings need more
+pages, since a sentence may recur in articles.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from courtside.llm.common import each_text, stored_copy
 # A subtree is a template from so many pages of a host on, and from this share of them.
 MIN_PAGES = 10
 MIN_SHARE = 0.01
+# Paragraphs and headings inside an article are templates from so many different articles on.
+MIN_PROSE_PAGES = 20
 # Templates sent along, of some ten bytes each.
 MAX_SENT = 200_000
 
@@ -168,26 +171,36 @@ class Page:
         return top
 
     def subtrees(self) -> list[tuple[int, Element]]:
-        """(hash, element) of every element that may be a template: blocks but for prose and what holds the page or article."""
+        """(hash, element) of every element that may be a template: blocks but for what holds the page.
+
+        The lowest bit of the hash tells articles, and prose inside them, from the rest.
+        """
         out = []
         for e in self.elements:
-            if e.tag in INLINE or e.tag in VOID or e.tag in ("html", "head", "body", "article", "main") or e.prose:
+            if e.tag in INLINE or e.tag in VOID or e.tag in ("html", "head", "body", "main"):
                 continue
             markup = " ".join(self.source[e.start : e.end].split())
-            e.key = xxhash.xxh3_64_intdigest(markup.encode("utf-8", "surrogatepass")) - (1 << 63)
+            e.key = (xxhash.xxh3_64_intdigest(markup.encode("utf-8", "surrogatepass")) | 1) - (not (e.prose or e.tag == "article")) - (1 << 63)
             out.append((e.key, e))
         return out
 
-    def content(self) -> int:
-        """A hash of the article, or of the page without one: exact copies count as one page."""
-        spans = [self.source[e.start : e.end] for e in self.elements if e.tag in ("article", "main")] or [self.source]
-        return xxhash.xxh3_64_intdigest(" ".join(spans).encode("utf-8", "surrogatepass")) - (1 << 63)
+    def evidence(self) -> tuple[int, int, list[int], list[int]]:
+        """Hashes of the page's text outside boilerplate and of its articles; the keys outside articles, and those inside one.
+
+        Copies count as one page: of the whole text for what stands outside
+        articles, of the articles for what stands in them.
+        """
+        found = self.subtrees()
+        inside = {key for key, e in found if e.in_article}
+        articles = " ".join(self.source[e.start : e.end] for e in self.elements if e.tag in ("article", "main"))
+        digest = lambda t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63)
+        return digest(self.text(frozenset())), digest(articles), sorted({key for key, _ in found} - inside), sorted(inside)
 
-    def text(self, templates: frozenset = frozenset()) -> str:
-        """Text outside boilerplate and templates; of the articles only, if the page has one."""
+    def text(self, templates: frozenset | None = None) -> str:
+        """Text outside boilerplate and templates. Where templates were not looked for (None), of the articles only, if the page has one."""
         if templates:
             self.subtrees()
-        has_article = any(e.tag in ("article", "main") and not e.boilerplate for e in self.elements)
+        hinted = templates is None and any(e.tag in ("article", "main") and not e.boilerplate for e in self.elements)
         deleted: dict[int, bool] = {}
 
         def gone(e: Element | None) -> bool:
@@ -197,13 +210,13 @@ class Page:
                 e = e.parent
             state = deleted[id(e)] if e is not None else False
             for x in reversed(path):
-                state = deleted[id(x)] = state or x.boilerplate or (x.key is not None and x.key in templates)
+                state = deleted[id(x)] = state or x.boilerplate or (bool(templates) and x.key is not None and x.key in templates)
             return state
 
         parts, pending = [], True
         for element, raw, broken in self.chunks:
             pending = pending or broken
-            if gone(element) or (has_article and not (element is not None and element.in_article)):
+            if gone(element) or (hinted and not (element is not None and element.in_article)):
                 pending = True
                 continue
             parts.append((" " if pending else "") + entities.unescape(raw))
@@ -212,25 +225,29 @@ class Page:
 
 
 def _described(digest, url, source):
-    page = Page(source)
-    return digest, host_of(url), page.content(), sorted({key for key, _ in page.subtrees()})
+    return digest, host_of(url), *Page(source).evidence()
 
 
 def described(pages: DataFrame) -> DataFrame:
-    """(digest, host, content, keys) of every different page, stored: each page is parsed once for it."""
+    """(digest, host, content, articles, keys, inside) of every different page, stored: each page is parsed once for it."""
     digest = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
     rows = pages.select(digest.alias("digest"), "url", "html")
-    return stored_copy(each_text(rows, _described, ["digest", "url", "html"], "digest long, host string, content long, keys array<long>").distinct(), "subtrees")
+    schema = "digest long, host string, content long, articles long, keys array<long>, inside array<long>"
+    return stored_copy(each_text(rows, _described, ["digest", "url", "html"], schema).distinct(), "subtrees")
 
 
 def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, key) of ``described`` pages: subtrees that recur on many pages of a host with different content.
 
-    A host's pages are counted by content first, so no task holds a host.
+    A host's pages are counted by content first, so no task holds a host. Prose
+    of articles, by its lowest bit, recurs from ``MIN_PROSE_PAGES`` pages on.
     """
     sizes = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
-    counts = found.select("host", "content", F.explode("keys").alias("key")).distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
-    many = counts.where(F.col("n") >= min_pages).join(sizes, "host").where(F.col("n") >= min_share * F.col("n_pages"))
+    seen = lambda key: F.struct(F.col("content" if key == "keys" else "articles").alias("content"), F.col(key).alias("keys"))
+    seen = found.select("host", F.explode(F.array(seen("keys"), seen("inside"))).alias("s")).select("host", "s.content", F.explode("s.keys").alias("key"))
+    counts = seen.distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
+    least = F.when(F.col("key").bitwiseAND(1) == 1, F.greatest(F.lit(min_pages), F.lit(MIN_PROSE_PAGES))).otherwise(min_pages)
+    many = counts.where(F.col("n") >= least).join(sizes, "host").where(F.col("n") >= min_share * F.col("n_pages"))
     return stored_copy(many.select("host", "key"), "templates")
 
 
@@ -253,7 +270,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
             by_host.setdefault(r["host"], set()).add(r["key"])
         sent = pages.sparkSession.sparkContext.broadcast(by_host)
         return each_text(pages, lambda i, url, source: _text_row(i, url, source, sent.value.get(host_of(url))), ["page_id", "url", "html"], schema)
-    own = found.select("digest", "host", F.explode("keys").alias("key")).join(templates, ["host", "key"])
+    own = found.select("digest", "host", F.explode(F.concat("keys", "inside")).alias("key")).join(templates, ["host", "key"])
     own = own.groupBy(F.col("digest").alias("_digest")).agg(F.collect_set("key").alias("keys"))
     digest = F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
     joined = pages.select("page_id", "url", "html", digest.alias("digest")).join(own, F.col("digest") == F.col("_digest"), "left")

@@ -61,6 +61,19 @@ def test_prose_in_articles_is_no_template(spark):
     assert found[4] == "Common line own 4"
 
 
+def test_an_article_deletes_nothing_that_does_not_recur(spark):
+    page = "<body><p>Lead {0}</p><div><p>Body {0}</p></div><div>Site box</div><article><p>Teaser</p></article></body>"
+    rows = [(i, "http://a.com", page.format(i)) for i in range(12)]
+    assert text_by_page(h.main_text(frame(spark, rows)))[4] == "Lead 4 Body 4 Teaser"
+
+
+def test_prose_that_recurs_in_very_many_articles_goes(spark):
+    rows = [(i, "http://a.com", f"<article><h1>T {i}</h1><p>own {i}</p><p>Read our notice</p></article>") for i in range(h.MIN_PROSE_PAGES)]
+    rows += [(100 + i, "http://b.com", f"<article><p>posted often</p></article><div>by {i}</div>") for i in range(30)]
+    found = text_by_page(h.main_text(frame(spark, rows)))
+    assert found[4] == "T 4 own 4" and found[104] == "posted often by 4"
+
+
 def test_awkward_rows(spark):
     long = "<p>" + "<b>x</b> y " * 30_000
     deep = "<div>" * 5000 + "in" + "</div>" * 5000
