@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from courtside.llm.common import each_text, stored_copy
 
-# A subtree is a template from so many pages of a host on, and from this share of them.
+# A subtree is a template from so many pages of a host on, whatever the host's size.
 MIN_PAGES = 10
-MIN_SHARE = 0.01
+# On a host with few pages it is one on this share of them, from so many on.
+FEW_PAGES = 4
+FEW_SHARE = 0.5
 # Paragraphs and headings inside an article are templates from so many different articles on.
 MIN_PROSE_PAGES = 20
 # Templates sent along, of some ten bytes each.
@@ -236,22 +238,25 @@ def described(pages: DataFrame) -> DataFrame:
     return stored_copy(each_text(rows, _described, ["digest", "url", "html"], schema).distinct(), "subtrees")
 
 
-def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, few_share: float = FEW_SHARE) -> DataFrame:
     """(host, key) of ``described`` pages: subtrees that recur on many pages of a host with different content.
 
     A host's pages are counted by content first, so no task holds a host. Prose
-    of articles, by its lowest bit, recurs from ``MIN_PROSE_PAGES`` pages on.
+    of articles, by its lowest bit, recurs from ``MIN_PROSE_PAGES`` pages on, and
+    anything else from ``min_pages`` on, or on ``few_share`` of a host's pages.
     """
     sizes = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
     seen = lambda key: F.struct(F.col("content" if key == "keys" else "articles").alias("content"), F.col(key).alias("keys"))
     seen = found.select("host", F.explode(F.array(seen("keys"), seen("inside"))).alias("s")).select("host", "s.content", F.explode("s.keys").alias("key"))
     counts = seen.distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
-    least = F.when(F.col("key").bitwiseAND(1) == 1, F.greatest(F.lit(min_pages), F.lit(MIN_PROSE_PAGES))).otherwise(min_pages)
-    many = counts.where(F.col("n") >= least).join(sizes, "host").where(F.col("n") >= min_share * F.col("n_pages"))
+    prose = F.col("key").bitwiseAND(1) == 1
+    least = F.when(prose, F.greatest(F.lit(min_pages), F.lit(MIN_PROSE_PAGES))).otherwise(min_pages)
+    few = ~prose & (F.col("n") >= few_share * F.col("n_pages"))
+    many = counts.where(F.col("n") >= FEW_PAGES).join(sizes, "host").where((F.col("n") >= least) | few)
     return stored_copy(many.select("host", "key"), "templates")
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, max_sent: int = MAX_SENT) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, few_share: float = FEW_SHARE, max_sent: int = MAX_SENT) -> DataFrame:
     """page_id, url, text, n_chars, n_template of every row of ``pages`` (page_id, url, html, any others).
 
     ``n_template`` is the number of template subtrees found on the page. NULL
@@ -261,7 +266,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     more of them each page's own are joined to it.
     """
     found = described(pages)
-    templates = site_templates(found, min_pages, min_share)
+    templates = site_templates(found, min_pages, few_share)
     schema = "page_id long, url string, text string, n_chars long, n_template long"
     rows = templates.limit(max_sent + 1).collect()
     if len(rows) <= max_sent:

@@ -74,6 +74,14 @@ def test_prose_that_recurs_in_very_many_articles_goes(spark):
     assert found[4] == "T 4 own 4" and found[104] == "posted often by 4"
 
 
+def test_the_verdict_on_a_block_does_not_depend_on_the_size_of_the_host(spark):
+    page = "<body><div>Campaign</div><div>Story {0}</div></body>"
+    rows = [(i, "http://a.com", page.format(i)) for i in range(12)] + [(100 + i, "http://a.com", f"<p>Other {i}</p>") for i in range(1500)]
+    rows += [(5000 + i, "http://few.com", page.format(i)) for i in range(5)]
+    found = text_by_page(h.main_text(frame(spark, rows)))
+    assert found[3] == "Story 3" and found[103] == "Other 3" and found[5003] == "Story 3"
+
+
 def test_awkward_rows(spark):
     long = "<p>" + "<b>x</b> y " * 30_000
     deep = "<div>" * 5000 + "in" + "</div>" * 5000
