@@ -1,8 +1,10 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes of a text. A chunk ends after the word at
-whose end the hash falls below a threshold, so where chunks end depends on the
-sixteen bytes before it only, and text inserted elsewhere moves no boundary.
+whose end the hash is the smallest of some ``CUT_WORDS`` words that follow each
+other, ties included. So no chunk is longer than that, whatever the text repeats,
+and where chunks end depends on the words around only: text inserted elsewhere
+moves no boundary.
 Chunks are told apart by a 64-bit digest of their bytes. A passage is a run of
 neighbouring chunks that all occur in another document too. It may go on into
 the chunks at its two ends, and before the first of them by the bytes the hash
@@ -26,6 +28,7 @@ MIN_WORDS = 16
 # before it; so many words fit there.
 WINDOW_WORDS = 8
 MEAN_WORDS = 4
+CUT_WORDS = 2 * MEAN_WORDS - 1
 _NO_ID = -(1 << 63)
 _STEP = 1 << 20
 # Gear values: one 16-bit number for each byte, from a fixed generator.
@@ -40,6 +43,19 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def smallest(hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash is the smallest, or as small, in one of the windows of ``CUT_WORDS`` hashes that hold it."""
+    n = len(hashes)
+    cut = np.zeros(n, bool)
+    if n < CUT_WORDS:
+        return cut
+    low = np.lib.stride_tricks.sliding_window_view(hashes, CUT_WORDS).min(1)
+    for k in range(CUT_WORDS):
+        here = slice(k, n - CUT_WORDS + 1 + k)
+        cut[here] |= hashes[here] == low
+    return cut
+
+
 def chunks(text: str | None) -> tuple[list[int], list[int]]:
     """Digest of each chunk and the number of its words; empty for a text without words.
 
@@ -57,7 +73,7 @@ def chunks(text: str | None) -> tuple[list[int], list[int]]:
         part = gear(data[from_byte : at + _STEP])
         here = slice(np.searchsorted(ends - 1, at), np.searchsorted(ends - 1, at + _STEP))
         hashes[here] = part[ends[here] - 1 - from_byte]
-    cut = hashes < (1 << 16) // MEAN_WORDS
+    cut = smallest(hashes)
     cut[-1] = True
     last = np.flatnonzero(cut)
     stops = ends[last].tolist()

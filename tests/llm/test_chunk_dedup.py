@@ -55,6 +55,27 @@ def test_shared_passages_are_found_and_clean_documents_left(spark):
     assert all(r["removed_words"] == r["n_words"] if r["doc_id"] % 2 else r["removed_words"] < c.MIN_WORDS for r in found)
 
 
+def test_no_chunk_grows_in_texts_that_repeat():
+    rng = random.Random(8)
+    for _ in range(60):
+        one = text_of(rng, rng.randrange(1, 9)).split()
+        assert max(c.chunks(" ".join((one * 500)[:500]))[1]) <= c.CUT_WORDS
+
+
+def test_passages_of_repeated_words_phrases_and_lines_are_found(spark):
+    rng = random.Random(9)
+    rows, n = [], 0
+    for length in (51, 60, 100, 500):
+        for period in (1, 2, 3, 5, 8, 12):
+            for _ in range(4):
+                p = " ".join((text_of(rng, period).split() * length)[:length])
+                for _ in range(2):
+                    rows.append((n, f"{text_of(rng, 60)} {p} {text_of(rng, 60)}"))
+                    n += 1
+    found = c.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == set(range(n))
+
+
 def test_shorter_passages_are_left(spark):
     rng = random.Random(7)
     rows = []
