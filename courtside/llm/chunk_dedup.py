@@ -5,12 +5,12 @@ whose end the hash is the smallest of some ``CUT_WORDS`` words that follow each
 other, ties included. So no chunk is longer than that, whatever the text repeats,
 and where chunks end depends on the words around only: text inserted elsewhere
 moves no boundary.
-Chunks are told apart by a 64-bit digest of their bytes. A passage is a run of
-neighbouring chunks that all occur in another document too. It may go on into
-the chunks at its two ends, and before the first of them by the bytes the hash
-looks back, so its length is known within their words: a run is reported if the
-passage can be longer than ``PASSAGE_WORDS``, and from ``MIN_WORDS`` words on, so
-that a digest met by chance alone reports nothing.
+Chunks are told apart by a 64-bit digest of their bytes. A run of neighbouring
+chunks that all occur in another document is a candidate: with the words around
+it in which boundaries may differ, it holds every passage that goes through it.
+The candidates' windows of one word more than ``PASSAGE_WORDS`` are digested and
+looked up in other documents, so a passage is reported from its first word to
+its last, and only if it is longer than ``PASSAGE_WORDS``.
 """
 
 from __future__ import annotations
@@ -118,60 +118,125 @@ def shared_chunks(cut: DataFrame) -> DataFrame:
     return cut.select("doc_id", "key", F.posexplode("digests").alias("at", "digest")).join(shared, "digest").drop("digest")
 
 
-def _runs_of(passage_words: int, min_words: int):
-    def runs_of(doc_id, words, found):
-        """Runs of neighbouring chunks, as (start_word, n_words, removed_words)."""
+def _regions_of(passage_words: int, min_words: int):
+    def regions_of(doc_id, key, words, found):
+        """Runs of neighbouring chunks with the words around them that a passage may hold, as (start, end) in words."""
         starts, out, i = np.cumsum([0, *words]).tolist(), [], 0
-        found = sorted((f["at"], f["again"]) for f in found)
+        found = sorted(set(found))
         while i < len(found):
             j = i
-            while j + 1 < len(found) and found[j + 1][0] == found[j][0] + 1:
+            while j + 1 < len(found) and found[j + 1] == found[j] + 1:
                 j += 1
-            first, last = found[i][0], found[j][0]
-            n = starts[last + 1] - starts[first]
-            reach = n + (words[first - 1] if first else 0) + (words[last + 1] if last + 1 < len(words) else 0) + WINDOW_WORDS
-            if n >= min_words and reach > passage_words:
-                out.append({"start_word": starts[first], "n_words": n, "removed_words": sum(words[at] for at, again in found[i : j + 1] if again)})
+            first, last = starts[found[i]], starts[found[j] + 1]
+            # The first common boundary is in the first window past the sixteen bytes, the last one in the last window.
+            start, end = max(0, first - WINDOW_WORDS - CUT_WORDS), min(starts[-1], last + CUT_WORDS)
+            if last - first >= min_words and end - start > passage_words:
+                if out and start <= out[-1]["end"]:
+                    out[-1]["end"] = end
+                else:
+                    out.append({"start": start, "end": end})
             i = j + 1
-        return None if doc_id == _NO_ID else doc_id, out
+        return doc_id, key, out
 
-    return runs_of
+    return regions_of
 
 
-def runs(cut: DataFrame, found: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, runs): neighbouring ``found`` chunks of a text together, where the passage can be longer than ``passage_words``."""
-    again = F.col("first") < F.col("doc_id")
-    by_text = found.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", again.alias("again"))).alias("found"))
+def candidates(cut: DataFrame, found: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, key, regions), stored: where a text may hold a passage of more than ``passage_words`` words, by its ``found`` chunks."""
+    by_text = found.groupBy("doc_id", "key").agg(F.collect_list("at").alias("found"))
     rows = cut.select("doc_id", "key", "words").join(by_text, ["doc_id", "key"])
-    schema = "doc_id long, runs array<struct<start_word:long,n_words:long,removed_words:long>>"
-    return each_text(rows, _runs_of(passage_words, min_words), ["doc_id", "words", "found"], schema)
+    schema = "doc_id long, key long, regions array<struct<start:int,end:int>>"
+    return stored_copy(each_text(rows, _regions_of(passage_words, min_words), ["doc_id", "key", "words", "found"], schema).where("size(regions) > 0"), "regions")
+
+
+def _windows_of(passage_words: int):
+    def windows_of(doc_id, text, key, regions):
+        """Digests of all windows of ``passage_words + 1`` words in the regions, in order; none if the regions are another text's."""
+        encoded = (text or "").encode("utf-8", "surrogatepass")
+        if key and key != xxhash.xxh3_64_intdigest(encoded) - (1 << 63):
+            return doc_id, key, [], []
+        words, digest, out = encoded.split(), xxhash.xxh3_64_intdigest, []
+        for r in regions:
+            part = words[r["start"] : r["end"]]
+            joined, stops = b" ".join(part), np.cumsum([len(w) + 1 for w in part]).tolist()
+            out += [digest(joined[a : b - 1]) for a, b in zip([0, *stops], stops[passage_words:])]
+        return doc_id, key, regions, np.array(out, np.uint64).view(np.int64).tolist()
+
+    return windows_of
+
+
+def windows(docs: DataFrame, regions: DataFrame, passage_words: int = PASSAGE_WORDS) -> DataFrame:
+    """(doc_id, key, regions, digests) of every text with regions, stored; each text once."""
+    where = regions.withColumnRenamed("doc_id", "_id")
+    rows = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc_id"), "text").join(where, F.col("doc_id") == F.col("_id"))
+    schema = "doc_id long, key long, regions array<struct<start:int,end:int>>, digests array<long>"
+    return stored_copy(each_text(rows, _windows_of(passage_words), ["doc_id", "text", "key", "regions"], schema).where("size(digests) > 0"), "windows")
+
+
+def _spans_of(passage_words: int, only_again: bool):
+    size = passage_words + 1
+
+    def spans_of(doc_id, key, regions, found):
+        """Passages as (start_word, n_words, removed_words): windows that overlap are one."""
+        again = {f["at"] for f in found if f["again"]}
+        found = sorted(again if only_again else {f["at"] for f in found})
+        places = np.concatenate([np.arange(r["start"], r["end"] - passage_words) for r in regions])
+        out, end, removed_to = [], -1, 0
+        for at in found:
+            start = int(places[at])
+            if start >= end:
+                out.append({"start_word": start, "n_words": 0, "removed_words": 0})
+                removed_to = start
+            end = start + size
+            out[-1]["n_words"] = end - out[-1]["start_word"]
+            if at in again:
+                out[-1]["removed_words"] += end - max(start, removed_to)
+                removed_to = end
+        return None if doc_id == _NO_ID else doc_id, key, out
+
+    return spans_of
+
+
+def spans(docs: DataFrame, passage_words: int, min_words: int, only_again: bool) -> DataFrame:
+    """(doc_id, key, spans): the passages of each text, or with ``only_again`` those that a smaller doc_id has."""
+    cut = chunked(docs)
+    held = windows(docs, candidates(cut, shared_chunks(cut), passage_words, min_words), passage_words)
+    found = shared_chunks(held)
+    found = found.groupBy("doc_id", "key").agg(F.collect_list(F.struct("at", (F.col("first") < F.col("doc_id")).alias("again"))).alias("found"))
+    rows = held.select("doc_id", "key", "regions").dropDuplicates(["doc_id", "key"]).join(found, ["doc_id", "key"])
+    schema = "doc_id long, key long, spans array<struct<start_word:long,n_words:long,removed_words:long>>"
+    return each_text(rows, _spans_of(passage_words, only_again), ["doc_id", "key", "regions", "found"], schema)
 
 
 def repeated_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """Passages of more than ``passage_words`` words of ``docs`` (doc_id, text, any others) that occur in other documents too.
 
-    doc_id, start_word (from 0), n_words, removed_words (words of chunks that
-    a document with a smaller doc_id has already; a few by chance in the first
-    document). One row per passage and document, the first document included.
-    Nothing is found in NULL and empty texts and in an empty table. Rows that
-    repeat a doc_id do not count as other documents, and rows that are the same
-    are told once; rows without doc_id are one document without id.
+    doc_id, start_word (from 0), n_words, removed_words (those in passages that
+    a document with a smaller doc_id has already). One row per passage and
+    document, the first document included; passages that overlap are told as
+    one. ``min_words`` words of shared chunks make a candidate, which is then
+    looked up window by window, told apart by 64-bit digests. Nothing is found
+    in NULL and empty texts and in an empty table. Rows that repeat a doc_id do
+    not count as other documents, and rows that are the same are told once;
+    rows without doc_id are one document without id.
     """
-    cut = chunked(docs)
-    return runs(cut, shared_chunks(cut), passage_words, min_words).select("doc_id", F.inline("runs"))
+    return spans(docs, passage_words, min_words, False).select("doc_id", F.inline("spans"))
 
 
 def remove_repeats(docs: DataFrame, passage_words: int = PASSAGE_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id and the text left of each document, with passages cut that an earlier document has; words joined by one space."""
-    chunks_of = chunked(docs)
-    cut = runs(chunks_of, shared_chunks(chunks_of).where("first < doc_id"), passage_words, min_words)
-    cut = cut.groupBy("doc_id").agg(F.flatten(F.collect_list("runs")).alias("spans")).withColumnRenamed("doc_id", "_id")
+    cut = spans(docs, passage_words, min_words, True).groupBy("doc_id").agg(F.collect_list(F.struct("key", "spans")).alias("spans"))
+    cut = cut.withColumnRenamed("doc_id", "_id")
     rows = docs.join(cut, docs["doc_id"] == cut["_id"], "left").select("doc_id", "text", "spans")
     return each_text(rows, _without, ["doc_id", "text", "spans"], "doc_id long, text string")
 
 
 def _without(doc_id, text, spans):
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    for s in spans or ():
-        words[s["start_word"] : s["start_word"] + s["n_words"]] = [b""] * s["n_words"]
+    encoded = (text or "").encode("utf-8", "surrogatepass")
+    words = encoded.split()
+    for of_text in spans or ():
+        if of_text["key"] and of_text["key"] != xxhash.xxh3_64_intdigest(encoded) - (1 << 63):
+            continue
+        for s in of_text["spans"]:
+            words[s["start_word"] : s["start_word"] + s["n_words"]] = [b""] * s["n_words"]
     return doc_id, None if text is None else b" ".join(w for w in words if w).decode("utf-8", "surrogatepass")

@@ -76,6 +76,24 @@ def test_passages_of_repeated_words_phrases_and_lines_are_found(spark):
     assert {r["doc_id"] for r in found} == set(range(n))
 
 
+def test_passages_are_reported_from_their_first_word_to_their_last(spark):
+    rng = random.Random(10)
+    rows, want = [], set()
+    for k, n in enumerate([16, 25, 40, 49, 50, 51, 52, 70, 300] * 6):
+        p = text_of(rng, n)
+        for i in (2 * k, 2 * k + 1):
+            at = rng.randrange(1, 60)
+            rows.append((i, f"{text_of(rng, at)} {p} {text_of(rng, rng.randrange(1, 60))}"))
+            if n > 50:
+                want.add((i, at, n, n if i % 2 else 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in c.repeated_passages(df).collect()} == want
+    left, cut = dict(told(c.remove_repeats(df), "doc_id", "text")), {i: (at, n) for i, at, n, gone in want if gone}
+    for i, text in rows:
+        at, n = cut.get(i, (0, 0))
+        assert left[i].split() == text.split()[:at] + text.split()[at + n :]
+
+
 def test_shorter_passages_are_left(spark):
     rng = random.Random(7)
     rows = []
