@@ -27,7 +27,8 @@ MIN_COMMON_WORDS = 50
 MAX_CLASS_DISTANCE = 0.28
 MAX_COMMON_DISTANCE = 0.265
 MIN_LANGUAGE_DOCS = 20
-MAX_LANGUAGES = 200
+# Up to so many references are written into the plan; more are a joined row.
+INLINE_LANGUAGES = 200
 
 # Frequent function words of the languages that have a list.
 COMMON_WORDS = {
@@ -120,20 +121,40 @@ def common_counts(words: Column, listed: list[str]) -> Column:
     )
 
 
+def _entropy(x: Column) -> Column:
+    return F.when(x > 0, -x * F.log2(x)).otherwise(0.0)
+
+
+def _total(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+
+
+def _distance(shares: Column, own: Column, reference: Column, other: Column | float) -> Column:
+    """Of shares and a reference, with the entropies of both."""
+    mean = F.zip_with(shares, reference, lambda p, q: _entropy((p + q) / 2))
+    return F.sqrt(F.greatest(_total(mean) - (own + other) / 2, F.lit(0.0)))
+
+
+def _compared(counts: Column, nearest) -> Column:
+    """``nearest(shares, their entropy)`` of counts."""
+    of = lambda shares: let(_total(F.transform(shares, _entropy)), lambda own: nearest(shares, own))
+    return let(let(F.greatest(_total(counts), F.lit(1.0)), lambda n: F.transform(counts, lambda c: c / n)), of)
+
+
 def distances(counts: Column, known: list[list[float]]) -> Column:
     """The smallest Jensen-Shannon distance (base 2) between counts and one of the reference shares."""
-    entropy = lambda x: F.when(x > 0, -x * F.log2(x)).otherwise(0.0)
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
     def to(shares: Column, own: Column, reference: list[float]) -> Column:
         other = -math.fsum(q * math.log2(q) for q in reference if q > 0)
-        mean = F.zip_with(shares, F.array(*[F.lit(q) for q in reference]), lambda p, q: entropy((p + q) / 2))
-        return F.sqrt(F.greatest(total(mean) - (own + other) / 2, F.lit(0.0)))
+        return _distance(shares, own, F.array(*[F.lit(q) for q in reference]), other)
+
+    return _compared(counts, lambda shares, own: F.least(*[to(shares, own, r) for r in known], F.lit(1.0)))
 
-    def of(shares: Column) -> Column:
-        return let(total(F.transform(shares, entropy)), lambda own: F.least(*[to(shares, own, r) for r in known], F.lit(1.0)))
 
-    return let(let(F.greatest(total(counts), F.lit(1.0)), lambda n: F.transform(counts, lambda c: c / n)), of)
+def distances_to(counts: Column, known: Column) -> Column:
+    """``distances`` to an array of reference shares."""
+    to = lambda shares, own, r: let(_total(F.transform(r, _entropy)), lambda other: _distance(shares, own, r, other))
+    return _compared(counts, lambda shares, own: F.aggregate(known, F.lit(1.0), lambda a, r: F.least(a, to(shares, own, r))))
 
 
 def measured(docs: DataFrame, listed: list[str]) -> DataFrame:
@@ -164,34 +185,40 @@ def measured(docs: DataFrame, listed: list[str]) -> DataFrame:
     return docs.withColumn("m", let(text, lambda t: let(one_spaced(t), lambda s: of(t, s))))
 
 
-def references(counted: DataFrame, listed: list[str]) -> list[dict]:
-    """One row per language of ``counted`` (lang, m): shares of character classes and common words.
+def references(counted: DataFrame, listed: list[str]) -> DataFrame:
+    """(lang, classes, common) of every language of ``counted`` (lang, m): shares of character classes and common words.
 
-    Summed over all documents with enough words. The number of languages is
-    bounded by ``MAX_LANGUAGES`` (most documents first), so the rows that
-    reach the driver are too.
+    Summed over all documents with enough words, of languages that have enough of them.
     """
     n_classes, n_common = 7, len(listed) + 1
     enough = counted.where((F.col("m.counts.n_words") >= MIN_COMMON_WORDS) & F.col("lang").isNotNull())
     sums = [F.sum(F.get("m.classes", F.lit(i))).alias(f"c{i}") for i in range(n_classes)]
     sums += [F.sum(F.get("m.common", F.lit(i))).alias(f"w{i}") for i in range(n_common)]
     by_lang = enough.groupBy("lang").agg(F.count("*").alias("n"), *sums).where(F.col("n") >= MIN_LANGUAGE_DOCS)
-    rows = by_lang.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    shares = lambda values: [v / max(math.fsum(values), 1.0) for v in values]
-    return [
-        {"lang": r["lang"], "classes": shares([r[f"c{i}"] for i in range(n_classes)]), "common": shares([r[f"w{i}"] for i in range(n_common)])}
-        for r in rows
-    ]
+    shares = lambda x: let(F.greatest(_total(x), F.lit(1.0)), lambda n: F.transform(x, lambda v: v / n))
+    histogram = lambda key, n: shares(F.array(*[F.col(f"{key}{i}") for i in range(n)]))
+    return by_lang.select("lang", histogram("c", n_classes).alias("classes"), histogram("w", n_common).alias("common"))
+
 
+def _judged(docs: DataFrame, carry: list[str], common_words: dict[str, str], own: bool = False) -> DataFrame:
+    """``quality`` beside the columns ``carry`` of ``docs``, which are called c0, c1 and so on.
 
-def _judged(docs: DataFrame, carry: list[str], common_words: dict[str, str]) -> DataFrame:
-    """``quality`` beside the columns ``carry`` of ``docs``, which are called c0, c1 and so on."""
+    With ``own`` a document whose language has no reference is not compared with those of others.
+    """
     listed = vocabulary(common_words)
     rows = docs.select(F.col("text"), F.col("lang"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
     counted = stored_copy(measured(rows, listed).drop("text"), "measured")
-    known = references(counted, listed)
-    nearest = lambda key: distances(F.col(f"m.{key}"), [r[key] for r in known])
-    guard = lambda enough, key: F.when(enough, nearest(key)) if known else F.lit(None).cast("double")
+    refs = stored_copy(references(counted, listed), "references")
+    known = refs.limit(INLINE_LANGUAGES + 1).collect()
+    if len(known) > INLINE_LANGUAGES:
+        counted = counted.crossJoin(F.broadcast(refs.agg(*[F.collect_list(c).alias(f"_{c}") for c in refs.columns])))  # one row
+        nearest = lambda key: distances_to(F.col(f"m.{key}"), F.col(f"_{key}"))
+        has_own = F.array_contains("_lang", F.col("lang"))
+    else:
+        nearest = lambda key: distances(F.col(f"m.{key}"), [r[key] for r in known])
+        has_own = F.col("lang").isin([r["lang"] for r in known])
+    judge = F.coalesce(has_own, F.lit(False)) if own else F.lit(True)
+    guard = lambda enough, key: F.when(judge & enough, nearest(key)) if known else F.lit(None).cast("double")
     n, repeat = F.col("m.counts.n_words"), F.col("m.counts.n_repeat_words")
     base = (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
     far = counted.withColumns(
@@ -222,6 +249,9 @@ def judged(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), common_words:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns as they were."""
-    kept = _judged(docs, docs.columns, COMMON_WORDS).where("quality.kept")
+    """The rows of ``docs`` that the rules keep, with their columns as they were.
+
+    Only documents whose own language has a reference are judged by distance.
+    """
+    kept = _judged(docs, docs.columns, COMMON_WORDS, own=True).where("quality.kept")
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -73,6 +73,23 @@ def test_rows_that_stay_are_as_they_were(docs, no_docs):
     assert told(kept, "doc_id")[0] in told(docs, "doc_id") and q.keep_good(no_docs).count() == 0
 
 
+def test_languages_without_a_reference_are_not_judged_by_others(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("абвгдежзиклмнопрст") for _ in range(6))
+    rows = [(i, clean(i), "en") for i in range(30)] + [(100 + k, " ".join(word() for _ in range(90)), lang) for k, lang in enumerate(["ru", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in q.keep_good(df).collect()} == {*range(30), 100, 101}
+
+
+def test_references_in_a_joined_row_judge_alike(spark, monkeypatch):
+    rows = [(i, clean(i), "en" if i % 2 else "xx") for i in range(60)] + [(100, " ".join(f"{w}$$$ {w}###%%%" for w in clean(100).split()), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    told_of = lambda: {r["doc_id"]: (r["quality"]["kept"], round(r["quality"]["class_distance"], 9)) for r in q.judged(df).collect()}
+    inline = told_of()
+    monkeypatch.setattr(q, "INLINE_LANGUAGES", 1)
+    assert told_of() == inline and not inline[100][0]
+
+
 def test_no_python_in_the_plan(docs):
     plan = q.judged(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
