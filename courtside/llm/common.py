@@ -75,6 +75,21 @@ def stored_copy(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_k1`` and ``_k2``: hashes of all columns, the same for equal rows only."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.withColumns({"_k1": F.xxhash64(F.lit(1), *columns, *[c.isNull() for c in columns]), "_k2": F.xxhash64(F.lit(2), *columns, *[c.isNull() for c in columns])})
+
+
+def once(keyed: DataFrame) -> DataFrame:
+    """``with_row_key`` rows, one of each key."""
+    twice = keyed.groupBy("_k1", "_k2").count().where("count > 1").select("_k1", "_k2")
+    if twice.isEmpty():
+        return keyed
+    single = keyed.join(twice, ["_k1", "_k2"], "left_anti")
+    return single.unionByName(keyed.join(twice, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]))
+
+
 def plain_words(text: Column) -> Column:
     """``raw_words`` with A-Z in lower case."""
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), PLAIN_GAP_ANY_CASE), "")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import SPACE, SPACE_CHARS, let, stored_copy
+from courtside.llm.common import SPACE, SPACE_CHARS, let, once, stored_copy, with_row_key
 
 # Weights dealt to the sources in order, repeating, and how each weight's
 # schedule leans: weight at the end minus weight at the start, half of it, as a
@@ -77,9 +77,14 @@ def mixed(docs: DataFrame, whole: bool = False, weights: tuple[float, ...] = WEI
     No group is summed in one task: each source is cut into hash ranges, whose
     sums are added up first.
     """
+    return _mixed(docs, whole, weights, max_epochs, [])
+
+
+def _mixed(docs: DataFrame, whole: bool, weights: tuple[float, ...], max_epochs: int, carry: list[str]) -> DataFrame:
+    """``mixed`` beside the columns ``carry``, which also order the documents that nothing else does."""
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     sized = stored_copy(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("o")).withColumn(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("o"), *carry).withColumn(
             "bucket", F.substring("o", 1, BUCKET_DIGITS)
         ),
         "sizes",
@@ -92,7 +97,7 @@ def mixed(docs: DataFrame, whole: bool = False, weights: tuple[float, ...] = WEI
     plan = stored_copy(buckets.join(goals, same).select(buckets["source"], "bucket", "bucket_start", "source_size", "tilt", "target"), "mix")
     named = plan.withColumnsRenamed({"source": "_s", "bucket": "_b"})
     rows = sized.join(named, sized["source"].eqNullSafe(named["_s"]) & (sized["bucket"] == named["_b"]))
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("o", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("o", "doc_id", "size", *carry).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.col("bucket_start") + F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
     # Words of the target that are left when each epoch reaches the document.
     epochs = F.sequence(F.lit(0), F.lit(max_epochs - 1))
@@ -113,6 +118,7 @@ def mixed(docs: DataFrame, whole: bool = False, weights: tuple[float, ...] = WEI
         F.aggregate("slots", F.lit(0).cast("long"), lambda a, s: a + s.getField("words")).alias("taken"),
         F.size("slots").alias("copies"),
         F.transform("slots", lambda s: s.getField("position")).alias("positions"),
+        *carry,
     )
     return out.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
@@ -120,11 +126,12 @@ def mixed(docs: DataFrame, whole: bool = False, weights: tuple[float, ...] = WEI
 def curriculum(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, whole, sorted by range of training position.
 
-    Columns as in ``docs``. Rows that share a doc_id share the number of copies
-    of the least of them; rows without doc_id or without words are not taken.
+    Columns as in ``docs``. Rows are told apart by a key of all their columns, so
+    repeated and missing ids are rows of their own; equal rows are taken as
+    often as all of them are. Rows without words are not taken.
     """
-    taken = mixed(docs, True, weights, max_epochs).where("copies > 0 and doc_id is not null")
-    taken = taken.groupBy("doc_id").agg(F.min(F.struct("copies", "positions")).alias("_m"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.explode("_m.positions").alias("_position"))
-    rows = docs.join(taken, docs["doc_id"] == taken["_id"])
-    return rows.orderBy("_position", "_id").select(*[docs[c] for c in docs.columns])
+    keyed = with_row_key(docs)
+    taken = _mixed(keyed, True, weights, max_epochs, ["_k1", "_k2"]).where("copies > 0")
+    taken = taken.select("_k1", "_k2", F.explode("positions").alias("_position"))
+    rows = once(keyed).join(taken, ["_k1", "_k2"])
+    return rows.orderBy("_position", "doc_id", "_k1", "_k2").select(*[rows[c] for c in docs.columns])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import each_text, stored_copy
+from courtside.llm.common import each_text, once, stored_copy, with_row_key
 from courtside.session import ship_package
 
 SHINGLE_WORDS = 4
@@ -219,14 +219,24 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the document with the smallest doc_id.
+    """The rows of ``docs`` that stay: of each group the row with the smallest doc_id, one without doc_id only if no other has one.
 
-    All columns are kept. Of rows that repeat a doc_id one stays; rows without
-    doc_id stay.
+    All columns are kept. Rows are told apart by a key of all their columns, so
+    different texts that share a doc_id, or have none, are documents of their
+    own. Of equal rows one stays; rows with neither doc_id nor words stay.
     """
-    extra = near_duplicates(docs, bits).where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
-    twice = rest.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if twice.isEmpty():
-        return rest
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id is null"))
+    keyed = with_row_key(docs)
+    prints = stored_copy(each_text(keyed, _keyed, ["doc_id", "text", "_k1", "_k2"], "doc_id long, fp long, blank boolean, _k1 long, _k2 long"), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")
+    first = stored_copy(prints.groupBy("fp").agg(F.min(place).alias("first")), "first")
+    member = components(links(first.select("fp"), bits)).withColumnRenamed("node", "fp").join(first, "fp")
+    least = member.groupBy("root").agg(F.min("first").alias("least"))
+    classes = first.join(member.join(least, "root").select("fp", "least"), "fp", "left")
+    classes = stored_copy(classes.select("fp", F.coalesce("least", "first").alias("stays")), "classes")
+    others = (F.col("_k1") != F.col("stays._k1")) | (F.col("_k2") != F.col("stays._k2"))
+    extra = prints.join(classes, "fp").where(others & ~(F.col("blank") & F.col("doc_id").isNull())).select("_k1", "_k2").distinct()
+    return once(keyed.join(extra, ["_k1", "_k2"], "left_anti")).select(*docs.columns)
+
+
+def _keyed(doc_id, text, k1, k2):
+    return doc_id, fingerprint(text), not (text or "").split(), k1, k2

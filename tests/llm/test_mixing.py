@@ -76,6 +76,12 @@ def test_rows_as_often_as_taken(spark):
     assert got == want and set(want.values()) <= {1, 2, 3}
 
 
+def test_rows_with_repeated_or_no_ids_are_taken(spark):
+    rows = [(None if i % 2 else i // 8, f"w{i} " * 5, "a") for i in range(40)] + [(None, "same " * 5, "a")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert told(m.curriculum(docs), "doc_id", "text", "source") == sorted(rows, key=repr)
+
+
 def test_awkward_rows(docs, no_docs):
     got = told(m.mixed(docs), "doc_id", "size", "source")
     assert got == sorted(((r[0], len(space_words(r[1])), r[3]) for r in awkward()), key=repr)

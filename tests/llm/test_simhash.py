@@ -93,6 +93,13 @@ def test_awkward_rows(docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_different_texts_with_one_id_or_none_stay(spark):
+    text = lambda k: " ".join(f"word{k}x{i}" for i in range(60))
+    rows = [(1, text(0)), (1, text(1)), (2, text(1)), (None, text(2)), (None, text(2)), (None, text(3)), (None, text(0))]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["text"] for r in kept.collect()} == {text(k) for k in range(4)} and kept.count() == 4
+
+
 def test_one_document_of_each_group_stays(docs, no_docs):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
