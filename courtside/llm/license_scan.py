@@ -48,8 +48,7 @@ TEMPLATES = {
     "cc0": ("to the extent possible under law the author has waived all copyright", ["waived all copyright"]),
 }
 
-# A file's license words looked up at most, and the share of a template's words that must agree.
-RAREST = 64
+# The share of a template's words that must agree.
 MIN_SHARE = 0.6
 
 
@@ -126,7 +125,7 @@ class Scanner:
                     found.places += places
                     found.base.add(self.index.labels[name])
                     found.score = 1.0
-        looked_up = sorted(present, key=lambda w: (-self.index.weight[w], w))[:RAREST]
+        looked_up = sorted(present, key=lambda w: (-self.index.weight[w], w))
         candidates = {t for w in looked_up for t, _ in self.index.postings[w] if t not in self.index.base}
         for name in candidates:
             share = self._share(name, at)

@@ -45,6 +45,12 @@ def test_templates_by_relative_position():
     assert 0.6 <= scan("licensed beneath the apache license version 2").score < 1
 
 
+def test_all_license_words_of_a_text_are_looked_up():
+    templates = {f"t{i}": (f"rare{i}a rare{i}b shared words", [f"rare{i}a rare{i}b"]) for i in range(120)}
+    scan = Scanner(Index.build(templates)).scan
+    assert scan(" . ".join(text for text, _ in templates.values())).labels == set(templates)
+
+
 def test_awkward_rows(docs, no_docs):
     got = told(license_scan(docs), "doc_id", "n_words", "n_base", "labels", "score")
     assert got == sorted(((r[0], len(plain_words(r[1])), 0, "", 0.0) for r in awkward()), key=repr)
