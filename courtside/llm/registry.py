@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import chunk_dedup, decontamination, html_text, language_id, license_scan, mixing, pii, quality, simhash, token_files
+from courtside.llm import chunk_dedup, decontamination, fill_in_middle, html_text, language_id, license_scan, mixing, pii, quality, simhash, token_files
+from courtside.llm import top_k as top_k_search
+from courtside.llm import whitening
 from courtside.llm.common import read
 
 # The vocabulary the queries encode with; the operator takes any file's path.
@@ -60,10 +62,26 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.main_text(read(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
+
+
+def op12_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k_search.top_k(read(spark, folder, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(read(spark, folder, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(back).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_license_scan, op2_simhash, op3_decontamination, op4_chunk_dedup, op5_pii, op6_quality, op7_token_files, op8_language_id, op9_mixing, op10_html_text
+        op1_license_scan, op2_simhash, op3_decontamination, op4_chunk_dedup, op5_pii, op6_quality, op7_token_files, op8_language_id, op9_mixing, op10_html_text,
+        op11_whitening, op12_top_k, op13_fill_in_middle,
     )
 }
 
@@ -144,4 +162,25 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM counted"""
 
 
-ORACLES: dict[str, str] = {"op3_decontamination": OP3_SQL, "op6_quality": _quality_sql(), "op9_mixing": OP9_SQL}
+OP12_SQL = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({top_k_search.SCALE} * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % {top_k_search.QUERY_EVERY} = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY rank <= {top_k_search.K}"""
+
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS ws FROM documents),
+d AS (SELECT *, CAST(len(ws) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS hs FROM t),
+c AS (SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 50 THEN 'plain'
+    WHEN hs[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(ws[1:a], '') AS pre, array_to_string(ws[a + 1:b], '') AS mid, array_to_string(ws[b + 1:], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p"""
+
+ORACLES: dict[str, str] = {"op3_decontamination": OP3_SQL, "op6_quality": _quality_sql(), "op9_mixing": OP9_SQL, "op12_top_k": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
