@@ -2,75 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtside.session import materialize
+from courtside.session import materialize, ship_package
 
-# A group with more rows than this is cut into slices of about this size.
+# A group with more rows than this is not left to one task.
 SLICE_ROWS = 1_000_000
 
-# Most rows a lookup of hot groups or slices may have to be broadcast; beyond
-# it the join is left to the adaptive planner.
+# Most rows a lookup may have to be broadcast; beyond it the join is left to
+# the adaptive planner.
 BROADCAST_ROWS = 100_000
 
 
-def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], n_rows: int) -> DataFrame:
-    """Left join of a lookup whose row count is known, null keys matching."""
-    small = small.withColumnsRenamed({key: f"_of_{key}" for key in keys})
-    side = F.broadcast(small) if n_rows <= BROADCAST_ROWS else small
-    same = [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys]
-    return df.join(side, same, "left").drop(*[f"_of_{key}" for key in keys])
-
-
-def _whole_number(df: DataFrame, order: str) -> None:
-    """Other orders cannot be cut into ranges, so they are refused at every size."""
-    if not isinstance(df.schema[order].dataType, T.IntegralType):
-        raise TypeError(f"{order} must be a whole number, not {df.schema[order].dataType.simpleString()}")
-
-
-def cut_into_slices(
-    df: DataFrame, keys: Sequence[str], order: str, slice_rows: int = SLICE_ROWS
-) -> tuple[DataFrame, list[str], int]:
-    """Add columns that cut each group of more than ``slice_rows`` rows into ranges of ``order``.
-
-    Returns the frame, the slice columns, outermost first, and the number of
-    slices. The first cut makes ranges of equal width; a range that still holds
-    too many rows, because the numbers crowd there, is cut again into a further
-    column. Rows without a number come first, as slice -1 of their group. Rows
-    that needed no cut have NULL. Without a large group there are no slice columns.
-    """
-    _whole_number(df, order)
-    group, levels, n_slices = list(keys), [], 0
-    number = F.col(order).cast("bigint")
-    rows = df
-    while True:
-        sizes = rows.groupBy(*group).agg(
-            F.count(F.lit(1)).alias("_n"), F.min(number).alias("_lo"), F.max(number).alias("_hi")
-        )
-        hot = sizes.where((F.col("_n") > slice_rows) & (F.col("_hi") > F.col("_lo"))).withColumn(
-            "_pieces", F.ceil(F.col("_n") / F.lit(slice_rows))
-        )
-        n_hot, pieces = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_pieces"), F.lit(0))).first()
-        if n_hot == 0:
-            return df, levels, n_slices
-        n_slices += pieces
-        # Stored, as every further cut builds on it.
-        hot = materialize(hot.drop("_n"), "hot")
-        level = f"_slice_{len(levels)}"
-        reach = F.col("_hi") - F.col("_lo") + 1
-        place = F.floor((number - F.col("_lo")) / reach * F.col("_pieces"))
-        df = (
-            _lookup(df, hot, group, n_hot)
-            .withColumn(level, F.when(F.col("_pieces").isNotNull(), F.coalesce(place.cast("bigint"), F.lit(-1))))
-            .drop("_lo", "_hi", "_pieces")
-        )
-        levels.append(level)
-        group.append(level)
-        rows = df.where(F.col(level).isNotNull())
+def _in_order(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> list[str]:
+    """The columns rows of a group are put in order by: ``order``, then the values, then all else that can be compared."""
+    first = [order, *columns]
+    taken = {*keys, *first}
+    rest = [f.name for f in df.schema.fields if f.name not in taken and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return [*first, *rest]
 
 
 def with_previous(
@@ -83,34 +39,96 @@ def with_previous(
 ) -> DataFrame:
     """Add ``prev_<column>``: the value one row earlier in the group, by ``order``.
 
-    ``order`` is a whole number that is unique in its group; a row without one
-    comes first, and rows that do share a number are taken by their values.
-    When no group has more than ``slice_rows`` rows this is one window. Otherwise the larger
-    groups are cut into slices, the window runs per slice, and the first row of
-    a slice takes the last row of the slice before it, so that no task sorts a
-    whole hot group.
+    ``order`` is a column of any type that can be compared. Rows without a value
+    for it come first, and rows that share one are put in order by the values
+    and then by their other columns, so the result is the same on any
+    partitioning. When no group has more than ``slice_rows`` rows this is one
+    window; otherwise the rows are scanned in ranges, see :func:`scanned`.
     """
-    keys = list(keys)
-    cut, levels, n_slices = cut_into_slices(df, keys, order, slice_rows)
-    if not levels:
-        window = Window.partitionBy(*keys).orderBy(order, *columns)
-        return df.withColumns({prefix + c: F.lag(c).over(window) for c in columns})
-
-    values = F.struct(*columns)
-    tails = (
-        cut.where(F.col(levels[0]).isNotNull())
-        .groupBy(*keys, *levels)
-        .agg(F.max(F.struct(F.col(order).alias("_order"), values.alias("_values"))).getField("_values").alias("_tail"))
-    )
-    # One row per slice here, for the many rows of a slice there.
-    carried = tails.withColumn(
-        "_carry", F.lag("_tail").over(Window.partitionBy(*keys).orderBy(*levels))
-    ).drop("_tail")
-
-    window = Window.partitionBy(*keys, *levels).orderBy(order, *columns)
-    inside = cut.withColumn("_inside", F.lag(values).over(window))
-    joined = _lookup(inside, carried, [*keys, *levels], n_slices)
-    previous = F.coalesce(F.col("_inside"), F.col("_carry"))
-    return joined.select(
-        *df.columns, *[previous.getField(c).alias(prefix + c) for c in columns]
+    keys, columns = list(keys), list(columns)
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if largest is not None and largest > slice_rows:
+        return scanned(df, keys, order, columns, prefix)
+    window = Window.partitionBy(*keys).orderBy(*_in_order(df, keys, order, columns))
+    return df.withColumns({prefix + c: F.lag(c).over(window) for c in columns})
+
+
+# --- the scan in ranges ---
+
+# Where a row stands in its range: number of the range, first of it, last of it.
+_PLACE = (("_range", T.IntegerType()), ("_first", T.BooleanType()), ("_last", T.BooleanType()))
+
+
+def _same(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Whether two arrays agree row by row; NULL agrees with NULL, and NaN with NaN."""
+    equal = pc.or_(pc.fill_null(pc.equal(left, right), False), pc.and_(pc.is_null(left), pc.is_null(right)))
+    if pa.types.is_floating(left.type):
+        equal = pc.or_(equal, pc.fill_null(pc.and_(pc.is_nan(left), pc.is_nan(right)), False))
+    return equal
+
+
+def _shifted(before: pa.Array, column: pa.Array) -> pa.Array:
+    """A column one row down, with the one row ``before`` in front."""
+    return pa.concat_arrays([before, column.slice(0, len(column) - 1)])
+
+
+def scan_ranges(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """``df`` sorted by range, stored, with the previous values inside each range, and where each row stands in it."""
+    ship_package(df.sparkSession)
+    names = df.columns
+    at_key, at_value = [names.index(k) for k in keys], [names.index(c) for c in columns]
+    added = [T.StructField(prefix + c, df.schema[c].dataType) for c in columns]
+    out = T.StructType([*df.schema.fields, *added, *[T.StructField(n, t) for n, t in _PLACE]])
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, before = TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.num_rows
+            same = pa.array([True] * n)
+            for i in at_key:
+                column = batch.column(i)
+                same = pc.and_(same, _same(column, _shifted(column.slice(0, 1) if before is None else before.column(i), column)))
+            first = pa.array([before is None] + [False] * (n - 1))
+            same = pc.and_not(same, first)
+            found = []
+            for i in at_value:
+                column = batch.column(i)
+                back = _shifted(column.slice(0, 1) if before is None else before.column(i), column)
+                found.append(pc.if_else(same, back, pa.scalar(None, column.type)))
+            if held is not None:
+                yield pa.RecordBatch.from_arrays([*held, pa.array([False] * len(held[0]))], names=out.names)
+            held = [*batch.columns, *found, pa.array([number] * n, pa.int32()), first]
+            before = batch.slice(n - 1, 1)
+        if held is not None:
+            n = len(held[0])
+            yield pa.RecordBatch.from_arrays([*held, pa.array([False] * (n - 1) + [True])], names=out.names)
+
+    sorting = [*keys, *_in_order(df, keys, order, columns)]
+    ranges = df.repartitionByRange(*[F.col(c) for c in sorting]).sortWithinPartitions(*sorting)
+    return materialize(ranges.mapInArrow(scan, out), "scan")
+
+
+def scanned(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """:func:`with_previous` by a segmented scan over a range sort, whatever the size of a group.
+
+    Rows are sorted by keys and order by range, so a large group lies in several
+    ranges of equal size. Each task looks one row back in its range; the first
+    row of a range takes what it needs from the last row of the range before, and
+    these last rows, one per range, are all that is passed on. Only rows that are
+    the same in all columns cannot be cut apart.
+    """
+    keys, columns = list(keys), list(columns)
+    stored = scan_ranges(df, keys, order, columns, prefix)
+    # One row per range from here on.
+    last = stored.where("_last").select("_range", F.struct(*keys).alias("_keys"), F.struct(*columns).alias("_values"))
+    in_order = Window.orderBy("_range")
+    seams = last.select(
+        F.col("_range").alias("_at"), F.lag("_keys").over(in_order).alias("_keys"), F.lag("_values").over(in_order).alias("_values")
     )
+    heads = stored.where("_first").join(F.broadcast(seams), F.col("_range") == F.col("_at"))
+    goes_on = F.struct(*keys).eqNullSafe(F.col("_keys"))
+    heads = heads.withColumns({prefix + c: F.when(goes_on, F.col("_values").getField(c)) for c in columns})
+    result = [*df.columns, *[prefix + c for c in columns]]
+    return stored.where("NOT _first").select(*result).unionByName(heads.select(*result))

@@ -43,10 +43,28 @@ def score_deltas(t):
 
 @query("score_deltas_sliced", _DELTA_SQL)
 def score_deltas_sliced(t):
-    """The same with every game taken for a hot one, so that all are cut into slices."""
+    """The same with every game taken for a hot one, so that all are scanned in ranges."""
     return features.score_deltas(t["v_events_scored"], slice_rows=50)
 
 
+# Most rows are one game's; half of its rows share one number, and others have none.
+_TIES = (
+    "CASE WHEN game_id <= 20 THEN 0 ELSE game_id END AS game_id", "player1_id", "period", "eventmsgtype", "score",
+    "CASE WHEN game_id % 2 = 0 THEN 7 WHEN game_id % 3 > 0 THEN eventnum END AS eventnum",
+)
+_TIES_SQL = f"WITH ties AS (SELECT {', '.join(_TIES)} FROM v_events_scored), {_DELTAS.strip()} SELECT * FROM points"
+_TIES_SQL = _TIES_SQL.replace("FROM v_events_scored WHERE", "FROM ties WHERE").replace(
+    "ORDER BY eventnum", "ORDER BY eventnum NULLS FIRST, home_score NULLS FIRST, away_score NULLS FIRST, player1_id NULLS FIRST, period NULLS FIRST"
+)
+
+
+@query("score_deltas_ties", checked("v_events_scored", sql=_TIES_SQL))
+def score_deltas_ties(t):
+    """Score differences where event numbers repeat and lack: rows of one number by their scores, then by player and period."""
+    return features.score_deltas(t["v_events_scored"].selectExpr(*_TIES), slice_rows=50)
+
+
+
 @query("player_points", checked("v_events_scored", sql=f"WITH {_DELTAS} SELECT * FROM total"))
 def player_points(t):
     return features.player_points(t["v_events_scored"])

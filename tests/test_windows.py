@@ -1,14 +1,24 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from courtside.operators.windows import cut_into_slices, with_previous
+from courtside.operators.windows import scan_ranges, scanned, with_previous
 from courtside.plans.features import player_features, score_deltas
 
 
+@pytest.fixture(autouse=True)
+def many_ranges(spark):
+    """Small tables lie in several ranges too."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def expected_previous(rows):
     last, out = {}, []
     for game, number, value in sorted(rows, key=lambda r: (str(r[0]), r[1])):
@@ -35,20 +45,12 @@ def test_previous_value_with_a_hot_group(spark, slice_rows, spread):
     assert sorted((tuple(r) for r in found.collect()), key=str) == expected_previous(rows)
 
 
-def test_no_task_sorts_a_whole_hot_group(spark):
-    df = spark.range(4000).select(F.floor(F.col("id") / 10_000).alias("game"), F.col("id").alias("number"), F.col("id").alias("value"))
-    found = with_previous(df, ["game"], "number", ["value"], slice_rows=100)
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    over_rows = [line for line in plan.splitlines() if "Window" in line and "AS _inside" in line]
-    assert over_rows and all("_slice_0" in line for line in over_rows)
-
-
-@pytest.mark.parametrize("numbers", [range(3000), [i**4 for i in range(3000)], [*range(1500), *range(10**15, 10**15 + 1500)]])
-def test_slices_are_small_however_the_numbers_crowd(spark, numbers):
-    df = spark.createDataFrame([("hot", n) for n in numbers] + [("cold", 1)], "game string, number long")
-    cut, levels, _ = cut_into_slices(df, ["game"], "number", slice_rows=100)
-    sizes = [r["count"] for r in cut.groupBy("game", *levels).count().collect()]
-    assert max(sizes) <= 100 and sum(sizes) == 3001
+def test_no_task_reads_much_more_than_the_others_of_a_hot_group(spark):
+    half = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 4 == 1, F.col("id"))
+    df = spark.range(80_000).select(F.floor(F.col("id") / 70_000).alias("game"), half.alias("number"), F.col("id").alias("value"))
+    stored = scan_ranges(df.repartition(8), ["game"], "number", ["value"])
+    sizes = sorted(r["count"] for r in stored.groupBy("_range").count().collect())
+    assert len(sizes) >= 7 and sizes[-1] <= 2 * sizes[len(sizes) // 2] and sum(sizes) == 80_000
 
 
 @pytest.mark.parametrize("slice_rows", [3, 1000])
@@ -59,11 +61,32 @@ def test_rows_without_a_number_come_first_at_any_size(spark, slice_rows):
     assert previous[None] is None and previous[0] == 7 and previous[9] == 8
 
 
-@pytest.mark.parametrize("slice_rows", [3, 1000])
-def test_only_whole_numbers_order_rows(spark, slice_rows):
-    df = spark.createDataFrame([("g", "10", 1), ("g", "9", 2)], "game string, number string, value int")
-    with pytest.raises(TypeError):
-        with_previous(df, ["game"], "number", ["value"], slice_rows=slice_rows)
+ORDERS = {
+    "text": ("string", ["b", "a", "", None, "a", "ab"]),
+    "time": ("timestamp", [datetime(2024, 1, 2), datetime(2024, 1, 1, 5), None, datetime(2024, 1, 1)]),
+    "double": ("double", [0.5, -1.0, float("nan"), None, float("inf"), 0.0, -0.0]),
+    "date": ("date", [date(2024, 1, 2), date(2023, 1, 2), None]),
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_any_order_with_ties_is_the_same_both_ways(spark, kind):
+    type_, values = ORDERS[kind]
+    rng = random.Random(6)
+    rows = [(rng.choice([1.5, None, float("nan")]), rng.choice(["x", None]), rng.choice(values), rng.choice([None, 1, 2, 3]), i % 40) for i in range(500)]
+    df = spark.createDataFrame(rows, f"a double, b string, at {type_}, value int, other int").repartition(5)
+    one = with_previous(df, ["a", "b"], "at", ["value", "other"])
+    two = with_previous(df, ["a", "b"], "at", ["value", "other"], slice_rows=10)
+    assert one.schema.fieldNames() == two.schema.fieldNames()
+    assert Counter(map(str, one.collect())) == Counter(map(str, two.collect()))
+
+
+def test_small_ranges_and_an_empty_table(spark):
+    df = spark.createDataFrame([(1, n, n) for n in range(5)] + [(2, 1, 9)], "game int, number int, value int")
+    found = scanned(df.repartition(3), ["game"], "number", ["value"])
+    assert sorted((r[0], r[1], r[3]) for r in found.collect()) == [(1, 0, None), (1, 1, 0), (1, 2, 1), (1, 3, 2), (1, 4, 3), (2, 1, None)]
+    assert scanned(df.limit(0), ["game"], "number", ["value"]).count() == 0
+    assert with_previous(df.limit(0), ["game"], "number", ["value"]).count() == 0
 
 
 EVENTS = "game_id long, eventnum long, player1_id long, period long, eventmsgtype int, score string"
