@@ -21,8 +21,9 @@ from courtside.functions.text import (
     to_timestamp,
 )
 
-# Exact distinct counts repeat each row once per column; so many at a time.
-DISTINCT_BATCH = 10
+# Whole numbers are counted as bits where a value has no more than so many bits
+# of the column's range: 64 are the size of the value itself.
+BITS_PER_VALUE = 64
 
 
 def _field(df: DataFrame, column: str) -> T.DataType:
@@ -118,37 +119,97 @@ def id_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def _whole(df: DataFrame, column: str) -> Column | None:
+    """A column as 64-bit whole numbers that differ where its values do; None for other types."""
+    data_type, value = _field(df, column), F.col(f"`{column}`")
+    if isinstance(data_type, (T.IntegralType, T.BooleanType)):
+        return value.cast("bigint")
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(data_type, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), value)
+    return None
+
+
+def _as_key(df: DataFrame, column: str) -> Column:
+    """(whole, number, text) that differ where the values of a column of any type do."""
+    data_type, value, whole = _field(df, column), F.col(f"`{column}`"), _whole(df, column)
+    number = text = F.lit(None)
+    if whole is not None:
+        pass
+    elif isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
+        number = value
+    elif isinstance(data_type, T.BinaryType):
+        text = F.hex(value)
+    elif isinstance(data_type, (T.ArrayType, T.StructType)):
+        text = F.when(value.isNotNull(), F.to_json(F.array(value)))
+    else:
+        text = value
+    whole = F.lit(None) if whole is None else whole
+    return F.struct(whole.cast("bigint").alias("whole"), number.cast("double").alias("number"), text.cast("string").alias("text"))
+
+
+def _bitmap_counts(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """(place, n_distinct) of columns of whole numbers: a bit per value, 32,768 to a bitmap."""
+    cells = [
+        F.struct(F.lit(i).alias("place"), F.bitmap_bucket_number(_whole(df, c)).alias("bucket"), F.bitmap_bit_position(_whole(df, c)).alias("bit"))
+        for i, c in columns.items()
+    ]
+    bitmaps = (
+        df.select(F.inline(F.array(*cells)))
+        .where(F.col("bucket").isNotNull())
+        .groupBy("place", "bucket")
+        .agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    )
+    return bitmaps.groupBy("place").agg(F.sum(F.bitmap_count("bitmap")).alias("n_distinct"))
+
+
+def _value_counts(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """(place, n_distinct) of columns of any type: values are made unique in each task, then by column and value."""
+    cells = [F.struct(F.lit(i).alias("place"), _as_key(df, c).alias("key")) for i, c in columns.items()]
+    keys = df.select(F.inline(F.array(*cells))).select("place", "key.whole", "key.number", "key.text")
+    there = F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()
+    return keys.where(there).distinct().groupBy("place").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
-    """(column, n_rows, n_nonnull, n_distinct) per column, in a few aggregations."""
+    """(column, n_rows, n_nonnull, n_distinct) per column.
+
+    A first pass takes counts and ranges. Columns of whole numbers, dates and
+    times whose range is not much wider than their rows are counted as bits of
+    bitmaps, of which a task passes on one per 32,768 values; values of other
+    columns are made unique before they are counted. Arrays and structs are
+    told apart by their JSON form.
+    """
     columns = _in_table_order(df, columns)
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    size = len(columns) if approximate else DISTINCT_BATCH
-    parts = []
-    for start in range(0, len(columns), size):
-        batch = columns[start : start + size]
+    named = [f"`{c}`" for c in columns]
+    if approximate:
         totals = df.agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.count(c).alias(f"_nonnull_{i}") for i, c in enumerate(batch)],
-            *[count(F.col(c)).alias(f"_distinct_{i}") for i, c in enumerate(batch)],
-        )
-        parts.append(
-            totals.select(
-                F.inline(
-                    F.array(
-                        *[
-                            F.struct(
-                                F.lit(c).alias("column"),
-                                F.col("_rows").alias("n_rows"),
-                                F.col(f"_nonnull_{i}").alias("n_nonnull"),
-                                F.col(f"_distinct_{i}").alias("n_distinct"),
-                            )
-                            for i, c in enumerate(batch)
-                        ]
-                    )
-                )
-            )
+            *[F.count(c).alias(f"_nonnull_{i}") for i, c in enumerate(named)],
+            *[F.approx_count_distinct(c).alias(f"_distinct_{i}") for i, c in enumerate(named)],
         )
-    return reduce(DataFrame.unionByName, parts)
+        told = [F.struct(F.lit(c).alias("column"), F.col("_rows").alias("n_rows"), F.col(f"_nonnull_{i}").alias("n_nonnull"),
+                         F.col(f"_distinct_{i}").alias("n_distinct")) for i, c in enumerate(columns)]
+        return totals.select(F.inline(F.array(*told)))
+
+    whole = {i: c for i, c in enumerate(columns) if _whole(df, c) is not None}
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(named)],
+        *[f(_whole(df, c)).alias(f"{side}_{i}") for i, c in whole.items() for side, f in (("low", F.min), ("high", F.max))],
+    ).first()
+    dense = {i: c for i, c in whole.items() if row[f"n_{i}"] and row[f"high_{i}"] - row[f"low_{i}"] < BITS_PER_VALUE * row[f"n_{i}"]}
+    other = {i: c for i, c in enumerate(columns) if i not in dense and row[f"n_{i}"]}
+    known = df.sparkSession.createDataFrame([(i, c, row["n"], row[f"n_{i}"]) for i, c in enumerate(columns)], "place int, column string, n_rows long, n_nonnull long")
+    counted = [count(df, of) for count, of in ((_bitmap_counts, dense), (_value_counts, other)) if of]
+    if not counted:
+        return known.select("column", "n_rows", "n_nonnull", F.lit(0).cast("long").alias("n_distinct"))
+    # One row per column on both sides.
+    found = known.join(reduce(DataFrame.unionByName, counted), "place", "left")
+    return found.select("column", "n_rows", "n_nonnull", F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct"))
 
 
 def candidate_keys(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -189,7 +250,7 @@ def key_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str
 
 
 def few_values(df: DataFrame, column: str, at_most: int) -> bool:
-    """True when a column has at most so many distinct values; counts no further."""
+    """True when a column has at most so many distinct values."""
     return df.select(column).where(F.col(column).isNotNull()).distinct().limit(at_most + 1).count() <= at_most
 
 

@@ -109,7 +109,7 @@ def csv_group_load(t):
     files.write(t["supplier"].selectExpr("s_suppkey AS id", "s_name AS name"), "player")
     target = FolderStore(scratch_path(t.spark, "teams"))
     for _ in range(2):  # a second load leaves the same
-        copying.load_csv_folder(t.spark, home, target, group="team_specific", parse_dates=True)
+        copying.load_csv_folder(t.spark, home, target, group="team_specific", clear_first=True, parse_dates=True)
     tables = target.tables(t.spark)
     return reduce(
         DataFrame.unionByName,
@@ -148,6 +148,49 @@ def ranged_copy(t):
     return target.read(t.spark, "orders")
 
 
+_BROKEN = """SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN concat(event_type, chr(10), '"', props, '",', chr(10)) ELSE props END AS text FROM {events}"""
+
+
+@query(
+    "csv_layout",
+    """SELECT 'broken' AS table_name, 'copied' AS status, count(*) AS rows_target, 'whole' AS files_read FROM events
+UNION ALL SELECT 'mixed', 'copied', count(*) * 2, 'split and whole' FROM events
+UNION ALL SELECT 'quoted', 'copied', count(*), 'split' FROM events""",
+)
+def csv_layout(t):
+    """How CSV files are read: in splits where no cell spans lines, quotes and commas or not, and as a whole where one does."""
+    home = scratch_path(t.spark, "layouts")
+    files = FolderStore(home, "csv", _CSV)
+    broken = t.spark.sql(_BROKEN, events=t["events"])
+    quoted = t["events"].selectExpr("event_id AS id", "concat(event_type, ', \"', props, '\"') AS text")
+    files.write(broken, "broken")
+    files.write(quoted, "quoted")
+    for part in (broken, quoted):
+        files.write(part, "mixed", "append")
+    loaded = copying.load_csv_folder(t.spark, home, FolderStore(scratch_path(t.spark, "laid-out")))
+    return loaded.select("table_name", "status", "rows_target", "files_read")
+
+
+@query("csv_mixed_load", (_BROKEN + """ UNION ALL SELECT event_id, concat(event_type, ', "', props, '"') FROM {events}""").replace("{events}", "events"))
+def csv_mixed_load(t):
+    """The rows of a table of which some files are read in splits and others as a whole."""
+    home = scratch_path(t.spark, "mixed")
+    files = FolderStore(home, "csv", _CSV)
+    files.write(t.spark.sql(_BROKEN, events=t["events"]), "mixed")
+    files.write(t["events"].selectExpr("event_id AS id", "concat(event_type, ', \"', props, '\"') AS text"), "mixed", "append")
+    return load_csv(t.spark, f"{home}/mixed.csv")
+
+
+@query("incremental_texts", _TEXTS.format(documents="documents", conversations="conversations"))
+def incremental_texts(t):
+    """Texts with line breaks, commas and quotes taken in by a stream."""
+    texts = t.spark.sql(_TEXTS, documents=t["documents"], conversations=t["conversations"])
+    home, target, checkpoint = (scratch_path(t.spark, n) for n in ("arriving", "taken", "progress"))
+    FolderStore(home, "csv", _CSV).write(texts.repartition(6), "texts")
+    incremental_csv_load(t.spark, f"{home}/texts.csv", texts.schema, target, checkpoint, files_per_batch=2).awaitTermination()
+    return t.spark.read.schema(texts.schema).parquet(target)
+
+
 @query("incremental_load", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
 def incremental_load(t):
     """A folder of CSV files taken in by a stream, a few files per batch."""

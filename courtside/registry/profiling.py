@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtside.constants import NUMERIC_PART, NUMERIC_TEXT, PERCENTAGE_COLUMNS, SEASON_TYPE
 from courtside.functions import text as fx
 from courtside.operators import catalog, cleaning, profile, types, unions
 from courtside.registry.core import checked, query
+from courtside.session import materialize
 from courtside.views import view_ctes
 
 CATALOG_TABLES = (
@@ -123,8 +124,14 @@ def common_columns(t):
     return catalog.common_columns_report(common).join(totals, "column_name")
 
 
-_KEY_COLUMNS = ("game_id", "season_id", "season_type", "team_id_home", "team_id_away", "fg_pct_home", "fg3_pct_home",
-                "team_name_home", "wl_home", "reb_home", "ast_home", "game_date_est", "all_null", "constant_col")
+_GAME_COLUMNS = (
+    "game_id", "season_id", "season_type", "team_id_home", "team_id_away", "fg_pct_home", "fg3_pct_home", "team_name_home", "wl_home",
+    "reb_home", "ast_home", "pts_home", "pts_away", "game_date_est", "all_null", "constant_col",
+)
+_INFO_COLUMNS = (
+    "person_id", "first_name", "last_name", "position", "height", "weight", "season_exp", "from_year", "to_year", "draft_year", "draft_round",
+    "draft_number",
+)
 
 
 @query(
@@ -132,11 +139,11 @@ _KEY_COLUMNS = ("game_id", "season_id", "season_type", "team_id_home", "team_id_
     view_ctes("v_game") + "\n" + " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_nonnull, count(DISTINCT {c}) AS n_distinct,
   count(*) > 0 AND count(*) = count({c}) AND count(*) = count(DISTINCT {c}) AS is_key FROM v_game"""
-        for c in _KEY_COLUMNS
+        for c in _GAME_COLUMNS
     ),
 )
 def candidate_keys(t):
-    return profile.candidate_keys(t["v_game"], _KEY_COLUMNS)
+    return profile.candidate_keys(t["v_game"])
 
 
 @query(
@@ -166,7 +173,7 @@ def text_id_min_max(t):
     return profile.id_ranges(t["orders"], ["o_orderpriority", "o_orderstatus"])
 
 
-_BIO = "v_common_player_info"
+_BIO = "v_player_info"
 
 
 @query(
@@ -243,10 +250,7 @@ def array_first_number(t):
     return t["orders"].select("o_orderkey", fx.first_numeric_in_array(parts).alias("number"))
 
 
-_PROFILED = {
-    "v_common_player_info": ("person_id", "height", "weight", "season_exp", "draft_year", "draft_number"),
-    "v_game": ("game_id", "season_type", "fg_pct_home", "reb_home", "all_null", "game_date_est", "wl_home"),
-}
+_PROFILED = {"v_player_info": _INFO_COLUMNS, "v_game": _GAME_COLUMNS}
 
 
 def _profile_sql(view: str, column: str, position: int) -> str:
@@ -265,7 +269,7 @@ FROM (SELECT x, CASE WHEN regexp_matches(x, '{_PLAIN}') THEN TRY_CAST(x AS DOUBL
 
 
 def _profiled_text(t, view: str) -> DataFrame:
-    return profile.as_text(t[view].select(*_PROFILED[view]))
+    return profile.as_text(t[view])
 
 
 _PROFILE_SQL = view_ctes(*_PROFILED) + "\n" + " UNION ALL ".join(
@@ -427,16 +431,14 @@ def drop_constant_columns(t):
 @query(
     "demote_integral_floats",
     checked(_BIO, sql=f"""
-SELECT person_id, CAST(season_exp AS BIGINT) AS season_exp, CAST(from_year AS BIGINT) AS from_year,
-  CAST(to_year AS BIGINT) AS to_year, weight, draft_year, height FROM {_BIO}"""),
+SELECT * REPLACE (CAST(season_exp AS BIGINT) AS season_exp, CAST(from_year AS BIGINT) AS from_year, CAST(to_year AS BIGINT) AS to_year)
+FROM {_BIO}"""),
 )
 def demote_integral_floats(t):
-    return cleaning.demote_integral(
-        t[_BIO].select("person_id", "season_exp", "from_year", "to_year", "weight", "draft_year", "height")
-    )
+    return cleaning.demote_integral(t[_BIO])
 
 
-_MIXED = ("height", "weight", "draft_year", "draft_number")
+_MIXED = tuple(c for c in _INFO_COLUMNS if c not in ("person_id", "season_exp"))
 
 
 @query(
@@ -454,7 +456,7 @@ FROM (SELECT CASE WHEN regexp_matches({c}, '^\\s*[-+]?[0-9]+\\s*$') THEN 'int'
   + CAST(n_timestamp > 0 AS INTEGER) + CAST(n_other > 0 AS INTEGER) AS n_kinds FROM counts WHERE n_kinds > 1""",
 )
 def mixed_type_report(t):
-    return profile.mixed_type_report(t[_BIO].select(*_MIXED))
+    return profile.mixed_type_report(t[_BIO])
 
 
 def _people(t) -> dict[str, DataFrame]:
@@ -519,14 +521,17 @@ def game_scan(t):
     return game_scan(t["v_game"])
 
 
-_DISTINCT = ("l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")
+_DISTINCT = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+    "l_shipdate",
+)
 
 
 @query("distinct_counts", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_nonnull, count(DISTINCT {c}) AS n_distinct
 FROM lineitem""" for c in _DISTINCT))
 def distinct_counts(t):
-    return profile.distinct_counts(t["lineitem"], _DISTINCT)
+    return profile.distinct_counts(t["lineitem"])
 
 
 @query("consolidated_types", "SELECT * FROM orders")
@@ -540,9 +545,11 @@ def consolidated_types(t):
 def preview(t):
     """Any 1000 rows of a table; which ones is up to the scan, so their number is told and that the table has them."""
     plays = t["v_play_by_play"]
-    some = plays.limit(1000)
-    missing = some.exceptAll(plays).count()
-    return some.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("all_there", F.lit(missing == 0))
+    # Stored, so that the rows that are counted are those that are looked for.
+    some = materialize(plays.limit(1000), "preview")
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"p.{c}")) for c in plays.columns]
+    there = F.broadcast(some.alias("s")).join(plays.alias("p"), reduce(Column.__and__, same)).select("s.*").distinct().count()
+    return some.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("all_there", F.lit(there == some.distinct().count()))
 
 
 @query("clean_awkward_values", """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from courtside.operators.types import spark_schema
 from courtside.operators.unions import stack_tables
-from courtside.sources.csv import group_files, profiled_csv, table_files, typed
+from courtside.sources.csv import group_files, how_to_read, profiled_csv, table_files, typed
 
 # Tables copied at the same time.
 TABLES_AT_ONCE = 8
@@ -143,28 +143,34 @@ def load_csv_folder(
     mode: str = "overwrite",
     clear_first: bool = False,
     first_dot: bool = False,
-    multiline: bool = True,
+    multiline: bool | None = None,
     **options,
 ) -> DataFrame:
     """Load the CSV files of a folder, or of one group, as typed tables.
 
-    ``clear_first`` drops the tables that are about to be loaded;
-    ``multiline=False`` declares that no cell holds a line break.
+    ``clear_first`` drops the tables that are about to be loaded. Files in which
+    a cell holds a line break are read as a whole, others in splits, and
+    ``files_read`` tells which; ``multiline`` declares it for all files.
     """
     files = group_files(spark, folder, group) if group else table_files(spark, folder, first_dot)
     if clear_first:
         for table in files:
             target.drop(spark, table)
 
-    def reader(path: str) -> Reader:
+    ways: dict[str, str] = {}
+
+    def reader(table: str, path: str) -> Reader:
         def read():
-            text, profiles = profiled_csv(spark, path, multiline)
+            split, whole = how_to_read(spark, path, multiline)
+            ways[table] = "split" if not whole else "whole" if not split else "split and whole"
+            text, profiles = profiled_csv(spark, path, split, whole)
             rows = profiles[0]["n_rows"] if profiles else 0
             return typed(text, spark_schema(profiles, ladder, **options)), rows
 
         return read
 
-    return _outcome(spark, _copy_all(spark, [(reader(path), target, t, mode) for t, path in files.items()]))
+    outcomes = _copy_all(spark, [(reader(t, path), target, t, mode) for t, path in files.items()])
+    return spark.createDataFrame([(*row, ways.get(row[0])) for row in outcomes], OUTCOME + ", files_read string")
 
 
 def export_join(spark: SparkSession, joins: Mapping[str, DataFrame], target, csv_target=None) -> tuple[str, DataFrame] | None:

@@ -60,6 +60,10 @@ class FolderStore:
     def write(self, df: DataFrame, table: str, mode: str = "overwrite") -> None:
         df.write.format(self.format).options(**self._options()).mode(mode).save(self._path(table))
 
+    def drop(self, spark: SparkSession, table: str) -> None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path(table))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 @dataclass(frozen=True)
 class ConnectorStore:

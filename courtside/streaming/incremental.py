@@ -18,15 +18,18 @@ def incremental_csv_load(
     target: str,
     checkpoint: str,
     files_per_batch: int | None = None,
+    multiline: bool = True,
 ) -> StreamingQuery:
     """Append the CSV files that came since the last run to a parquet table, then stop.
 
-    Cells are read as text and cast as a load casts them. The checkpoint knows
+    Cells are read as text and cast as a load casts them, and may hold line
+    breaks inside quotes; ``multiline=False`` declares that none does, so that a
+    large file is read in splits. The checkpoint knows
     which files were taken and the sink which of its files count, so a run that
     is cut off and started again neither loses nor repeats rows.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    reader = spark.readStream.schema(as_text).option("header", True).option("escape", '"')
+    reader = spark.readStream.schema(as_text).option("header", True).option("escape", '"').option("multiLine", multiline)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.csv(folder)

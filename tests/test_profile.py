@@ -35,6 +35,42 @@ def test_more_columns_than_one_batch(spark):
     assert [found[f"c{i}"]["n_distinct"] for i in range(23)] == [min(i + 1, 7) for i in range(23)]
 
 
+def test_distinct_counts_of_every_type(spark):
+    from datetime import date
+    from decimal import Decimal
+
+    rows = [
+        (None, -5, 2**62, True, date(2024, 1, 1), datetime(2024, 1, 1), 0.0, "a", Decimal("1.10"), bytearray(b"\x00"), [1, None], (1, "x")),
+        (1, 70_000, -(2**62), True, date(1900, 1, 1), datetime(2024, 1, 1, 0, 0, 1), -0.0, "", Decimal("1.1"), bytearray(b""), [1], (1, None)),
+        (1, 70_000, 0, None, None, datetime(1900, 1, 1), float("nan"), "a", Decimal("2"), bytearray(b"\x00"), [], (1, None)),
+        (1, 0, 0, False, date(1900, 1, 1), None, float("nan"), None, None, None, None, None),
+        (1, None, 0, False, date(1900, 1, 1), None, 1e300, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(
+        rows, "i int, l long, w long, f boolean, d date, t timestamp, x double, `a b` string, m decimal(9,2), y binary, r array<int>, s struct<p:int,q:string>"
+    ).withColumn("n", F.col("t").cast("timestamp_ntz"))
+    want = {"i": 1, "l": 3, "w": 3, "f": 2, "d": 2, "t": 3, "x": 3, "a b": 2, "m": 2, "y": 2, "r": 3, "s": 2, "n": 3}
+    found = by_column(profile.distinct_counts(df))
+    assert {c: r["n_distinct"] for c, r in found.items()} == want
+    assert {r["n_rows"] for r in found.values()} == {5} and found["l"]["n_nonnull"] == 4
+    assert by_column(profile.distinct_counts(df.select("i", "a b"), approximate=True))["a b"]["n_rows"] == 5
+
+
+@pytest.mark.parametrize("bits", [0, 1, 64, 1 << 40])
+def test_distinct_counts_do_not_depend_on_how_they_are_counted(spark, monkeypatch, bits):
+    monkeypatch.setattr(profile, "BITS_PER_VALUE", bits)
+    df = spark.range(30_000).select(
+        ((F.col("id") * 7919) % 100_003 - 50_000).alias("spread"), (F.col("id") % 37).alias("few"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("gaps")
+    )
+    assert {c: r["n_distinct"] for c, r in by_column(profile.distinct_counts(df.repartition(5))).items()} == {"spread": 30_000, "few": 37, "gaps": 15_000}
+
+
+def test_distinct_counts_do_not_copy_rows_by_expand(spark):
+    found = profile.distinct_counts(spark.range(100).select("id", F.col("id").cast("string").alias("s"), (F.col("id") / 3).alias("d")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "bitmap_construct_agg" in plan
+
+
 def test_statistics_by_kind_of_column(spark):
     rows = [
         (1.0, "$3.50", ["x", "2"], '{"count": 4}', datetime(2024, 1, 1), True, "none"),

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import csv
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtside.constants import TABLE_GROUPS
 from courtside.operators import catalog, unions
@@ -11,6 +15,8 @@ from courtside.operators.joins import star_joins
 from courtside.session import materialize, scratch_path, shared_folder
 from courtside.sources import copying
 from courtside.sources import csv as csv_source
+from courtside.sources.copying import load_csv_folder
+from courtside.sources.csv import how_to_read, line_layout, scan_text
 from courtside.sources.stores import CatalogStore, ConnectorStore, FolderStore
 from courtside.streaming.incremental import incremental_csv_load
 
@@ -70,7 +76,7 @@ def test_load_types(spark, csv_folder):
 
 def test_load_folder_into_a_database(spark, csv_folder, database):
     outcome = copying.load_csv_folder(spark, csv_folder, database, group="game_specific")
-    assert [tuple(r) for r in outcome.collect()] == [("game", "copied", 3, 3, None)]
+    assert [tuple(r) for r in outcome.collect()] == [("game", "copied", 3, 3, None, "split")]
     again = copying.load_csv_folder(spark, csv_folder, database, group="game_specific", clear_first=True)
     assert again.first()["status"] == "copied" and database.read(spark, "game").count() == 3
     copying.load_csv_folder(spark, csv_folder, database, group="game_specific", mode="append")
@@ -262,3 +268,81 @@ def test_settings_of_a_session_stay(spark):
         assert tune(spark).conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def _written(folder, name, rows, **options):
+    with open(folder / name, "w", newline="", encoding="utf-8") as file:
+        writer = csv.writer(file, lineterminator=options.pop("lineterminator", "\n"), **options)
+        writer.writerows([("a", "b"), *rows])
+    return str(folder)
+
+
+CELLS = st.text(alphabet='ab",\n\r \x01é', max_size=6)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(CELLS, CELLS), min_size=1, max_size=12), quoting=st.sampled_from([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
+def test_files_that_are_split_read_as_they_do_whole(spark, tmp_path_factory, rows, quoting):
+    folder = _written(tmp_path_factory.mktemp("csv"), "x.csv", rows, quoting=quoting)
+    split, whole = how_to_read(spark, folder)
+    found, want = (sorted(map(str, scan_text(spark, folder, m).collect())) for m in (None, True))
+    assert found == want
+    broken = any("\n" in c or "\r" in c for row in rows for c in row)
+    assert (split, whole) == (([], [folder]) if broken else ([folder], []))
+
+
+def test_a_file_without_line_breaks_is_read_in_many_tasks(spark, tmp_path):
+    rows = [(i, 'say "' + "x" * (i % 50) + '", twice') for i in range(60_000)]
+    folder = _written(tmp_path, "x.csv", rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        text = scan_text(spark, folder)
+        assert text.rdd.getNumPartitions() > 10 and text.count() == 60_000
+        _written(tmp_path, "y.csv", [(1, "two\nlines")])
+        both = scan_text(spark, folder)
+        assert both.rdd.getNumPartitions() > 10 and both.count() == 60_001
+        assert scan_text(spark, folder, True).rdd.getNumPartitions() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    layout = {r["file"].rsplit("/", 1)[-1]: (r["n_lines"], r["n_open"]) for r in line_layout(spark, folder).collect()}
+    assert layout == {"x.csv": (60_001, 0), "y.csv": (3, 2)}
+
+
+@pytest.mark.parametrize(
+    ("line", "whole"),
+    [
+        ("a,b", True), ('"a,b",c', True), ('"a ""b""",c', True), ('"",x', True), ('x,""', True), ('"""",x', True), ('a,"b', False), ('b",c', False),
+        ('"a""', False), ('5" nail,"open', False), ('a "b" c', False), ('"a" ,b', False), ('x"', False), ("", True), ('"""",""""', True), ('"\x01"', True),
+    ],
+)
+def test_lines_that_hold_whole_cells(spark, tmp_path, line, whole):
+    (tmp_path / "x.csv").write_text(f"h\n{line}\n")
+    assert line_layout(spark, str(tmp_path)).first()["n_open"] == (0 if whole else 1)
+
+
+def test_names_with_spaces_and_signs(spark, tmp_path):
+    folder = tmp_path / "a b%20c"
+    folder.mkdir()
+    _written(folder, "p 1.csv", [("1", "x\ny")])
+    _written(folder, "p 2+%.csv", [("2", "z")])
+    assert sorted(map(tuple, scan_text(spark, str(folder)).collect())) == [("1", "x\ny"), ("2", "z")]
+
+
+def test_folder_tables_can_be_cleared(spark, tmp_path):
+    store = FolderStore(str(tmp_path / "t"))
+    _written(tmp_path, "x.csv", [("1", "2")])
+    for _ in range(2):
+        told = load_csv_folder(spark, str(tmp_path), store, clear_first=True).collect()
+        assert [(r["table_name"], r["status"], r["rows_target"], r["files_read"]) for r in told] == [("x", "copied", 1, "split")]
+    store.drop(spark, "x")
+    store.drop(spark, "x")
+    assert store.tables(spark) == []
+
+
+def test_streamed_cells_may_hold_line_breaks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    _written(folder, "x.csv", [("1", 'line one\n"line" two'), ("2", "x")])
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    incremental_csv_load(spark, str(folder), schema, str(tmp_path / "out"), str(tmp_path / "at")).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [(1, 'line one\n"line" two'), (2, "x")]
