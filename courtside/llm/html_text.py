@@ -1,12 +1,14 @@
 """Main text of web pages, with templates of the site removed.
 
-Every element of a page is a subtree, hashed over its markup and text. Spark
-counts on how many pages of a host, of different content, each hash occurs; a
-subtree that recurs on many is part of the site's template and is deleted with
-what it holds. Elements that are boilerplate by their tag, role or class are
-deleted too. Nothing else is: an article is a hint only. What stands in one
-counts once for all copies of it, and its paragraphs and headings need more
-pages, since a sentence may recur in articles.
+Every element of a page is a subtree, hashed from the leaves up over its tag,
+its text and the hashes of what it holds. Spark counts on how many pages of a
+host, of different content, each hash occurs; a subtree that recurs on many is
+part of the site's template and is deleted with what it holds. Elements that are
+boilerplate by their tag, role or class are deleted too. Nothing else is: an
+article is a hint only. What stands in one counts once for all copies of it. Its
+blocks go only if they recur in a good share of the host's articles,
+paragraphs and headings if they do in most, and items, cells and captions
+only with the whole list, table or figure they belong to.
 """
 
 from __future__ import annotations
@@ -25,8 +27,11 @@ MIN_PAGES = 10
 # On a host with few pages it is one on this share of them, from so many on.
 FEW_PAGES = 4
 FEW_SHARE = 0.5
-# Paragraphs and headings inside an article are templates from so many different articles on.
+# Inside an article, blocks are templates from MIN_PAGES different articles on that
+# are this share of the host's; paragraphs and headings from so many, and this share.
+ARTICLE_SHARE = 0.5
 MIN_PROSE_PAGES = 20
+PROSE_SHARE = 0.8
 # Templates sent along, of some ten bytes each.
 MAX_SENT = 200_000
 
@@ -40,6 +45,9 @@ BOILERPLATE = frozenset(
     "nav header footer aside form script style noscript template menu dialog button select input textarea iframe svg canvas object head title".split()
 )
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
+# Parts of a list, table or figure: no templates by themselves inside an article, and cells nowhere.
+PARTS = frozenset("li td th tr thead tbody tfoot caption colgroup dt dd figcaption".split())
+CELLS = frozenset("td th tr thead tbody tfoot caption colgroup".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -92,11 +100,13 @@ def _names_boilerplate(name: str) -> bool:
 
 
 class Element:
-    __slots__ = ("tag", "start", "end", "parent", "boilerplate", "in_article", "prose", "key")
+    __slots__ = ("tag", "attributes", "parent", "boilerplate", "in_article", "prose", "holds", "key")
 
-    def __init__(self, tag, start, parent, boilerplate, in_article, prose):
-        self.tag, self.start, self.end, self.parent = tag, start, None, parent
-        self.boilerplate, self.in_article, self.prose, self.key = boilerplate, in_article, prose, None
+    def __init__(self, tag, attributes, parent, boilerplate, in_article, prose):
+        self.tag, self.attributes, self.parent = tag, attributes, parent
+        self.boilerplate, self.in_article, self.prose = boilerplate, in_article, prose
+        self.holds: list[str | Element] = []  # text and elements, in order
+        self.key: int | None = None
 
 
 class Page:
@@ -106,16 +116,33 @@ class Page:
         self.source = source or ""
         self.elements: list[Element] = []
         self.chunks: list[tuple[Element | None, str, bool]] = []  # element, text, whether a break stands before it
+        self.open: dict[str, int] = {}  # number of open elements by name
         self._parse()
+        self._listed: list[tuple[int, Element]] | None = None
 
-    def _open(self, tag: str, start: int, attributes: str, top: Element | None) -> Element:
+    def _open(self, tag: str, attributes: str, top: Element | None) -> Element:
         in_article = tag in ("article", "main") or (top is not None and top.in_article)
         boilerplate = (top is not None and top.boilerplate) or _is_boilerplate(tag, attributes, in_article)
         prose = in_article and (tag in PROSE or (top is not None and top.prose))
-        element = Element(tag, start, top, boilerplate, in_article, prose)
+        element = Element(tag, attributes, top, boilerplate, in_article, prose)
         self.elements.append(element)
+        if top is not None:
+            top.holds.append(element)
         return element
 
+    def _shut(self, top: Element, last: Element) -> Element | None:
+        """The element around ``last``, with all from ``top`` up to it closed."""
+        while True:
+            self.open[top.tag] -= 1
+            if top is last:
+                return top.parent
+            top = top.parent
+
+    def _add(self, element: Element | None, text: str, broken: bool) -> None:
+        self.chunks.append((element, text, broken))
+        if element is not None:
+            element.holds.append(text)
+
     def _parse(self) -> None:
         source, at, top, broken = self.source, 0, None, True
         position = 0
@@ -123,7 +150,7 @@ class Page:
             m = _TOKEN.search(source, position)
             text_end = m.start() if m else len(source)
             if text_end > at:
-                self.chunks.append((top, source[at:text_end], broken))
+                self._add(top, source[at:text_end], broken)
                 broken = False
             if not m:
                 break
@@ -132,76 +159,85 @@ class Page:
             if not tag:
                 continue
             if m[1]:
-                found = top
-                while found is not None and found.tag != tag:
-                    found = found.parent
-                while found is not None and top is not found.parent:
-                    top.end, top = (m.end() if top is found else m.start()), top.parent
+                if self.open.get(tag):
+                    found = top
+                    while found.tag != tag:
+                        found = found.parent
+                    top = self._shut(top, found)
             else:
                 if tag in CLOSES_P:
-                    top = self._close(top, ("p",), frozenset("article main body td th li div section".split()), m.start())
+                    top = self._close(top, ("p",), frozenset("article main body td th li div section".split()))
                 if tag in CLOSES_SAME:
                     names, boundary = CLOSES_SAME[tag]
-                    top = self._close(top, names.split(), boundary, m.start())
-                element = self._open(tag, m.start(), m[3], top)
+                    top = self._close(top, names.split(), boundary)
+                element = self._open(tag, m[3], top)
                 if tag in VOID or m[3].endswith("/"):
-                    element.end = m.end()
+                    pass
                 elif tag in RAW:
                     end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, m.end())
                     stop = end.start() if end else len(source)
-                    if tag not in ("script", "style") and stop > m.end():
-                        self.chunks.append((element, source[m.end() : stop], True))
-                    element.end = at = position = end.end() if end else len(source)
+                    if tag in ("script", "style"):
+                        element.holds.append(source[m.end() : stop])
+                    elif stop > m.end():
+                        self._add(element, source[m.end() : stop], True)
+                    at = position = end.end() if end else len(source)
                 else:
                     top = element
+                    self.open[tag] = self.open.get(tag, 0) + 1
             broken = broken or tag not in INLINE
-        while top is not None:
-            top.end, top = len(source), top.parent
 
-    @staticmethod
-    def _close(top: Element | None, names, boundary: frozenset, end: int) -> Element | None:
+    def _close(self, top: Element | None, names, boundary: frozenset) -> Element | None:
         """``top`` after the nearest open element of these names is closed, if no boundary is nearer."""
+        if not any(self.open.get(n) for n in names):
+            return top
         found = top
         while found is not None and found.tag not in names:
             if found.tag in boundary:
                 return top
             found = found.parent
-        if found is None:
-            return top
-        while top is not found.parent:
-            top.end, top = end, top.parent
-        return top
+        return top if found is None else self._shut(top, found)
 
     def subtrees(self) -> list[tuple[int, Element]]:
-        """(hash, element) of every element that may be a template: blocks but for what holds the page.
+        """(hash, element) of every element that may be a template: blocks but for what holds the page, and parts of what goes as a whole.
 
-        The lowest bit of the hash tells articles, and prose inside them, from the rest.
+        Hashes are put together from the leaves up, each from the hashes right
+        below it. The two lowest bits tell whether an element stands in an
+        article, and whether it is prose there or an article.
         """
-        out = []
-        for e in self.elements:
-            if e.tag in INLINE or e.tag in VOID or e.tag in ("html", "head", "body", "main"):
-                continue
-            markup = " ".join(self.source[e.start : e.end].split())
-            e.key = (xxhash.xxh3_64_intdigest(markup.encode("utf-8", "surrogatepass")) | 1) - (not (e.prose or e.tag == "article")) - (1 << 63)
-            out.append((e.key, e))
-        return out
+        if self._listed is not None:
+            return self._listed
+        self._listed = []
+        digests: dict[int, bytes] = {}
+        for e in reversed(self.elements):  # what an element holds comes after it
+            mixed = xxhash.xxh3_64(f"{e.tag} {' '.join(e.attributes.split())}".encode("utf-8", "surrogatepass"))
+            for held in e.holds:
+                if isinstance(held, str):
+                    text = " ".join(held.split())
+                    if text:
+                        mixed.update(b"\0" + text.encode("utf-8", "surrogatepass"))
+                else:
+                    mixed.update(b"\1" + digests.pop(id(held)))
+            digests[id(e)] = mixed.digest()
+            e.key = (mixed.intdigest() & ~3 | 2 * e.in_article | (e.prose or e.tag == "article")) - (1 << 63)
+            if not (e.tag in INLINE or e.tag in VOID or e.tag in ("html", "head", "body", "main") or e.tag in (PARTS if e.in_article else CELLS)):
+                self._listed.append((e.key, e))
+        return self._listed
 
-    def evidence(self) -> tuple[int, int, list[int], list[int]]:
-        """Hashes of the page's text outside boilerplate and of its articles; the keys outside articles, and those inside one.
+    def evidence(self) -> tuple[int, int | None, list[int], list[int]]:
+        """Hashes of the page's text outside boilerplate and of its articles, if any; the keys outside articles, and those inside one.
 
         Copies count as one page: of the whole text for what stands outside
         articles, of the articles for what stands in them.
         """
         found = self.subtrees()
-        inside = {key for key, e in found if e.in_article}
-        articles = " ".join(self.source[e.start : e.end] for e in self.elements if e.tag in ("article", "main"))
         digest = lambda t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63)
-        return digest(self.text(frozenset())), digest(articles), sorted({key for key, _ in found} - inside), sorted(inside)
+        articles = [e.key for e in self.elements if e.tag in ("article", "main") and not (e.parent is not None and e.parent.in_article)]
+        outside, inside = (sorted({key for key, e in found if e.in_article == where}) for where in (False, True))
+        return digest(self.text(frozenset())), digest(repr(articles)) if articles else None, outside, inside
 
     def text(self, templates: frozenset | None = None) -> str:
         """Text outside boilerplate and templates. Where templates were not looked for (None), of the articles only, if the page has one."""
-        if templates:
-            self.subtrees()
+        goes = {id(e) for key, e in self.subtrees() if key in templates} if templates else ()
         hinted = templates is None and any(e.tag in ("article", "main") and not e.boilerplate for e in self.elements)
         deleted: dict[int, bool] = {}
 
@@ -212,7 +248,7 @@ class Page:
                 e = e.parent
             state = deleted[id(e)] if e is not None else False
             for x in reversed(path):
-                state = deleted[id(x)] = state or x.boilerplate or (bool(templates) and x.key is not None and x.key in templates)
+                state = deleted[id(x)] = state or x.boilerplate or id(x) in goes
             return state
 
         parts, pending = [], True
@@ -241,18 +277,23 @@ def described(pages: DataFrame) -> DataFrame:
 def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, few_share: float = FEW_SHARE) -> DataFrame:
     """(host, key) of ``described`` pages: subtrees that recur on many pages of a host with different content.
 
-    A host's pages are counted by content first, so no task holds a host. Prose
-    of articles, by its lowest bit, recurs from ``MIN_PROSE_PAGES`` pages on, and
-    anything else from ``min_pages`` on, or on ``few_share`` of a host's pages.
+    A host's pages are counted by content first, so no task holds a host. Outside
+    articles a subtree recurs from ``min_pages`` pages on, or on ``few_share`` of
+    a host's pages. Inside, it takes so many articles that are
+    ``ARTICLE_SHARE`` of the host's, and for prose ``MIN_PROSE_PAGES`` that are
+    ``PROSE_SHARE`` of them.
     """
     sizes = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("n_pages"))
+    articles = found.where("articles is not null").select("host", "articles").distinct().groupBy("host").agg(F.count("*").alias("n_articles"))
+    sizes = sizes.join(articles, "host", "left")
     seen = lambda key: F.struct(F.col("content" if key == "keys" else "articles").alias("content"), F.col(key).alias("keys"))
     seen = found.select("host", F.explode(F.array(seen("keys"), seen("inside"))).alias("s")).select("host", "s.content", F.explode("s.keys").alias("key"))
     counts = seen.distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
-    prose = F.col("key").bitwiseAND(1) == 1
-    least = F.when(prose, F.greatest(F.lit(min_pages), F.lit(MIN_PROSE_PAGES))).otherwise(min_pages)
-    few = ~prose & (F.col("n") >= few_share * F.col("n_pages"))
-    many = counts.where(F.col("n") >= FEW_PAGES).join(sizes, "host").where((F.col("n") >= least) | few)
+    prose, inside = F.col("key").bitwiseAND(1) == 1, F.col("key").bitwiseAND(2) == 2
+    part = lambda least, share: (F.col("n") >= least) & (F.col("n") >= share * F.col("n_articles"))
+    in_article = F.when(prose, part(max(min_pages, MIN_PROSE_PAGES), PROSE_SHARE)).otherwise(part(min_pages, ARTICLE_SHARE))
+    outside = (F.col("n") >= min_pages) | (F.col("n") >= few_share * F.col("n_pages"))
+    many = counts.where(F.col("n") >= FEW_PAGES).join(sizes, "host").where(F.when(inside, in_article).otherwise(outside))
     return stored_copy(many.select("host", "key"), "templates")
 
 

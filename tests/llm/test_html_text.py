@@ -82,6 +82,79 @@ def test_the_verdict_on_a_block_does_not_depend_on_the_size_of_the_host(spark):
     assert found[3] == "Story 3" and found[103] == "Other 3" and found[5003] == "Story 3"
 
 
+def test_items_and_cells_of_articles_stay(spark):
+    own = "<ul><li>Salt</li><li>Item {0}</li></ul><table><tr><td>1</td><td>{0}</td></tr></table><dl><dt>Time<dd>1 h</dl><figure><figcaption>Photo</figcaption>{0}</figure>"
+    for n, within in ((12, 12), (6, 4), (40, 40)):
+        rows = [(i, "http://a.com", f"<article><h1>T {i}</h1>{own.format(i)}</article>" if i < within else f"<p>other {i}</p>") for i in range(n)]
+        # The list of terms is the same in all articles and goes as a whole, if there are enough of them.
+        terms = "" if n >= h.MIN_PAGES else "Time 1 h "
+        assert text_by_page(h.main_text(frame(spark, rows)))[3] == f"T 3 Salt Item 3 1 3 {terms}Photo 3"
+
+
+def test_spec_sheets_without_an_article_keep_their_cells(spark):
+    page = "<body><h1>Device {0}</h1><table><tr><th>Weight</th><td>1 kg</td></tr><tr><th>Number</th><td>{0}</td></tr></table></body>"
+    found = text_by_page(h.main_text(frame(spark, [(i, "http://a.com", page.format(i)) for i in range(30)])))
+    assert found[7] == "Device 7 Weight 1 kg Number 7"
+
+
+def test_a_sentence_of_some_articles_stays(spark):
+    rows = [(i, "http://a.com", f"<article><p>own {i}</p><p>{'It was a good day.' if i < 25 else f'end {i}'}</p></article>") for i in range(50)]
+    assert text_by_page(h.main_text(frame(spark, rows)))[3] == "own 3 It was a good day."
+
+
+def test_templates_by_counting_in_one_place(spark):
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(4)
+    block = lambda: f"<{(t := rng.choice(['p', 'div', 'li', 'ul', 'td', 'section']))}>{rng.choice('abc')}{rng.choice(['', '', rng.randrange(9)])}</{t}>"
+    rows = []
+    for i in range(240):
+        held = "".join(block() for _ in range(rng.randrange(12)))
+        rows.append((i, f"http://{rng.choice('xyz')}.com", rng.choice(["<div>{}</div>", "{}", "<article>{}</article><div>s</div>", "<main>{}</main>"]).format(held)))
+    pages, articles, seen = defaultdict(set), defaultdict(set), defaultdict(set)
+    for _, url, source in rows:
+        content, of_articles, outside, inside = h.Page(source).evidence()
+        pages[url].add(content)
+        if of_articles is not None:
+            articles[url].add(of_articles)
+        for key in outside:
+            seen[url, key].add(content)
+        for key in inside:
+            seen[url, key].add(of_articles)
+    want = set()
+    for (url, key), n in ((k, len(v)) for k, v in seen.items()):
+        if key & 2:
+            least, share = (h.MIN_PROSE_PAGES, h.PROSE_SHARE) if key & 1 else (h.MIN_PAGES, h.ARTICLE_SHARE)
+            goes = n >= least and n >= share * len(articles[url])
+        else:
+            goes = n >= h.FEW_PAGES and (n >= h.MIN_PAGES or n >= h.FEW_SHARE * len(pages[url]))
+        if goes:
+            want.add((h.host_of(url), key))
+    found = h.site_templates(h.described(frame(spark, rows)))
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 5
+
+
+def test_hashes_are_those_of_the_subtree():
+    keys = lambda source: {key for key, _ in h.Page(source).subtrees()}
+    inner = "<div class='a  b'><p>x <b>y</b></p>z</div>"
+    assert keys(inner) <= keys(f"<section>{inner}</section>") and keys(inner) == keys(inner.replace("  ", "\n").replace("x ", "x\t"))
+    for other in ("<div class='a b'><p>x <b>y</b>z</p></div>", "<div class='a b'><p>x <i>y</i></p>z</div>", "<div class=c><p>x <b>y</b></p>z</div>"):
+        assert h.Page(other).subtrees()[-1][0] not in keys(inner)
+
+
+def test_end_tags_without_a_start_cost_nothing():
+    import time
+
+    times = []
+    for n in (4000, 16_000):
+        start = time.perf_counter()
+        page = h.Page("</i>" * n + "<div>" * n + "</p></b>" * n + "x")
+        assert page.text(frozenset()) == "x" and len(page.subtrees()) == n
+        times.append(time.perf_counter() - start)
+    assert times[1] < 10 * times[0]
+
+
 def test_awkward_rows(spark):
     long = "<p>" + "<b>x</b> y " * 30_000
     deep = "<div>" * 5000 + "in" + "</div>" * 5000
