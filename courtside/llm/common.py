@@ -75,19 +75,39 @@ def stored_copy(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def stored_place() -> list[Column]:
+    """The order in which a table of parquet files was written: by number of the part, name of its file, and row in it."""
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), name, F.col("_metadata.row_index")]
+
+
 def with_row_key(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_k1`` and ``_k2``: hashes of all columns, the same for equal rows only."""
+    """(doc, k1, k2): each row as a struct, so that no name of its columns meets another, and two hashes of all of it.
+
+    Equal rows have equal keys, other rows have others.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.withColumns({"_k1": F.xxhash64(F.lit(1), *columns, *[c.isNull() for c in columns]), "_k2": F.xxhash64(F.lit(2), *columns, *[c.isNull() for c in columns])})
+    key = lambda seed: F.xxhash64(F.lit(seed), *columns, *[c.isNull() for c in columns])
+    return docs.select(F.struct(*columns).alias("doc"), key(1).alias("k1"), key(2).alias("k2"))
 
 
 def once(keyed: DataFrame) -> DataFrame:
     """``with_row_key`` rows, one of each key."""
-    twice = keyed.groupBy("_k1", "_k2").count().where("count > 1").select("_k1", "_k2")
+    twice = keyed.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
     if twice.isEmpty():
         return keyed
-    single = keyed.join(twice, ["_k1", "_k2"], "left_anti")
-    return single.unionByName(keyed.join(twice, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]))
+    single = keyed.join(twice, ["k1", "k2"], "left_anti")
+    return single.unionByName(keyed.join(twice, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]))
+
+
+def text_key(text: Column) -> list[Column]:
+    """Two hashes that tell texts apart."""
+    return [F.xxhash64(F.lit(1), text).alias("t1"), F.xxhash64(F.lit(2), text).alias("t2")]
+
+
+def sent_if_small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` to be broadcast if it has been counted to have no more than ``most`` rows; else the planner decides."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def plain_words(text: Column) -> Column:

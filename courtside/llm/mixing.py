@@ -31,30 +31,47 @@ def word_count(text: Column) -> Column:
     return let(trimmed, lambda t: F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE))).cast("long"))
 
 
+def _ranked(sources: DataFrame) -> DataFrame:
+    """``sources`` with their rank (from 0) by code point, NULL last.
+
+    Sources are sorted by range and ranked in each range; where a range begins
+    follows from the sizes of the ranges before it.
+    """
+    first = [F.col("source").isNull(), F.col("source")]
+    ranged = stored_copy(sources.repartitionByRange(*first).withColumn("range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    begin = ranged.groupBy("range").agg(F.count("*").alias("n")).select(F.col("range").alias("_range"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    placed = ranged.join(F.broadcast(begin), F.col("range") == F.col("_range"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(*first))
+    return placed.withColumn("rank", F.col("begin") + inside - 1).select(*sources.columns, "rank")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``sources`` (source, source_size) with target and tilt.
 
     Weights are dealt to the sources by code point, NULL last. Targets share
     the sum of all sizes by weight; a target stops at ``max_epochs`` times its
-    source, and the excess is shared again by weight. In order of size per
-    weight the stopped sources come first, so one running sum finds the
-    level at which the rest is shared. One row per source.
+    source, and the excess is shared again by weight, until none is above: the
+    level at which the rest is shared only rises, so each round stops more
+    sources. One row per source; what reaches the driver is a sum per round.
     """
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())) - 1
-    slot = F.pmod(rank, F.lit(len(weights)))
+    slot = F.pmod(F.col("rank"), F.lit(len(weights))).cast("int")
     pick = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), slot + 1)
-    dealt = sources.withColumns({"weight": pick(weights), "tilt": pick(TILTS[: len(weights)])})
     cap = F.col("source_size") * float(max_epochs)
-    everything = Window.partitionBy(F.lit(0))
-    in_order = everything.orderBy(cap / F.col("weight"), F.col("source").asc_nulls_last())
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    after = in_order.rowsBetween(0, Window.unboundedFollowing)
-    left = F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))
-    leveled = dealt.withColumn("level", left / F.sum("weight").over(after))
-    stopped = F.col("level") * F.col("weight") >= cap
-    free_level = F.max(F.when(~stopped, F.col("level"))).over(everything)  # of the first that is not stopped
-    share = F.when(stopped, cap).otherwise(F.coalesce(free_level * F.col("weight"), cap))
-    return leveled.withColumn("target", share).select("source", "source_size", "tilt", "target")
+    dealt = _ranked(sources).withColumns({"weight": pick(weights), "tilt": pick(TILTS[: len(weights)]), "cap": cap})
+    dealt = stored_copy(dealt.select("source", "source_size", "weight", "tilt", "cap"), "weights")
+    everything = float(dealt.agg(F.sum("source_size")).first()[0] or 0)
+    level = 0.0
+    while True:
+        stopped = F.col("cap") <= F.lit(level) * F.col("weight") if level else F.lit(False)
+        held, free = dealt.agg(F.sum(F.when(stopped, F.col("cap"))), F.sum(F.when(~stopped, F.col("weight")))).first()
+        if free is None:  # all stop, or there is none
+            break
+        level, last = (everything - (held or 0.0)) / free, level
+        if level <= last:
+            break
+    share = F.lit(level) * F.col("weight")
+    return dealt.select("source", "source_size", "tilt", F.when(share >= F.col("cap"), F.col("cap")).otherwise(share).alias("target"))
 
 
 def due(share: Column, tilt: Column) -> Column:
@@ -67,7 +84,7 @@ def mixed(docs: DataFrame, whole: bool = False, weights: tuple[float, ...] = WEI
     """One row per row of ``docs`` (doc_id, text, source, any others), sorted by range of position.
 
     doc_id, size, source, source_size, target, taken, copies, positions. A
-    source's documents follow in the order of a hash of doc_id, as often as the
+    source's documents follow in the order of a hash of doc_id and text, as often as the
     target asks; the last one is taken in part, so that ``taken`` adds up to
     the rounded target. With ``whole`` it is taken whole if at least half of
     it is due, and not at all otherwise. ``positions`` are the training times
@@ -75,14 +92,15 @@ def mixed(docs: DataFrame, whole: bool = False, weights: tuple[float, ...] = WEI
     are one source; repeated rows are rows of their own.
 
     No group is summed in one task: each source is cut into hash ranges, whose
-    sums are added up first.
+    sums are added up first. Only rows that are the same in id and text share one.
     """
     return _mixed(docs, whole, weights, max_epochs, [])
 
 
 def _mixed(docs: DataFrame, whole: bool, weights: tuple[float, ...], max_epochs: int, carry: list[str]) -> DataFrame:
     """``mixed`` beside the columns ``carry``, which also order the documents that nothing else does."""
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    named = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    order = F.md5(named.cast("binary"))
     sized = stored_copy(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("o"), *carry).withColumn(
             "bucket", F.substring("o", 1, BUCKET_DIGITS)
@@ -123,15 +141,17 @@ def _mixed(docs: DataFrame, whole: bool, weights: tuple[float, ...], max_epochs:
     return out.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
 
-def curriculum(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, whole, sorted by range of training position.
+def curriculum(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, position: str | None = None) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source, any others) as often as the mix takes them, whole, sorted by range of training position.
 
-    Columns as in ``docs``. Rows are told apart by a key of all their columns, so
+    Columns as in ``docs``, and the training position as ``position`` if a name
+    is given for it. Rows are told apart by a key of all their columns, so
     repeated and missing ids are rows of their own; equal rows are taken as
-    often as all of them are. Rows without words are not taken.
+    often as all of them are. Rows with a NULL or blank text are not taken, rows
+    without source are of one source, and an empty table stays empty.
     """
     keyed = with_row_key(docs)
-    taken = _mixed(keyed, True, weights, max_epochs, ["_k1", "_k2"]).where("copies > 0")
-    taken = taken.select("_k1", "_k2", F.explode("positions").alias("_position"))
-    rows = once(keyed).join(taken, ["_k1", "_k2"])
-    return rows.orderBy("_position", "doc_id", "_k1", "_k2").select(*[rows[c] for c in docs.columns])
+    taken = _mixed(keyed.select("doc.doc_id", "doc.text", "doc.source", "k1", "k2"), True, weights, max_epochs, ["k1", "k2"]).where("copies > 0")
+    rows = once(keyed).join(taken.select("k1", "k2", F.explode("positions").alias("position")), ["k1", "k2"])
+    ordered = rows.orderBy("position", "doc.doc_id", "k1", "k2")
+    return ordered.select("doc.*", *([F.col("position").alias(position)] if position else []))

@@ -105,7 +105,7 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)"""
 
 OP9_SQL = f"""
-WITH d AS (SELECT doc_id, source, CAST(len({_SPACE_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len({_SPACE_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS o FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, 3.0 * source_size AS cap,
   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS weight FROM s),

@@ -226,16 +226,17 @@ def drop_near_duplicates(docs: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     own. Of equal rows one stays; rows with neither doc_id nor words stay.
     """
     keyed = with_row_key(docs)
-    prints = stored_copy(each_text(keyed, _keyed, ["doc_id", "text", "_k1", "_k2"], "doc_id long, fp long, blank boolean, _k1 long, _k2 long"), "fingerprints")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")
+    named = keyed.select("doc.doc_id", "doc.text", "k1", "k2")
+    prints = stored_copy(each_text(named, _keyed, ["doc_id", "text", "k1", "k2"], "doc_id long, fp long, blank boolean, k1 long, k2 long"), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
     first = stored_copy(prints.groupBy("fp").agg(F.min(place).alias("first")), "first")
     member = components(links(first.select("fp"), bits)).withColumnRenamed("node", "fp").join(first, "fp")
     least = member.groupBy("root").agg(F.min("first").alias("least"))
     classes = first.join(member.join(least, "root").select("fp", "least"), "fp", "left")
     classes = stored_copy(classes.select("fp", F.coalesce("least", "first").alias("stays")), "classes")
-    others = (F.col("_k1") != F.col("stays._k1")) | (F.col("_k2") != F.col("stays._k2"))
-    extra = prints.join(classes, "fp").where(others & ~(F.col("blank") & F.col("doc_id").isNull())).select("_k1", "_k2").distinct()
-    return once(keyed.join(extra, ["_k1", "_k2"], "left_anti")).select(*docs.columns)
+    others = (F.col("k1") != F.col("stays.k1")) | (F.col("k2") != F.col("stays.k2"))
+    extra = prints.join(classes, "fp").where(others & ~(F.col("blank") & F.col("doc_id").isNull())).select("k1", "k2").distinct()
+    return once(keyed.join(extra, ["k1", "k2"], "left_anti")).select("doc.*")
 
 
 def _keyed(doc_id, text, k1, k2):

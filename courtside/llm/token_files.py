@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtside.llm.common import stored_copy
@@ -40,6 +40,10 @@ MAGIC = b"PFORTOK1"
 BLOCK = 4096
 PERCENTILE = 0.98
 END_ID = 1
+# Text to a shard, where Spark's own number of partitions would put more in one.
+SHARD_BYTES = 128 << 20
+# Characters by which rows that share a doc_id are ordered before their hash is.
+ORDER_CHARS = 32
 # Pieces of text, and runs within them, whose ids a worker remembers before it starts anew.
 REMEMBERED = 400_000
 _HEAD = struct.Struct("<IIIB")
@@ -274,13 +278,21 @@ def _place(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(uri.replace("s3a://", "s3://"))
 
 
-def write_shards(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int = END_ID) -> DataFrame:
-    """Write ``docs`` (doc_id, text) as shards below ``folder``; returns the manifest.
+def by_id() -> list[Column]:
+    """Ascending order of doc_id, NULL first; rows that share one, or have none, by the start of their texts, then by a hash of them."""
+    return [F.col("doc_id").asc_nulls_first(), F.substring("text", 1, ORDER_CHARS).asc_nulls_first(), F.xxhash64("text").asc()]
 
-    shard (their order), path, n_docs, n_ids. Documents are in ascending order
-    of doc_id, NULL first, over all shards; rows that repeat a doc_id stand in
-    the order of their texts. Splitting by range gives every task a bounded
-    stretch, and a task holds some blocks at a time.
+
+def write_shards(
+    docs: DataFrame, folder: str, vocabulary_path: str, end_id: int = END_ID, order: list[Column] | None = None, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """Write ``docs`` (doc_id, text, any others) as shards below ``folder``; returns the manifest.
+
+    shard (their order), path, n_docs, n_ids. Documents are in the given
+    ``order`` of columns over all shards, or in that of :func:`by_id`. Splitting by
+    range gives every task a bounded stretch, also of rows without doc_id, and
+    a task holds some blocks at a time. Shards are as many as there are
+    ``shard_bytes`` of text, where that is more than Spark's own number.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -307,8 +319,12 @@ def write_shards(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int
                 {"shard": pa.array([number], pa.int32()), "path": [path], "n_docs": pa.array([len(shard.doc_ids)], pa.int64()), "n_ids": pa.array([shard.n_ids], pa.int64())}
             )
 
-    ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return stored_copy(ranged.mapInArrow(write, "shard int, path string, n_docs long, n_ids long"), "manifest")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = by_id() if order is None else order
+    number = -(-size // shard_bytes)
+    ranged = (docs.repartitionByRange(number, *order) if number > usual else docs.repartitionByRange(*order)).sortWithinPartitions(*order, "text")
+    return stored_copy(ranged.select("doc_id", "text").mapInArrow(write, "shard int, path string, n_docs long, n_ids long"), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
@@ -334,11 +350,12 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     return dealt.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_output(docs: DataFrame, vocabulary_path: str, folder: str | None = None) -> DataFrame:
-    """Encode ``docs`` to shards and read them back: doc_id, start, n_tokens, ids_crc32 per row.
+def token_output(docs: DataFrame, vocabulary_path: str, folder: str | None = None, order: list[Column] | None = None) -> DataFrame:
+    """Encode ``docs`` (doc_id, text, any others) to shards and read them back: doc_id, start, n_tokens, ids_crc32 per row.
 
-    NULL and empty texts are the end id alone; an empty table gives no shard and
-    no rows.
+    Rows stand in the files in the given ``order``, else in that of
+    :func:`by_id`. NULL and empty texts are the end id alone, rows that repeat are rows of their own,
+    and an empty table gives no shard and no rows.
     """
     spark: SparkSession = docs.sparkSession
-    return read_shards(write_shards(docs, folder or scratch_path(spark, "tokens"), vocabulary_path))
+    return read_shards(write_shards(docs, folder or scratch_path(spark, "tokens"), vocabulary_path, order=order))

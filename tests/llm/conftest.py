@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, quality string, m string, fp string, position double"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, quality string, m string, fp string, position double, _k1 long, k1 long, doc string, _position int, spans string, t1 long, at int"
 LONG = " ".join(f"word{i % 977} the of {i}" for i in range(12_000))
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -26,8 +26,8 @@ def awkward():
         None, "", " \t\n", "one", "\xa0", "One\x0btwo\x0cthree\r\nfour  five six ", "..!?..", LONG, "é É ß ñandú İstanbul \U0001f600 x",
         "same text here and there " * 12, "same text here and there " * 12, "a\nb\na\n\nb\n \na", "ab " * 300, "A line.\nA line.\nOther | line",
     ]
-    rows = [(i, t, ("en", "fr", None)[i % 3], (None, "a", "b", "é")[i % 4], None if i % 2 else 5, "q", "m", "f", 0.5) for i, t in enumerate(texts)]
-    rows += [rows[3], rows[3], (None, "without an id, five words more", None, None, None, None, None, None, None), (None,) * 9]
+    rows = [(i, t, ("en", "fr", None)[i % 3], (None, "a", "b", "é")[i % 4], None if i % 2 else 5, "q", "m", "f", 0.5, 1, 2, "d", 3, "s", 4, 5) for i, t in enumerate(texts)]
+    rows += [rows[3], rows[3], (None, "without an id, five words more", *[None] * 14), (None,) * 16]
     return rows
 
 

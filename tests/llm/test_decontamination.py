@@ -34,12 +34,12 @@ EXTRA = [
 ]
 
 
-@pytest.mark.parametrize("max_set", [d.MAX_SET, 0])
-def test_hits_by_brute_force(spark, docs, max_set):
+@pytest.mark.parametrize(("max_set", "max_sent"), [(d.MAX_SET, d.MAX_SENT), (0, d.MAX_SENT), (0, 0)])
+def test_hits_by_brute_force(spark, docs, max_set, max_sent):
     rows = [(r[0], r[1]) for r in awkward()] + EXTRA
     table = spark.createDataFrame(rows, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    found = d.contamination(table, items, max_set=max_set)
+    found = d.contamination(table, items, max_set=max_set, max_sent=max_sent)
     got = told(found, "doc_id", "n_words", "n_hit", "n_items", "item_ids", "contaminated")
     assert got == sorted(((i, *brute(t)) for i, t in rows), key=repr)
 
@@ -59,6 +59,16 @@ def test_clean_rows_stay_as_they_were(spark, docs):
     assert sorted((tuple(r) for r in kept.collect()), key=repr) == want
 
 
+def test_rows_that_share_an_id_do_not_touch_each_other(spark):
+    bad = f"before {ITEMS[0][1]} after"
+    rows = [(1, bad, "a"), (1, "clean", "b"), (None, bad, "c"), (None, "clean", "d"), (1, "clean", "b"), (2, None, "e"), (2, bad, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, t1 string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert told(d.drop_contaminated(df, items), "doc_id", "text", "t1") == sorted((r for r in rows if r[1] != bad), key=repr)
+    want = [(i, {bad: "before after", None: ""}.get(t, t)) for i, t, _ in rows]
+    assert told(d.remove_spans(df, items), "doc_id", "text") == sorted(want, key=repr)
+
+
 def test_spans_are_cut_out(spark):
     rows = spark.createDataFrame([(1, f"before {ITEMS[0][1]} after"), (2, "clean")], "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")

@@ -82,6 +82,25 @@ def test_rows_with_repeated_or_no_ids_are_taken(spark):
     assert told(m.curriculum(docs), "doc_id", "text", "source") == sorted(rows, key=repr)
 
 
+def test_many_sources_come_to_the_same_targets(spark):
+    rng = random.Random(8)
+    sizes = {f"host{rng.randrange(10**6)}.é" if i % 9 else f"{i}": rng.choice([0, 1, 7, 500, 10**6]) for i in range(700)} | {None: 12}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["source"]: r["target"] for r in m.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == pytest.approx(brute_targets(sizes))
+
+
+def test_rows_without_an_id_are_spread_over_the_ranges(spark):
+    docs = spark.range(20_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('w ', id) AS text", "'a' AS source", "0 AS position")
+    line = m.curriculum(docs, position="at")
+    assert line.columns == ["doc_id", "text", "source", "position", "at"]
+    rows = line.collect()
+    assert len({r["text"] for r in rows}) == len(rows) == 20_000 and [r["at"] for r in rows] == sorted(r["at"] for r in rows)
+
+
 def test_awkward_rows(docs, no_docs):
     got = told(m.mixed(docs), "doc_id", "size", "source")
     assert got == sorted(((r[0], len(space_words(r[1])), r[3]) for r in awkward()), key=repr)

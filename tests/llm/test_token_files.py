@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from courtside.llm import token_files as t
@@ -92,7 +93,7 @@ def test_a_tokenizer_that_keeps_spaces_sees_whole_texts():
 
 def test_awkward_rows(docs, no_docs, tmp_path):
     found = [tuple(r) for r in t.token_output(docs, PATH, str(tmp_path / "some")).orderBy("start").collect()]
-    rows = sorted(((r[0], r[1]) for r in awkward()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    rows = sorted(((r[0], r[1]) for r in awkward()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "")[: t.ORDER_CHARS]))
     want, start = [], 0
     for doc_id, text in rows:
         ids = np.array(whole(text), "<u4")
@@ -100,3 +101,17 @@ def test_awkward_rows(docs, no_docs, tmp_path):
         start += len(ids)
     assert found == want
     assert t.token_output(no_docs, PATH, str(tmp_path / "none")).count() == 0
+
+
+def test_rows_without_an_id_are_spread_over_the_shards(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('same start of all texts that is long ', id) AS text")
+    manifest = t.write_shards(rows.repartition(8), str(tmp_path), PATH, shard_bytes=300_000)
+    sizes = sorted(r["n_docs"] for r in manifest.collect())
+    assert len(sizes) >= 8 and sum(sizes) == 60_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_documents_stand_in_the_order_asked_for(spark, tmp_path):
+    rows = [(i, f"text {i}", (i * 7919) % 1000) for i in range(1000)] + [(None, "x", -1), (5, "y", -2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, place int").repartition(5)
+    found = t.token_output(df, PATH, str(tmp_path), order=[F.col("place")]).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == [r[0] for r in sorted(rows, key=lambda r: r[2])]
