@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from courtside.llm.common import each_text, stored_copy
+from courtside.llm.common import each_text, sent_if_small, stored_copy
 from courtside.session import ship_package
 
 PASSAGE_WORDS = 50
@@ -44,6 +44,8 @@ _STEP = 1 << 20
 # those that meet in one task.
 PACK = 1 << 17
 RANGE = 1 << 20
+# Texts with copies, of some forty bytes each, that are broadcast.
+MAX_SENT = 100_000
 # Chunks are told apart by so many bits, which is enough for candidates; windows by 64.
 CHUNK_BITS = 40
 # Gear values: one 16-bit number for each byte, from a fixed generator.
@@ -211,7 +213,8 @@ def looked_up(packs: DataFrame, entries_of: Callable, bits: int, tell_first: boo
     sent = packs.mapInArrow(send, "piece long, range long, blob binary")
     replies = sent.groupBy("range").applyInArrow(_meet(tell_first), "piece long, range long, reply binary")
     by_piece = replies.groupBy(F.col("piece").alias("_piece")).agg(F.collect_list(F.struct("range", "reply")).alias("replies"))
-    return packs.join(by_piece, F.col("piece") == F.col("_piece")).drop("_piece")
+    # Both sides grow with the table: neither is ever broadcast.
+    return packs.join(by_piece.hint("merge"), F.col("piece") == F.col("_piece")).drop("_piece")
 
 
 def _told(row: dict, entries: Entries, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -386,7 +389,7 @@ def spans(docs: DataFrame, passage_words: int, min_words: int, only_again: bool)
     texts = candidates(docs, passage_words, min_words)
     same = F.col("key") == F.col("_key")
     first = F.when(F.col("low.no_id") == 0, F.col("low.id"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("_key"), "text").join(texts, same & F.col("doc_id").eqNullSafe(first))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_key"), "text").join(texts.hint("merge"), same & F.col("doc_id").eqNullSafe(first))
     packs = _packed(rows, _window_pack(passage_words), ["low", "high", "key", "regions", "text"], _WINDOWS)
     told = looked_up(packs, _window_entries, 64, True)
     columns = told.columns
@@ -409,7 +412,8 @@ def spans(docs: DataFrame, passage_words: int, min_words: int, only_again: bool)
     schema = "doc_id long, key long, spans array<struct<start_word:long,n_words:long,removed_words:long>>"
     of_first = told.mapInArrow(run, schema).dropDuplicates(["doc_id", "key"])
     again = texts.where((F.col("low") != F.col("high")) & (F.col("n_words") > passage_words)).select("key", "n_words", first.alias("first"))
-    copies = docs.select("doc_id", F.xxhash64("text").alias("_key")).join(again, same & ~F.col("doc_id").eqNullSafe(F.col("first"))).select("doc_id", "key", "n_words").distinct()
+    copies = docs.select("doc_id", F.xxhash64("text").alias("_key")).join(sent_if_small(again, MAX_SENT), same & ~F.col("doc_id").eqNullSafe(F.col("first")))
+    copies = copies.select("doc_id", "key", "n_words").distinct()
     whole = F.struct(F.lit(0).cast("long").alias("start_word"), "n_words", F.col("n_words").alias("removed_words"))
     return of_first.unionByName(copies.select("doc_id", "key", F.array(whole).alias("spans")))
 
