@@ -1,9 +1,12 @@
-"""Language identification in two levels.
+"""Language identification by levels.
 
 Linear support vector machines over hashed byte trigrams tell language families
 apart, each family from each other; within the family chosen, machines of one
-language against one other decide. All are trained here, one Spark task a
-pair, on a bounded sample of labelled rows; predictions read whole texts.
+language against one other decide. Where there are more than ``BRANCH``
+families, or languages in one, those with like trigrams form groups, and groups
+are told apart first; so the machines are in proportion to the languages, and
+no language is left out. All are trained here, one Spark task a choice, on a
+bounded sample of labelled rows; predictions read whole texts.
 """
 
 from __future__ import annotations
@@ -16,13 +19,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import each_text
+from courtside.llm.common import each_text, stored_copy
 from courtside.session import ship_package
 
 FEATURES = 4096
 # Rows a language learns from, about; chosen by a hash of doc_id.
 SAMPLE_ROWS = 400
-MAX_LANGUAGES = 100
+# Most families, languages or groups told apart at once, and languages' worth of rows that stand for a group.
+BRANCH = 10
+GROUP_LANGUAGES = 4
 EPOCHS = 30
 REGULAR = 1e-3
 HELD_OUT_OF = 5
@@ -84,101 +89,162 @@ def remainder():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT_OF
 
 
+class Tree:
+    """What is told apart at each node: names of other nodes, or languages.
+
+    ``means`` are the mean features of languages; they are needed only where
+    more than ``BRANCH`` names are to be put into groups.
+    """
+
+    def __init__(self, languages: list[str], means: dict[str, np.ndarray] | None = None):
+        self.nodes: dict[str, list[str]] = {}
+        self.under: dict[str, list[str]] = {}  # languages below a node
+        families: dict[str, list[str]] = {}
+        for lang in sorted(languages):
+            families.setdefault(family_of(lang), []).append(lang)
+            self.under[f"language {lang}"] = [lang]
+        tops = []
+        for family, langs in sorted(families.items()):
+            names = [f"language {lang}" for lang in langs]
+            tops.append(names[0] if len(names) == 1 else self._add(f"family {family}", names, means or {}))
+        self.root = self._add("all", tops, means or {})
+
+    def _add(self, node: str, names: list[str], means: dict[str, np.ndarray]) -> str:
+        self.under[node] = [lang for name in names for lang in self.under[name]]
+        if len(names) > BRANCH:
+            groups = self._groups(names, means)
+            names = [g[0] if len(g) == 1 else self._add(f"{node}/{k}", g, means) for k, g in enumerate(groups)]
+        self.nodes[node] = names
+        return node
+
+    def _groups(self, names: list[str], means: dict[str, np.ndarray]) -> list[list[str]]:
+        """``BRANCH`` groups of about the same size: the largest is halved along the direction in which its means differ most."""
+        none = np.zeros(FEATURES)
+        mean = {name: np.mean([means.get(lang, none) for lang in self.under[name]], axis=0) for name in names}
+        groups = [names]
+        while len(groups) < BRANCH:
+            group = max(groups, key=len)
+            groups.remove(group)
+            x = np.stack([mean[name] for name in group])
+            x = x - x.mean(0)
+            along = x.T @ np.linalg.eigh(x @ x.T)[1][:, -1]
+            along = along * np.sign(along[np.abs(along).argmax()] or 1)
+            order = [group[k] for k in np.argsort((x @ along).round(9), kind="stable")]
+            groups += [order[: len(order) // 2], order[len(order) // 2 :]]
+        return [sorted(g) for g in groups]
+
+    def uses(self, rows: dict[str, int], sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, str, int, float]]:
+        """(language, node, place of the name it stands under, share of its rows that are used) of every choice.
+
+        ``rows`` tells how many each language has. A group is learned from all of
+        them, up to ``GROUP_LANGUAGES`` times what a language is learned from.
+        """
+        sampled = {lang: min(n, sample_rows) for lang, n in rows.items()}
+        return [
+            (lang, node, place, min(1.0, GROUP_LANGUAGES * sample_rows / max(1, sum(sampled[of] for of in self.under[name]))))
+            for node, names in self.nodes.items()
+            if len(names) > 1
+            for place, name in enumerate(names)
+            for lang in self.under[name]
+        ]
+
+
 class Model:
-    """Families with their languages, and one weight vector per pair."""
+    """A tree, and a weight vector for each two names of each of its nodes."""
 
-    def __init__(self, languages: list[str], weights: dict[tuple[str, str], tuple[np.ndarray, float]]):
-        self.languages = languages
-        self.families: dict[str, list[str]] = {}
-        for lang in languages:
-            self.families.setdefault(family_of(lang), []).append(lang)
-        self.weights = weights
+    def __init__(self, tree: Tree | None, weights: dict[tuple[str, int, int], tuple[np.ndarray, float]]):
+        self.tree, self.weights = tree, weights
 
-    def _vote(self, names: list[str], x: np.ndarray) -> tuple[str, float]:
+    def _vote(self, node: str, x: np.ndarray) -> tuple[str, float]:
         """The name with most wins, then the largest sum of margins; and its weakest margin as a score."""
-        wins, margin, weakest = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0), dict.fromkeys(names, 1.0)
-        for i, a in enumerate(names):
-            for b in names[i + 1 :]:
-                w, bias = self.weights[a, b]
+        names = self.tree.nodes[node]
+        wins, margin, weakest = [0] * len(names), [0.0] * len(names), [1.0] * len(names)
+        for a in range(len(names)):
+            for b in range(a + 1, len(names)):
+                if (node, a, b) not in self.weights:
+                    continue  # a machine without rows says nothing
+                w, bias = self.weights[node, a, b]
                 m = float(x @ w) + bias
-                for name, value in ((a, m), (b, -m)):
-                    wins[name] += value > 0
-                    margin[name] += value
-                    weakest[name] = min(weakest[name], 1 / (1 + math.exp(-max(-30.0, min(30.0, 3 * value)))))
-        best = max(names, key=lambda n: (wins[n], margin[n], n))
-        return best, weakest[best]
+                for k, value in ((a, m), (b, -m)):
+                    wins[k] += value > 0
+                    margin[k] += value
+                    weakest[k] = min(weakest[k], 1 / (1 + math.exp(-max(-30.0, min(30.0, 3 * value)))))
+        best = max(range(len(names)), key=lambda k: (wins[k], margin[k], names[k]))
+        return names[best], weakest[best]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         x = features(text)
-        if x is None or not self.languages:
+        if x is None or self.tree is None:
             return UNDETERMINED, 0.0
-        family, first = self._vote(sorted(self.families), x)
-        lang, second = self._vote(self.families[family], x)
-        return lang, min(first, second)
-
-
-def pairs_of(languages: list[str]) -> list[tuple[str, str, str]]:
-    """(level, a, b) of every machine: families against each other, languages within a family."""
-    families: dict[str, list[str]] = {}
-    for lang in languages:
-        families.setdefault(family_of(lang), []).append(lang)
-    names = sorted(families)
-    out = [("family", a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    for langs in families.values():
-        out += [("language", a, b) for i, a in enumerate(langs) for b in langs[i + 1 :]]
-    return out
+        name, score = self.tree.root, 1.0
+        while name in self.tree.nodes:
+            name, sure = self._vote(name, x)
+            score = min(score, sure)
+        return self.tree.under[name][0], score
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from text and lang of rows whose remainder is not 0.
 
-    About ``sample_rows`` rows a language, of at most ``MAX_LANGUAGES``
-    languages (most rows first), are turned into features; that bounds each
-    training task and the weights that reach the driver.
+    About ``sample_rows`` rows of each language are turned into features, which
+    bounds each training task; languages are as many as there are, a row of
+    counts and some 80 KB of weights each.
     """
+    spark = docs.sparkSession
     labelled = docs.select("doc_id", "text", "lang").where((remainder() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in counts)
-    pairs = pairs_of(languages)
-    if not pairs:
-        return Model(languages, {})
-    ship_package(docs.sparkSession)
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return Model(None, {})
+    ship_package(spark)
     grain = 1 << 40
-    rate = F.lit(None).cast("long")
-    for r in counts:
-        rate = F.when(F.col("lang") == r["lang"], F.lit(min(grain, grain * sample_rows // r["count"]))).otherwise(rate)
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(grain)) < rate)
-    vectors = each_text(sample, _vector, ["doc_id", "lang", "text"], "doc_id long, lang string, x binary").where("x is not null")
-    families = {lang: family_of(lang) for lang in languages}
-    uses = F.lit(None).cast("array<struct<level:string,a:string,b:string,y:int>>")
-    for lang in languages:
-        mine = [
-            F.struct(F.lit(level).alias("level"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(1 if (families[lang] if level == "family" else lang) == a else -1).alias("y"))
-            for level, a, b in pairs
-            if (families[lang] if level == "family" else lang) in (a, b)
-        ]
-        uses = F.when(F.col("lang") == lang, F.array(*mine).cast("array<struct<level:string,a:string,b:string,y:int>>")).otherwise(uses)
-    dealt = vectors.select("doc_id", "x", F.explode(uses).alias("use")).select("doc_id", "x", "use.*")
-    trained = dealt.groupBy("level", "a", "b").applyInPandas(_train_group, "a string, b string, w binary, bias double").collect()
-    return Model(languages, {(r["a"], r["b"]): (np.frombuffer(r["w"], np.float32), r["bias"]) for r in trained} | _missing(pairs, trained))
-
-
-def _missing(pairs, trained):
-    """A machine none of whose rows were sampled says nothing."""
-    have = {(r["a"], r["b"]) for r in trained}
-    return {(a, b): (np.zeros(FEATURES, np.float32), 0.0) for _, a, b in pairs if (a, b) not in have}
+    chance = lambda salt: F.pmod(F.xxhash64("doc_id", salt), F.lit(grain))
+    # A row per language, and per language and level.
+    rates = spark.createDataFrame([(lang, min(grain, grain * sample_rows // n)) for lang, n in counts.items()], "lang string, rate long")
+    sample = labelled.join(F.broadcast(rates), "lang").where(chance(F.lit("sample")) < F.col("rate"))
+    vectors = stored_copy(each_text(sample, _vector, ["doc_id", "lang", "text"], "doc_id long, lang string, at binary, x binary").where("x is not null"), "vectors")
+    tree = Tree(list(counts))
+    if any("/" in node for node in tree.nodes):
+        found = vectors.groupBy("lang").applyInPandas(_mean, "lang string, mean binary").collect()
+        tree = Tree(list(counts), {r["lang"]: np.frombuffer(r["mean"], np.float32) for r in found})
+    uses = [(lang, node, place, int(grain * share)) for lang, node, place, share in tree.uses(counts, sample_rows)]
+    if not uses:
+        return Model(tree, {})
+    uses = spark.createDataFrame(uses, "lang string, node string, place int, share long")
+    dealt = vectors.join(F.broadcast(uses), "lang").where(chance(F.col("node")) < F.col("share")).select("doc_id", "at", "x", "node", "place")
+    trained = dealt.groupBy("node").applyInPandas(_train_node, "node string, a int, b int, w binary, bias double").collect()
+    return Model(tree, {(r["node"], r["a"], r["b"]): (np.frombuffer(r["w"], np.float32), r["bias"]) for r in trained})
 
 
 def _vector(doc_id, lang, text):
+    """The features that are not 0: their places, and the features."""
     x = features(text)
-    return doc_id, lang, None if x is None else x.tobytes()
+    if x is None:
+        return doc_id, lang, None, None
+    at = np.flatnonzero(x)
+    return doc_id, lang, at.astype("<u2").tobytes(), x[at].tobytes()
+
+
+def _dense(rows: pd.DataFrame) -> np.ndarray:
+    out = np.zeros((len(rows), FEATURES), np.float32)
+    for k, (at, x) in enumerate(zip(rows["at"], rows["x"])):
+        out[k, np.frombuffer(at, "<u2")] = np.frombuffer(x, np.float32)
+    return out
+
+
+def _mean(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "mean": [_dense(rows.sort_values(["doc_id", "x"])).mean(0, dtype=np.float64).astype(np.float32).tobytes()]})
 
 
-def _train_group(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["doc_id", "x"], kind="stable")
-    x = np.stack([np.frombuffer(v, np.float32) for v in rows["x"]])
-    w, bias = train_pair(x, rows["y"].to_numpy())
-    return pd.DataFrame({"a": [rows["a"].iloc[0]], "b": [rows["b"].iloc[0]], "w": [w.tobytes()], "bias": [bias]})
+def _train_node(rows: pd.DataFrame) -> pd.DataFrame:
+    """One machine for each two names of a node, one after the other."""
+    rows, out = rows.sort_values(["doc_id", "at", "x"], kind="stable"), []
+    places = sorted(rows["place"].unique().tolist())
+    for i, a in enumerate(places):
+        for b in places[i + 1 :]:
+            some = rows[rows["place"].isin((a, b))]
+            w, bias = train_pair(_dense(some), np.where(some["place"] == a, 1, -1))
+            out.append((rows["node"].iloc[0], a, b, w.tobytes(), bias))
+    return pd.DataFrame(out, columns=["node", "a", "b", "w", "bias"])
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -25,9 +25,32 @@ def table(spark, some):
 
 
 def test_families_come_first():
-    pairs = l.pairs_of(["de", "en", "es", "fr", "xx"])
-    assert ("language", "de", "en") in pairs and ("language", "es", "fr") in pairs and ("family", "germanic", "romance") in pairs
-    assert not any(level == "language" and "xx" in (a, b) for level, a, b in pairs) and len(pairs) == 5
+    tree = l.Tree(["de", "en", "es", "fr", "xx"])
+    assert tree.nodes == {"family germanic": ["language de", "language en"], "family romance": ["language es", "language fr"], "all": ["family germanic", "language xx", "family romance"]}
+
+
+def test_groups_of_many_families():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    names = [f"l{i:03}" for i in range(300)]
+    tree = l.Tree([*names, "de", "en"], {n: rng.random(l.FEATURES) for n in names})
+    assert max(map(len, tree.nodes.values())) <= l.BRANCH and sorted(tree.under["all"]) == sorted([*names, "de", "en"])
+    below = [n for ns in tree.nodes.values() for n in ns]
+    assert sorted(n for n in below if n.startswith("language")) == sorted(f"language {n}" for n in [*names, "de", "en"]) and len(below) == len(set(below))
+
+
+def test_three_hundred_languages_are_learned(spark):
+    """Each made language has syllables of its own; twelve rows of each."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    syllables = {f"l{k:03}": ["".join(rng.choice(letters) for _ in range(4)) for _ in range(6)] for k in range(300)}
+    text = lambda lang: " ".join("".join(rng.choice(syllables[lang]) for _ in range(2)) for _ in range(30))
+    some = [(k * 100 + i, text(lang), lang) for k, lang in enumerate(syllables) for i in range(12)]
+    found = l.identify(table(spark, some)).where("held_out").collect()
+    lang = {r[0]: r[2] for r in some}
+    assert len(found) > 500 and sum(r["lang_pred"] == lang[r["doc_id"]] for r in found) >= 0.95 * len(found)
+    assert len({r["lang_pred"] for r in found}) > 250
 
 
 def test_held_out_accuracy(spark):
