@@ -5,21 +5,22 @@ it is used only where the groups are known to be small. Longer groups are
 narrowed: a pass counts the values in bins between the ends of an interval,
 keeps the bin each wanted rank falls into, with the bin's own smallest and
 largest value as the new ends, and goes on until an interval holds few enough
-values to be sorted. Counts are exact, so the ranks are.
+values to be sorted. Counts are exact, so the ranks are. The intervals are a
+stored table, joined and aggregated each pass: only their number reaches the
+driver, so there may be as many long groups as the data have.
 """
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.functions.text import is_finite
 from courtside.operators.windows import BROADCAST_ROWS
+from courtside.session import materialize
 
 # Most values of a group that are sorted in one task.
 SORT_ROWS = 500_000
@@ -27,7 +28,8 @@ SORT_ROWS = 500_000
 # Bins per narrowing pass.
 BINS = 2048
 
-QUANTILES = "group string, column string, n long, quantiles array<double>"
+# What tells intervals apart: their group and how many of its values lie below them.
+_INTERVAL = ("group", "column", "n", "below", "ranks")
 
 
 def long_numbers(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
@@ -37,115 +39,88 @@ def long_numbers(df: DataFrame, columns: Sequence[str], by: str | None = None) -
     return wide.unpivot(["group"], list(columns), "column", "value").where(is_finite(F.col("value")))
 
 
-@dataclass
-class _Interval:
-    """Values of one group from ``low`` to ``high``, and the ranks looked for in it."""
+def _heights(probabilities: Sequence[float]) -> list[Column]:
+    """Per probability the place of its quantile among the ``n`` sorted values; ranks start at 0."""
+    return [(F.col("n") - 1) * F.lit(float(p)) for p in probabilities]
 
-    group: str
-    column: str
-    low: float
-    high: float
-    below: int
-    inside: int
-    ranks: set[int] = field(default_factory=set)
 
+def _small(df: DataFrame, n_rows: int) -> DataFrame:
+    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
 
-def _interval_frame(df: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
-    """Few rows: at most two ranks per long group and probability."""
-    rows = [(i, iv.group, iv.column, iv.low, iv.high) for i, iv in enumerate(intervals)]
-    schema = "id int, group string, column string, low double, high double"
-    frame = df.sparkSession.createDataFrame(rows, schema)
-    return F.broadcast(frame) if len(rows) <= BROADCAST_ROWS else frame
 
-
-def _inside(numbers: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
-    edges = _interval_frame(numbers, intervals)
-    same = numbers["group"].eqNullSafe(edges["group"]) & (numbers["column"] == edges["column"])
-    return numbers.join(edges, same & F.col("value").between(F.col("low"), F.col("high"))).select(
-        "id", "low", "high", "value"
-    )
+def _inside(numbers: DataFrame, intervals: DataFrame, n_intervals: int) -> DataFrame:
+    """The values of each interval, next to it."""
+    edges = intervals.withColumnsRenamed({"group": "_group", "column": "_column"})
+    same = F.col("group").eqNullSafe(F.col("_group")) & (F.col("column") == F.col("_column"))
+    return numbers.join(_small(edges, n_intervals), same & F.col("value").between(F.col("low"), F.col("high")))
 
 
-def _narrow(numbers: DataFrame, intervals: Sequence[_Interval]) -> list[_Interval]:
+def _narrow(numbers: DataFrame, intervals: DataFrame, n_intervals: int) -> DataFrame:
+    """The bins of the intervals that hold a wanted rank, as intervals."""
     # The smallest value goes to the first bin and the largest to the last, so
     # every pass narrows. Halves keep the width of the widest interval finite.
     reach = F.col("high") - F.col("low")
     halves = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
     place = F.when(reach < float("inf"), (F.col("value") - F.col("low")) / reach).otherwise(halves)
     bins = (
-        _inside(numbers, intervals)
+        _inside(numbers, intervals, n_intervals)
         .withColumn("bin", F.least(F.floor(place * BINS), F.lit(BINS - 1)))
-        .groupBy("id", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
+        .groupBy(*_INTERVAL, "bin")
+        .agg(F.count(F.lit(1)).alias("inside"), F.min("value").alias("low"), F.max("value").alias("high"))
+    )
+    # At most BINS rows to a window.
+    before = Window.partitionBy(*_INTERVAL).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("below") + F.coalesce(F.sum("inside").over(before), F.lit(0))
+    held = F.filter("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("inside")))
+    return (
+        bins.withColumn("start", start)
+        .withColumn("ranks", held)
+        .where(F.size("ranks") > 0)
+        .select("group", "column", "n", F.col("start").alias("below"), "inside", "low", "high", "ranks")
+    )
+
+
+def _values_at(numbers: DataFrame, sizes: DataFrame, probabilities: Sequence[float], sort_rows: int) -> DataFrame:
+    """(group, column, n, rank, value) of the ranks that the quantiles of long groups lie between."""
+    ranks = [end(h).cast("bigint") for h in _heights(probabilities) for end in (F.floor, F.ceil)]
+    intervals = sizes.where(F.col("n") > sort_rows).select(
+        "group", "column", "n", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("inside"), "low", "high",
+        F.array_distinct(F.array(*ranks)).alias("ranks"),
     )
-    by_interval = defaultdict(list)
-    for row in bins:
-        by_interval[row["id"]].append(row)
-    narrowed = []
-    for i, interval in enumerate(intervals):
-        below = interval.below
-        for row in sorted(by_interval[i], key=lambda r: r["bin"]):
-            ranks = {r for r in interval.ranks if below <= r < below + row["n"]}
-            if ranks:
-                narrowed.append(
-                    _Interval(interval.group, interval.column, row["low"], row["high"], below, row["n"], ranks)
-                )
-            below += row["n"]
-    return narrowed
-
-
-def _sorted_values(numbers: DataFrame, intervals: Sequence[_Interval]) -> dict[tuple, float]:
-    """The wanted ranks of intervals that are small enough to sort."""
-    ranks = [(i, r - iv.below) for i, iv in enumerate(intervals) for r in iv.ranks]
-    wanted = numbers.sparkSession.createDataFrame(ranks, "id int, rank int")
-    values = _inside(numbers, intervals).groupBy("id").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    picked = values.join(wanted, "id").select("id", "rank", F.get("values", F.col("rank")).alias("value"))
-    return {
-        (intervals[row["id"]].group, intervals[row["id"]].column, row["rank"] + intervals[row["id"]].below): row["value"]
-        for row in picked.collect()
-    }
-
-
-def _places(n: int, probabilities: Sequence[float]) -> list[tuple[int, int, float]]:
-    """Per probability the two ranks it lies between, and how far from the first."""
-    heights = [(n - 1) * p for p in probabilities]
-    return [(math.floor(h), math.ceil(h), h - math.floor(h)) for h in heights]
-
-
-def _narrowed_quantiles(numbers: DataFrame, groups: Sequence[Row], probabilities, sort_rows: int) -> DataFrame:
-    """Quantiles of long groups, of which there are few."""
-    open_ = [
-        _Interval(
-            g["group"], g["column"], g["low"], g["high"], 0, g["n"],
-            {rank for place in _places(g["n"], probabilities) for rank in place[:2]},
-        )
-        for g in groups
-    ]
-    found: dict[tuple, float] = {}
-    small: list[_Interval] = []
-    while open_:
-        large = []
-        for iv in open_:
-            if iv.low == iv.high:
-                found.update({(iv.group, iv.column, r): iv.low for r in iv.ranks})
-            elif iv.inside <= sort_rows:
-                small.append(iv)
-            else:
-                large.append(iv)
-        open_ = _narrow(numbers, large) if large else []
-    if small:
-        found.update(_sorted_values(numbers, small))
-
-    rows = []
-    for g in groups:
-        key = (g["group"], g["column"])
-        quantiles = []
-        for low, high, part in _places(g["n"], probabilities):
-            a, b = found[(*key, low)], found[(*key, high)]
-            quantiles.append(a if a == b else a * (1 - part) + b * part)
-        rows.append((*key, g["n"], quantiles))
-    return numbers.sparkSession.createDataFrame(rows, QUANTILES)
+    one_value = F.col("low") == F.col("high")
+    sortable = ~one_value & (F.col("inside") <= sort_rows)
+    found = []
+    while True:
+        intervals = materialize(intervals, "intervals")
+        # Three counts are all that reaches the driver.
+        n_one, n_sortable, n_all = intervals.agg(F.count_if(one_value), F.count_if(sortable), F.count(F.lit(1))).first()
+        if n_one:
+            found.append(intervals.where(one_value).select("group", "column", "n", F.explode("ranks").alias("rank"), F.col("low").alias("value")))
+        if n_sortable:
+            lists = (
+                _inside(numbers, intervals.where(sortable), n_sortable)
+                .groupBy(*_INTERVAL)
+                .agg(F.sort_array(F.collect_list("value")).alias("values"))
+            )
+            at = F.get("values", (F.col("rank") - F.col("below")).cast("int"))
+            found.append(lists.withColumn("rank", F.explode("ranks")).select("group", "column", "n", "rank", at.alias("value")))
+        n_wide = n_all - n_one - n_sortable
+        if not n_wide:
+            return reduce(DataFrame.unionByName, found)
+        intervals = _narrow(numbers, intervals.where(~one_value & ~sortable), n_wide)
+
+
+def _narrowed_quantiles(numbers: DataFrame, sizes: DataFrame, probabilities: Sequence[float], sort_rows: int) -> DataFrame:
+    """(group, column, n, quantiles) of the groups with more than ``sort_rows`` values."""
+    # Two values a probability and group.
+    by_rank = F.map_from_entries(F.collect_list(F.struct("rank", "value")))
+    held = _values_at(numbers, sizes, probabilities, sort_rows).groupBy("group", "column", "n").agg(by_rank.alias("at"))
+    quantiles = []
+    for height in _heights(probabilities):
+        a, b = (F.element_at("at", end(height).cast("bigint")) for end in (F.floor, F.ceil))
+        part = height - F.floor(height)
+        quantiles.append(F.when(a == b, a).otherwise(a * (1 - part) + b * part))
+    return held.select("group", "column", "n", F.array(*quantiles).alias("quantiles"))
 
 
 def quantiles_and_groups(
@@ -157,28 +132,25 @@ def quantiles_and_groups(
 ) -> tuple[DataFrame, int]:
     """:func:`exact_quantiles`, and how many rows it has."""
     numbers = long_numbers(df, columns, by)
-    sizes = numbers.groupBy("group", "column").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    sizes = materialize(
+        numbers.groupBy("group", "column").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        ),
+        "sizes",
     )
-    # Long groups are few: each has more than `sort_rows` of all values.
-    long_group = F.when(F.col("n") > sort_rows, F.struct("group", "column", "n", "low", "high"))
-    n_groups, long_groups = sizes.agg(F.count(F.lit(1)), F.collect_list(long_group)).first()
+    n_groups, n_long = sizes.agg(F.count(F.lit(1)), F.count_if(F.col("n") > sort_rows)).first()
 
     points = F.array(*[F.lit(float(p)) for p in probabilities])
     short = numbers
-    if long_groups:
-        names = numbers.sparkSession.createDataFrame(
-            [(g["group"], g["column"]) for g in long_groups], "of_group string, of_column string"
-        )
-        if len(long_groups) <= BROADCAST_ROWS:
-            names = F.broadcast(names)
-        same = F.col("group").eqNullSafe(F.col("of_group")) & (F.col("column") == F.col("of_column"))
-        short = numbers.join(names, same, "left_anti")
+    if n_long:
+        names = sizes.where(F.col("n") > sort_rows).select(F.col("group").alias("_group"), F.col("column").alias("_column"))
+        same = F.col("group").eqNullSafe(F.col("_group")) & (F.col("column") == F.col("_column"))
+        short = numbers.join(_small(names, n_long), same, "left_anti")
     result = short.groupBy("group", "column").agg(
         F.count(F.lit(1)).alias("n"), F.percentile("value", points).alias("quantiles")
     )
-    if long_groups:
-        result = result.unionByName(_narrowed_quantiles(numbers, long_groups, probabilities, sort_rows))
+    if n_long:
+        result = result.unionByName(_narrowed_quantiles(numbers, sizes, probabilities, sort_rows))
     return result, n_groups
 
 

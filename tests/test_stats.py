@@ -46,6 +46,37 @@ def test_quantiles_by_group(spark, sort_rows):
     assert len(found) == 3
 
 
+def test_many_long_groups_leave_only_counts_on_the_driver(spark, monkeypatch):
+    df = spark.range(60_000).selectExpr("CAST(id % 3000 AS STRING) AS g", "CAST((id * 7919) % 60013 AS DOUBLE) AS v")
+    collected = []
+    plain = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: collected.append(plain(self)) or collected[-1])
+    found = quantiles.exact_quantiles(df, ["v"], (0.25, 0.5, 0.9), by="g", sort_rows=4)
+    assert all(len(rows) <= 1 for rows in collected)
+    monkeypatch.undo()
+    rows = {r["group"]: r for r in found.collect()}
+    wide = df.toPandas().groupby("g")["v"]
+    assert len(rows) == 3000 and all(r["n"] == 20 for r in rows.values())
+    for g, values in wide:
+        assert np.allclose(rows[g]["quantiles"], np.quantile(values, (0.25, 0.5, 0.9)))
+
+
+@pytest.mark.parametrize("shape", ["smooth", "far apart", "few values"])
+def test_kernel_density_by_cells_is_the_plain_sum(spark, shape):
+    rng = np.random.default_rng(5)
+    data = {
+        "smooth": rng.normal(1e6, 3.0, 4000),
+        "far apart": np.concatenate([rng.normal(0, 1, 3000), [1e7, -1e7]]),
+        "few values": np.array([1.0, 1.0, 2.0, 50.0]),
+    }[shape]
+    df = spark.createDataFrame([(float(v),) for v in data] + [(None,), (math.nan,)], "v double")
+    cells = stats.kernel_density(df, "v", points=120).orderBy("point").toPandas()
+    plain = stats.kernel_density_exact(df, "v", points=120).orderBy("point").toPandas()
+    assert len(cells) == 120 and np.allclose(cells["x"], plain["x"])
+    peak = plain["density"].max()
+    assert np.abs(cells["density"] - plain["density"]).max() <= 1e-10 * peak
+
+
 def test_box_summary(spark):
     data = [float(v) for v in [*range(1, 21), 100, -50]]
     row = stats.box_summary(spark.createDataFrame([(v,) for v in data], "v double"), ["v"]).first()
