@@ -1,7 +1,15 @@
-"""Where tables live: the catalog, a folder of files, or a store behind a connector."""
+"""Where tables live: the catalog, a folder of files, or a store behind a connector.
+
+The catalog and folders can replace a table at once: its parts are written to a
+staged table of the same store (``staged``), which readers and listings do not
+see, and then takes the name of the old one (``switch``). A switch is entered in
+a log before it starts, so one that was cut off is ended by the next writer
+(``end_switches``).
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +18,10 @@ from courtside.operators.catalog import list_tables
 from courtside.sources.csv import table_paths
 
 
+# Names that begin like this are staged tables, or old ones on their way out.
+STAGED, RETIRED = "__staged_", "__retired_"
+
+
 @dataclass(frozen=True)
 class CatalogStore:
     """A database of the session's catalog."""
@@ -21,7 +33,8 @@ class CatalogStore:
         return f"`{self.database}`.`{table}`"
 
     def tables(self, spark: SparkSession) -> list[str]:
-        return [name for _, name in list_tables(spark, [self.database])]
+        names = [name for _, name in list_tables(spark, [self.database])]
+        return [n for n in names if not n.startswith((STAGED, RETIRED))]
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.table(self._name(table))
@@ -33,6 +46,34 @@ class CatalogStore:
     def drop(self, spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {self._name(table)}")
 
+    def staged(self, spark: SparkSession, table: str) -> str:
+        """The name of an empty place for the parts of a table."""
+        self.drop(spark, STAGED + table)
+        return STAGED + table
+
+    def switch(self, spark: SparkSession, table: str) -> None:
+        """Let what was staged be the table. The old one is kept until the new one has its name."""
+        self.drop(spark, RETIRED + table)
+        if spark.catalog.tableExists(self._name(table)):
+            spark.sql(f"ALTER TABLE {self._name(table)} RENAME TO {self._name(RETIRED + table)}")
+        spark.sql(f"ALTER TABLE {self._name(STAGED + table)} RENAME TO {self._name(table)}")
+        self.drop(spark, RETIRED + table)
+
+    def end_switches(self, spark: SparkSession) -> list[str]:
+        """Tables whose switch was cut off and is ended now: the catalog's names are the log.
+
+        Only between its two steps has a table an old form and no present one.
+        """
+        names = {name for _, name in list_tables(spark, [self.database])}
+        cut = sorted(n.removeprefix(RETIRED) for n in names if n.startswith(RETIRED))
+        for table in cut:
+            if table not in names:
+                # The staged table was whole before the old one was put aside.
+                form = STAGED if STAGED + table in names else RETIRED
+                spark.sql(f"ALTER TABLE {self._name(form + table)} RENAME TO {self._name(table)}")
+            self.drop(spark, RETIRED + table)
+        return cut
+
 
 @dataclass(frozen=True)
 class FolderStore:
@@ -61,8 +102,57 @@ class FolderStore:
         df.write.format(self.format).options(**self._options()).mode(mode).save(self._path(table))
 
     def drop(self, spark: SparkSession, table: str) -> None:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._path(table))
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = self._files(spark, self._path(table))
+        files.delete(path, True)
+
+    def _files(self, spark: SparkSession, name: str):
+        """The file system of a path, and the path."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _log(self, kind: str) -> str:
+        # Spark's listings leave out names that begin with an underscore.
+        return f"{self.path.rstrip('/')}/_{kind}"
+
+    def staged(self, spark: SparkSession, table: str) -> str:
+        """The name of an empty place for the parts of a table."""
+        self.drop(spark, f"_staged/{table}")
+        return f"_staged/{table}"
+
+    def switch(self, spark: SparkSession, table: str) -> None:
+        """Let what was staged be the table.
+
+        The log entry is made first: from then on the new table is what counts,
+        and :meth:`end_switches` does what this call could not.
+        """
+        files, entry = self._files(spark, f"{self._log('switches')}/{table}")
+        files.mkdirs(entry)
+        self._end_switch(spark, table)
+
+    def _end_switch(self, spark: SparkSession, table: str) -> None:
+        files, entry = self._files(spark, f"{self._log('switches')}/{table}")
+        _, staged = self._files(spark, self._path(f"_staged/{table}"))
+        _, present = self._files(spark, self._path(table))
+        _, old = self._files(spark, f"{self._log('retired')}/{table}")
+        # Each step may be done again: without a staged table it has its name already.
+        if files.exists(staged):
+            moved = True
+            if files.exists(present):
+                files.mkdirs(old)
+                _, retired = self._files(spark, f"{self._log('retired')}/{table}/{uuid.uuid4().hex}")
+                moved = files.rename(present, retired)
+            if not (moved and files.rename(staged, present)):
+                raise OSError(f"{table}: the staged table could not take its name; the switch stays in the log")
+        files.delete(old, True)
+        files.delete(entry, True)
+
+    def end_switches(self, spark: SparkSession) -> list[str]:
+        """Tables whose switch was cut off and is ended now."""
+        files, log = self._files(spark, self._log("switches"))
+        cut = sorted(entry.getPath().getName() for entry in files.listStatus(log)) if files.exists(log) else []
+        for table in cut:
+            self._end_switch(spark, table)
+        return cut
 
 
 @dataclass(frozen=True)

@@ -244,6 +244,67 @@ def test_ranges_cover_a_table_once(spark, tmp_path):
     assert sorted(r["v"] for r in target.read(spark, "t").collect()) == [-1, *range(50)]
 
 
+class _Breaks(FolderStore):
+    """A folder of which one table cannot be read."""
+
+    def read(self, spark, table):
+        if table == "t":
+            raise OSError("tape torn")
+        return super().read(spark, table)
+
+
+@pytest.mark.parametrize("place", ["folder", "catalog"])
+def test_a_part_that_fails_leaves_the_old_table_whole(spark, tmp_path, database, place):
+    for name, n in (("one", 3), ("two", 5)):
+        FolderStore(str(tmp_path / name)).write(spark.range(n), "t")
+        FolderStore(str(tmp_path / name)).write(spark.range(n), f"only_{name}")
+    target = FolderStore(str(tmp_path / "all")) if place == "folder" else database
+    target.write(spark.range(100, 107), "t")
+    good = {"files": lambda d: FolderStore(str(tmp_path / d))}
+    bad = {"files": lambda d: (_Breaks if d == "two" else FolderStore)(str(tmp_path / d))}
+    origins = {"one": "files", "two": "files"}
+    told = {(r["table_name"], r["database"]): r["status"] for r in copying.consolidate(spark, origins, bad, target).collect()}
+    assert told == {("t", "one"): "withheld", ("t", "two"): "failed", ("only_one", "one"): "copied", ("only_two", "two"): "copied"}
+    assert sorted(r["id"] for r in target.read(spark, "t").collect()) == list(range(100, 107))
+    assert {"t", "only_one", "only_two"} <= set(target.tables(spark)) and not [t for t in target.tables(spark) if "staged" in t]
+    again = copying.consolidate(spark, origins, good, target).collect()
+    assert {r["status"] for r in again} == {"copied"}
+    assert sorted(r["id"] for r in target.read(spark, "t").collect()) == sorted([*range(3), *range(5)])
+
+
+def test_a_switch_that_was_cut_off_is_ended(spark, tmp_path, database):
+    folder = FolderStore(str(tmp_path / "cut"))
+    folder.write(spark.range(2), "t")
+    folder.write(spark.range(9), folder.staged(spark, "t"))
+    (tmp_path / "cut" / "_switches" / "t").mkdir(parents=True)  # the log entry, and nothing after it
+    assert folder.end_switches(spark) == ["t"] and folder.read(spark, "t").count() == 9
+    assert folder.end_switches(spark) == [] and folder.tables(spark) == ["t"]
+    tables = database
+    tables.write(spark.range(2), "cut")
+    tables.write(spark.range(9), tables.staged(spark, "cut"))
+    spark.sql(f"ALTER TABLE {database.database}.cut RENAME TO {database.database}.__retired_cut")
+    assert tables.end_switches(spark) == ["cut"] and tables.read(spark, "cut").count() == 9
+
+
+def test_ranges_of_a_crowded_key_have_like_numbers_of_rows(spark, tmp_path):
+    crowded = "CASE WHEN id % 3 = 0 THEN 10000000000 + id % 700 WHEN id % 3 = 1 THEN -id ELSE id * 1000000 END AS key"
+    df = spark.range(30_000).selectExpr(crowded, "id").unionByName(spark.createDataFrame([(None, -1)], "key long, id long"))
+    for pages in (1, 7, 40):
+        bounds = copying.balanced_bounds(df, "key", pages)
+        assert len(bounds) == pages and all(b[0] == a[1] + 1 for a, b in zip(bounds, bounds[1:]))
+        sizes = [df.where(F.col("key").between(*b)).count() for b in bounds]
+        assert sum(sizes) == 30_000 and max(sizes) <= 2 * 30_000 / pages
+    assert copying.balanced_bounds(df.where("key is null"), "key", 4) == []
+    one_key = df.selectExpr("CAST(5 AS BIGINT) AS key")
+    assert copying.balanced_bounds(one_key, "key", 4) == [(5, 5)]
+    source, target = FolderStore(str(tmp_path / "from")), FolderStore(str(tmp_path / "to"))
+    source.write(df, "t")
+    for _ in range(2):  # a second copy repeats nothing
+        told = copying.copy_ranges(spark, source, target, "t", "key", 7).collect()
+        assert {r["status"] for r in told} == {"copied"} and sum(r["rows_target"] for r in told) == 30_001
+        assert target.read(spark, "t").count() == 30_001
+
+
 def test_a_cluster_needs_a_shared_folder_and_scratch_can_be_cleared(tmp_path):
     class Context:
         master = "local-cluster[2,1,1024]"
