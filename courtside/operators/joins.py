@@ -98,13 +98,38 @@ def table_names(entry) -> list[str]:
     return [item["name"] if isinstance(item, Mapping) else item for item in entry]
 
 
-def star_join(tables: Mapping[str, DataFrame], column: str) -> DataFrame | None:
+def star_join_size(tables: Mapping[str, DataFrame], column: str) -> DataFrame:
+    """One row, (n_keys, n_rows): how many keys all tables share, and how many rows their star join has.
+
+    Exact, from the product of each key's counts: what is joined is one row per
+    key and table, so keys that repeat cost no more than others. Both are 0 if
+    no key is shared; a NULL key joins nothing.
+    """
+    joined = None
+    for df in tables.values():
+        counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).cast("decimal(19,0)").alias("n"))
+        if joined is None:
+            joined = counts
+        else:
+            joined = joined.join(counts.withColumnRenamed("n", "m"), column).select(
+                column, (F.col("n") * F.col("m")).cast("decimal(38,0)").alias("n")
+            )
+    return joined.agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n"), F.lit(0).cast("decimal(38,0)")).alias("n_rows"))
+
+
+def star_join(tables: Mapping[str, DataFrame], column: str, max_rows: int | None = None) -> DataFrame | None:
     """Inner join of every table to the first on ``column``; None for fewer than two.
 
-    ``column`` comes out once, every other column as ``<table>__<column>``.
+    ``column`` comes out once, every other column as ``<table>__<column>``. A
+    column that repeats in several tables multiplies them: with ``max_rows`` the
+    size is counted first, and a join beyond it is an error that tells its size.
     """
     if len(tables) < 2:
         return None
+    if max_rows is not None:
+        size = int(star_join_size(tables, column).first()["n_rows"])
+        if size > max_rows:
+            raise ValueError(f"{column}: the join of {', '.join(tables)} has {size} rows, more than {max_rows}")
     frames = [prefixed(df, name, keep=[column]) for name, df in tables.items()]
     joined = frames[0]
     for frame in frames[1:]:

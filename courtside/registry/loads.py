@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from courtside.operators import catalog, cleaning
 from courtside.registry.core import query
 from courtside.session import scratch_path
 from courtside.sources import copying
-from courtside.sources.csv import load_csv
-from courtside.sources.stores import FolderStore
+from courtside.sources.csv import files_with_column, load_csv, table_files
+from courtside.sources.stores import CatalogStore, FolderStore
 from courtside.streaming.incremental import incremental_csv_load
 
 _CSV = {"header": "true"}
@@ -199,3 +200,105 @@ def incremental_load(t):
     orders.repartition(8).write.option("header", True).csv(folder)
     incremental_csv_load(t.spark, folder, orders.schema, target, checkpoint, files_per_batch=4).awaitTermination()
     return t.spark.read.schema(orders.schema).parquet(target)
+
+
+_HEADED = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
+@query(
+    "header_search",
+    f"""SELECT table_name, string_agg(column_name, ', ' ORDER BY ordinal_position) AS columns
+FROM information_schema.columns
+WHERE table_name IN ({", ".join(f"'{t}'" for t in _HEADED)}) AND contains(lower(column_name), 'key') GROUP BY table_name""",
+)
+def header_search(t):
+    """The CSV files with a column named like a key, by their headers."""
+    home = scratch_path(t.spark, "headed")
+    files = FolderStore(home, "csv", _CSV)
+    for name in _HEADED:
+        files.write(t[name], name)
+    found = files_with_column(t.spark, table_files(t.spark, home), "KEY")
+    return found.select("table_name", F.array_join("columns", ", ").alias("columns"))
+
+
+_NUMBERS = "'TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE'"
+
+
+@query(
+    "databases_by_type",
+    f"""SELECT CASE WHEN table_name IN ('customer', 'orders') THEN 'sales' ELSE 'places' END AS database, table_name,
+  coalesce(string_agg(column_name, ', ' ORDER BY ordinal_position) FILTER (WHERE data_type IN ({_NUMBERS})), '') AS numeric_columns,
+  coalesce(string_agg(column_name, ', ' ORDER BY ordinal_position) FILTER (WHERE data_type = 'VARCHAR'), '') AS text_columns
+FROM information_schema.columns WHERE table_name IN ('customer', 'orders', 'nation', 'region') GROUP BY table_name""",
+)
+def databases_by_type(t):
+    """The tables of two databases of the catalog, with their number and text columns."""
+    rows = []
+    for label, tables in (("sales", ("customer", "orders")), ("places", ("nation", "region"))):
+        home = scratch_path(t.spark, label)
+        database = f"{label}_{home[-32:]}"
+        t.spark.sql(f"CREATE DATABASE {database} LOCATION '{home}'")
+        store = CatalogStore(database)
+        for name in tables:
+            store.write(t[name], name)
+        for _, name in catalog.list_tables(t.spark, [database]):
+            df = store.read(t.spark, name)
+            rows.append((label, name, ", ".join(catalog.numeric_columns(df)), ", ".join(catalog.text_columns(df))))
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return t.spark.createDataFrame(rows, "database string, table_name string, numeric_columns string, text_columns string")
+
+
+@query("bad_bytes_cleaned", "SELECT doc_id, replace(text, chr(65533), '') AS text, lang FROM documents")
+def bad_bytes_cleaned(t):
+    """Texts with bytes that are no characters, before, behind and between: only the characters stay."""
+    bad = F.expr("CAST(concat(X'FF', encode(left(text, 20), 'UTF-8'), X'C3', encode(substr(text, 21), 'UTF-8'), X'E282') AS STRING)")
+    return cleaning.clean_utf8(t["documents"].select("doc_id", bad.alias("text"), "lang"))
+
+
+@query(
+    "empty_tables_skipped",
+    """SELECT 'nothing' AS table_name, 'skipped' AS status, 0 AS rows_source, CAST(NULL AS BIGINT) AS rows_target
+UNION ALL SELECT 'orders', 'copied', count(*), count(*) FROM orders""",
+)
+def empty_tables_skipped(t):
+    """A table without rows is told and not written."""
+    source = FolderStore(scratch_path(t.spark, "some"))
+    source.write(t["orders"], "orders")
+    source.write(t["orders"].where("o_orderkey < 0"), "nothing")
+    target = FolderStore(scratch_path(t.spark, "copied"))
+    return copying.copy_tables(t.spark, source, target).drop("error")
+
+
+@query("appended_like", "SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem")
+def appended_like(t):
+    """A table created like its source and filled, then appended to from another of that shape."""
+    sales = FolderStore(scratch_path(t.spark, "sales")), FolderStore(scratch_path(t.spark, "items"))
+    sales[0].write(t["orders"].select("o_orderkey", "o_totalprice"), "amounts")
+    sales[1].write(t["lineitem"].selectExpr("l_orderkey AS o_orderkey", "l_extendedprice AS o_totalprice"), "amounts")
+    target = FolderStore(scratch_path(t.spark, "amounts"))
+    for store in sales:
+        copying.append_like(t.spark, store, target, "amounts")
+    return target.read(t.spark, "amounts")
+
+
+class _Torn(FolderStore):
+    """A folder whose tables cannot be read."""
+
+    def read(self, spark, table):
+        raise OSError("not there")
+
+
+@query("consolidated_after_failure", "SELECT o_orderkey AS id FROM orders UNION ALL SELECT l_orderkey FROM lineitem")
+def consolidated_after_failure(t):
+    """Two databases brought together over an old table: a run that fails halfway changes nothing, the next one replaces it."""
+    homes = {"one": scratch_path(t.spark, "one"), "two": scratch_path(t.spark, "two")}
+    FolderStore(homes["one"]).write(t["orders"].selectExpr("o_orderkey AS id"), "rows")
+    FolderStore(homes["two"]).write(t["lineitem"].selectExpr("l_orderkey AS id"), "rows")
+    target = FolderStore(scratch_path(t.spark, "both"))
+    old = t["customer"].selectExpr("c_custkey AS id")
+    target.write(old, "rows")
+    origins = {"one": "files", "two": "files"}
+    copying.consolidate(t.spark, origins, {"files": lambda d: (_Torn if d == "two" else FolderStore)(homes[d])}, target)
+    if target.read(t.spark, "rows").count() == old.count():
+        copying.consolidate(t.spark, origins, {"files": lambda d: FolderStore(homes[d])}, target)
+    return target.read(t.spark, "rows")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from courtside.operators import unions
-from courtside.operators.joins import star_join, star_joins
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from courtside.operators import catalog, unions
+from courtside.operators.joins import star_join, star_join_size, star_joins
 from courtside.plans import rosters
-from courtside.registry.core import checked, query
+from courtside.registry.core import ORACLES, checked, query
 from courtside.session import scratch_path
 from courtside.sources.copying import export_join
+from courtside.sources.csv import read_json_config
 from courtside.sources.stores import FolderStore
 
 _ROSTER_VIEWS = ("v_line_score", "v_play_by_play", "v_common_player_info")
@@ -186,3 +192,37 @@ SELECT person_id, {_HEIGHT} AS height_in, TRY_CAST(weight AS REAL) AS weight,
 def typed_player_info(t):
     info = t["v_common_player_info"]
     return info.select("person_id", *rosters.typed_bio(info))
+
+
+_SHARED = {
+    "nationkey": {"nation": "n_nationkey", "customer": "c_nationkey", "supplier": "s_nationkey"},
+    "orderkey": {"orders": "o_orderkey", "lineitem": "l_orderkey"},
+    "partkey": {"part": "p_partkey", "lineitem": "l_partkey"},
+    "suppkey": {"lineitem": "l_suppkey", "supplier": "s_suppkey"},
+}
+
+
+def _size_sql(column: str, keys: dict[str, str]) -> str:
+    (first, key), *others = keys.items()
+    joins = " ".join(f"JOIN {t} ON {first}.{key} = {t}.{k}" for t, k in others)
+    return f"SELECT '{column}' AS column_name, count(DISTINCT {first}.{key}) AS n_keys, count(*) AS n_rows FROM {first} {joins}"
+
+
+@query("star_join_sizes", " UNION ALL ".join(_size_sql(c, keys) for c, keys in _SHARED.items()))
+def star_join_sizes(t):
+    """How large the join on each shared column is, told without joining the rows."""
+    parts = []
+    for column, keys in _SHARED.items():
+        tables = {table: t[table].select(F.col(key).alias(column)) for table, key in keys.items()}
+        size = star_join_size(tables, column)
+        parts.append(size.select(F.lit(column).alias("column_name"), "n_keys", F.col("n_rows").cast("bigint").alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("star_join_from_report", ORACLES["joined_table_export"])
+def star_join_from_report(t):
+    """The report of shared columns written as JSON, read back, and the joins it names generated."""
+    tables = {name: t[f"v_{name}"] for name in ("line_score", "game_summary")}
+    home = scratch_path(t.spark, "shared-columns")
+    FolderStore(home, "json").write(catalog.common_columns_document(t.spark, tables), "common")
+    return star_joins(read_json_config(t.spark, f"{home}/common.json"), tables)["game_id"]

@@ -121,3 +121,16 @@ def test_the_chain_before_a_fan_out_is_planned_once(spark, tables):
 
     plan = QUERIES["merged_left_chain"](spark, tables.folder)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") <= 6
+
+
+def test_the_size_of_a_star_join_is_told_before_it_runs(spark):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 300 + [2, 3, None, None])], "k int, a int")
+    right = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 200 + [3, 3, 4, None])], "k int, b int")
+    tables = {"left": left, "right": right}
+    size = joins.star_join_size(tables, "k").first()
+    assert (size["n_keys"], size["n_rows"]) == (2, 300 * 200 + 2)
+    assert joins.star_join(tables, "k", max_rows=60_002).count() == 60_002
+    with pytest.raises(ValueError, match="60002 rows"):
+        joins.star_join(tables, "k", max_rows=60_001)
+    apart = joins.star_join_size({"left": left.where("k = 2"), "right": right}, "k").first()
+    assert (apart["n_keys"], apart["n_rows"]) == (0, 0)
