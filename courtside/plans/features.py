@@ -85,8 +85,8 @@ def player_features(
     """Event counts, counts by type and points per (game, player, period); nulls as 0.
 
     Rows without a player count as events, but their types and points are 0,
-    because a join on a NULL player finds nothing. Both sides of the join are
-    aggregated by the same keys, so the join adds no shuffle.
+    because a join on a NULL player finds nothing. The events are read twice:
+    for the counts, and for the points, which need the events of a game in order.
     """
     types = event_types(events) if types is None else types
     keyed = F.lit(True)
