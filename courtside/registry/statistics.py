@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.constants import HISTOGRAM_BINS, MAX_HUE_VALUES, SEASON_TYPE
+from courtside.constants import CORRELATION_THRESHOLD, HISTOGRAM_BINS, MAX_HUE_VALUES, SEASON_TYPE
 from courtside.operators import phik, stats
 from courtside.operators.quantiles import exact_quantiles
 from courtside.plans import eda
@@ -275,48 +275,115 @@ def yj_fit(t):
 
 _PHIK_COLUMNS = ("season_type", "team_name_home", "wl_home", "fg_pct_home", "reb_home", "pts_home")
 _PHIK_INTERVALS = ("fg_pct_home", "reb_home", "pts_home")
+_MATRIX_COLUMNS = (*_PHIK_COLUMNS, "season_id", "game_date_est")
+_NEAR_COLUMNS = (*_PHIK_COLUMNS, "season_id", "fg_pct_twice", "year")
+_NEAR = "*, fg_pct_home * 2 + 1 AS fg_pct_twice, year(game_date_est) AS year"
 
 
-def _bin_sql(c: str) -> str:
-    if c not in _PHIK_INTERVALS:
-        return c
+def _bin_sql(c: str, intervals=_PHIK_INTERVALS) -> str:
+    if c not in intervals:
+        return f"CAST({c} AS VARCHAR)"
     low, high = f"min(CAST({c} AS DOUBLE)) OVER ()", f"max(CAST({c} AS DOUBLE)) OVER ()"
     return f"CAST(greatest(CAST(ceil((CAST({c} AS DOUBLE) - {low}) / ({high} - {low}) * 10) AS BIGINT), 1) AS VARCHAR)"
 
 
-def _chi2_sql(a: str, b: str) -> str:
+def _chi2_sql(a: str, b: str, digits: int = 4) -> str:
     return f"""SELECT '{a}' AS column_1, '{b}' AS column_2, CAST(sum(o) AS BIGINT) AS n, count(DISTINCT a) AS n_1,
-  count(DISTINCT b) AS n_2, round(greatest(sum(o) * (sum(o * o / (r * c)) - 1), 0), 4) AS chi2
+  count(DISTINCT b) AS n_2, round(greatest(sum(o) * (sum(o * o / (r * c)) - 1), 0), {digits}) AS chi2
 FROM (SELECT a, b, CAST(o AS DOUBLE) AS o, sum(o) OVER (PARTITION BY a) AS r, sum(o) OVER (PARTITION BY b) AS c
   FROM (SELECT {a} AS a, {b} AS b, count(*) AS o FROM binned WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY ALL))"""
 
 
-@query(
-    "contingency_chi2",
-    checked("v_game", sql="WITH binned AS (SELECT "
-            + ", ".join(f"{_bin_sql(c)} AS {c}" for c in _PHIK_COLUMNS) + " FROM v_game)\n"
-            + " UNION ALL ".join(
-                _chi2_sql(a, b) for i, a in enumerate(_PHIK_COLUMNS) for b in _PHIK_COLUMNS[i + 1:])),
-)
+def _binned_sql(columns, source: str = "v_game", intervals=_PHIK_INTERVALS) -> str:
+    return f"binned AS (SELECT {', '.join(f'{_bin_sql(c, intervals)} AS {c}' for c in columns)} FROM {source})"
+
+
+def _tables_sql(columns, digits: int) -> str:
+    return " UNION ALL ".join(_chi2_sql(a, b, digits) for i, a in enumerate(columns) for b in columns[i + 1:])
+
+
+@query("contingency_chi2", checked("v_game", sql=f"WITH {_binned_sql(_PHIK_COLUMNS)}\n{_tables_sql(_PHIK_COLUMNS, 4)}"))
 def contingency_chi2(t):
     table = phik.binned(t["v_game"].select(*_PHIK_COLUMNS), _PHIK_INTERVALS)
     return _rounded(phik.contingency_chi2(table), "chi2")
 
 
-@query("phik_matrix", None)
+# The SQL finds the correlation another way than the query: cells of the binned
+# normal distribution are sums of powers of the correlation times products of
+# Hermite integrals of the bins, and the interval is halved 26 times.
+_TERMS = 110
+
+
+def _phik_sql(columns, result: str, source: str = "v_game", intervals=_PHIK_INTERVALS) -> str:
+    return checked("v_game", sql=f"""
+WITH {_binned_sql(columns, source, intervals)},
+tables AS MATERIALIZED ({_tables_sql(columns, 9)}),
+noises AS MATERIALIZED (SELECT *, least(n_1, n_2) AS s, greatest(n_1, n_2) AS l, (n_1 - 1) * (n_2 - 1) AS noise,
+  n * (least(n_1, n_2) - 1) AS most FROM tables WHERE n_1 > 1 AND n_2 > 1),
+sizes AS (SELECT s AS m FROM noises UNION SELECT l FROM noises),
+edges AS (SELECT m, i, -5 + 10.0::DOUBLE * i / m AS x FROM sizes, unnest(range(m + 1)) AS r(i)),
+hermite AS (
+  SELECT m, i, x, 0 AS k, 1.0::DOUBLE AS h, 0.0::DOUBLE AS h_before FROM edges
+  UNION ALL SELECT m, i, x, k + 1, (x * h - sqrt(k) * h_before) / sqrt(k + 1), h FROM hermite WHERE k < {_TERMS}),
+integrals AS (
+  SELECT m, i, k + 1 AS k, -h * exp(-x * x / 2) / sqrt(2 * pi()) / sqrt(k + 1) AS v FROM hermite
+  UNION ALL
+  SELECT m, i, 0, 0.5 + sign(x) * exp(-x * x / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(90), lambda q:
+    CASE WHEN x = 0 THEN 0 ELSE exp((2 * q + 1) * ln(abs(x)) - (q + 1) * ln(2) - lgamma(q + 1.5) + ln(pi()) / 2) END))
+  FROM edges),
+steps AS (SELECT m, i, k, lead(v) OVER (PARTITION BY m, k ORDER BY i) - v AS v FROM integrals),
+bins AS MATERIALIZED (SELECT m, i, list(v ORDER BY k) AS v, max(v) FILTER (WHERE k = 0) AS mass
+  FROM steps WHERE v IS NOT NULL GROUP BY m, i),
+shapes AS (SELECT DISTINCT s, l FROM noises),
+phi AS MATERIALIZED (SELECT m, i, v FROM integrals WHERE k = 0),
+shared AS (
+  SELECT s, l, a.i AS i, b.i AS j, a.mass AS r, b.mass AS c,
+    (CASE WHEN (a.i + 1) * l <= (b.i + 1) * s THEN pa.v ELSE pb.v END)
+    - (CASE WHEN a.i * l >= b.i * s THEN qa.v ELSE qb.v END) AS p
+  FROM shapes JOIN bins a ON a.m = s JOIN bins b ON b.m = l AND a.i * l < (b.i + 1) * s AND b.i * s < (a.i + 1) * l
+  JOIN phi pa ON pa.m = s AND pa.i = a.i + 1 JOIN phi pb ON pb.m = l AND pb.i = b.i + 1
+  JOIN phi qa ON qa.m = s AND qa.i = a.i JOIN phi qb ON qb.m = l AND qb.i = b.i),
+full_model AS (SELECT s, l, sum(p * p / (r * c)) - 1 AS whole FROM shared GROUP BY s, l),
+search AS (
+  SELECT column_1, column_2, s, l, (chi2 - noise) / (most - noise) * whole AS wanted,
+    0.0::DOUBLE AS low, 1.0::DOUBLE AS high, 0 AS step
+  FROM noises JOIN full_model USING (s, l) WHERE chi2 > noise AND chi2 < most AND noise < most
+  UNION ALL
+  SELECT column_1, column_2, s, l, wanted, CASE WHEN model < wanted THEN (low + high) / 2 ELSE low END,
+    CASE WHEN model < wanted THEN high ELSE (low + high) / 2 END, step + 1
+  FROM (
+    SELECT column_1, column_2, s, l, wanted, low, high, step, sum(p * p / (r * c)) - 1 AS model
+    FROM (
+      SELECT *, sum(p) OVER (PARTITION BY column_1, column_2, i) AS r, sum(p) OVER (PARTITION BY column_1, column_2, j) AS c
+      FROM (
+        SELECT h.*, b.i AS j, greatest(list_inner_product(h.w, b.v), 0) AS p
+        FROM (SELECT search.*, a.i AS i, list_transform(a.v, lambda y, k: y * pow((low + high) / 2, k - 1)) AS w
+              FROM search JOIN bins a ON a.m = s WHERE step < 26) h
+        JOIN bins b ON b.m = l))
+    WHERE p > 0 GROUP BY ALL)),
+solved AS (
+  SELECT t.column_1, t.column_2, t.n, t.n_1, t.n_2, t.chi2,
+    CASE WHEN t.n_1 < 2 OR t.n_2 < 2 OR t.chi2 <= noise THEN 0.0 WHEN t.chi2 >= most OR noise >= most THEN 1.0
+      ELSE (low + high) / 2 END AS phik
+  FROM tables t LEFT JOIN noises USING (column_1, column_2)
+  LEFT JOIN (SELECT * FROM search WHERE step = 26) USING (column_1, column_2))
+{result}""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("phik_matrix", _phik_sql(_MATRIX_COLUMNS, """SELECT column_1, column_2, n, n_1, n_2, round(chi2, 4) AS chi2,
+  CAST(round(phik, 3) AS DOUBLE) AS phik FROM solved"""))
 def phik_matrix(t):
-    """Correlation of every pair; the inversion of the chi-square has no SQL."""
-    return phik.phik_pairs(t["v_game"].select(*_PHIK_COLUMNS, "season_id", "game_date_est"), _PHIK_INTERVALS)
+    """Correlation of every pair, to three places."""
+    pairs = phik.phik_pairs(t["v_game"].select(*_MATRIX_COLUMNS), _PHIK_INTERVALS)
+    return _rounded(pairs, "chi2").withColumn("phik", F.round("phik", 3))
 
 
-@query("high_corr_pairs", """SELECT * FROM (VALUES ('fg_pct_home', 'fg_pct_twice', CAST(1 AS DOUBLE)), ('season_id', 'year', CAST(1 AS DOUBLE)))
-AS pairs(column_1, column_2, correlation)""")
+@query("high_corr_pairs", _phik_sql(_NEAR_COLUMNS, f"""SELECT column_1, column_2, CAST(round(phik, 4) AS DOUBLE) AS correlation
+FROM solved WHERE phik >= {CORRELATION_THRESHOLD}""", f"(SELECT {_NEAR} FROM v_game)", (*_PHIK_INTERVALS, "fg_pct_twice")))
 def high_corr_pairs(t):
     """Pairs of columns that say nearly the same; the season follows from the game date."""
-    games = t["v_game"].selectExpr(
-        "season_id", "season_type", "fg_pct_home", "fg_pct_home * 2 + 1 AS fg_pct_twice", "year(game_date_est) AS year"
-    )
-    return phik.high_correlations(phik.phik_pairs(games, ["fg_pct_home", "fg_pct_twice"]))
+    games = t["v_game"].selectExpr(*_NEAR.split(", ")).select(*_NEAR_COLUMNS)
+    return phik.high_correlations(phik.phik_pairs(games, [*_PHIK_INTERVALS, "fg_pct_twice"]))
 
 
 @query("phik_before_after", None)

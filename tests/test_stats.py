@@ -219,12 +219,62 @@ def test_correlation_of_normal_columns_is_about_theirs(spark, rho):
     assert correlations(df.select("y", "x"), ["x", "y"])["y", "x"] == pytest.approx(found, abs=1e-5)
 
 
-def test_chi_square_of_many_bins_runs_into_the_integrated_one():
-    for rho in (0.2, 0.7, 0.95):
-        binned = phik._normal_chi2(rho, 6, 1500)
-        assert phik._fine_chi2(rho, 6) == pytest.approx(binned, rel=1e-4)
-    values = [phik._normal_chi2(r, 5, 8) for r in np.linspace(0, 1, 30)]
-    assert all(b > a for a, b in zip(values, values[1:])) and values[0] == pytest.approx(0, abs=1e-9)
+def model_chi2(spark, rows):
+    shapes = spark.createDataFrame([(a, b, round(rho * 1000)) for rho, a, b in rows], "small long, large long, place long")
+    found = phik.normal_chi2(shapes, 1000).collect()
+    return {(r["place"] / 1000, r["small"], r["large"]): r["model"] for r in found}
+
+
+def plain_chi2(rho, n_1, n_2):
+    """All cells by a fine rule of midpoints."""
+    def middles(n):
+        return (np.arange(n * (4000 // n)) + 0.5) * (10 / (n * (4000 // n))) - 5
+
+    x, y = middles(n_1), middles(n_2)
+    density = np.exp(-(x[:, None] ** 2 - 2 * rho * x[:, None] * y + y * y) / (2 * (1 - rho * rho)))
+    cells = density.reshape(n_1, len(x) // n_1, n_2, len(y) // n_2).sum(axis=(1, 3))
+    cells /= cells.sum()
+    return (cells**2 / (cells.sum(axis=1, keepdims=True) * cells.sum(axis=0, keepdims=True))).sum() - 1
+
+
+def test_chi_square_of_the_binned_normal_distribution(spark):
+    rows = [(rho, a, b) for rho in (0.2, 0.7, 0.95) for a, b in ((2, 2), (3, 10), (6, 1500), (40, 4000))]
+    for key, found in model_chi2(spark, rows).items():
+        assert found == pytest.approx(plain_chi2(*key), rel=1e-4)
+    steps = model_chi2(spark, [(r / 30, 5, 8) for r in range(31)])
+    values = [v for _, v in sorted(steps.items())]
+    assert len(values) == 31 and all(b > a for a, b in zip(values, values[1:])) and values[0] == pytest.approx(0, abs=1e-9)
+
+
+def test_chi_square_of_equal_sides_is_full(spark):
+    found = model_chi2(spark, [(1.0, n, n) for n in (2, 10, 5000)] + [(1.0, 3, 9), (1.0, 7, 3_000_000)])
+    assert [found[1.0, n, n] for n in (2, 10, 5000)] == pytest.approx([1, 9, 4999])
+    assert found[1.0, 3, 9] == pytest.approx(2) and found[1.0, 7, 3_000_000] == pytest.approx(6, rel=1e-4)
+
+
+def test_blocks_of_a_large_table_are_spread_and_add_up(spark, monkeypatch):
+    whole = model_chi2(spark, [(0.6, 50, 20_000), (0.998, 300, 300)])
+    monkeypatch.setattr(phik, "BLOCK_POINTS", 20_000)
+    assert model_chi2(spark, [(0.6, 50, 20_000), (0.998, 300, 300)]) == pytest.approx(whole, rel=1e-9)
+    shapes = spark.createDataFrame([(100_000, 100_000, 500)], "small long, large long, place long")
+    rows = shapes.withColumn("blocks", phik._block_count(F.lit(0.5))).first()["blocks"]
+    assert rows > 64
+
+
+def test_correlation_is_found_again_from_its_chi_square(spark):
+    rows = []
+    for i, (rho, a, b) in enumerate([(0.001, 2, 9), (0.37, 10, 10), (0.81, 4, 700), (0.999, 30, 30), (0.6, 1200, 900)]):
+        n = 10**9
+        full, model = phik._share(1.0, *sorted((a, b))) - 1, phik._share(rho, *sorted((a, b))) - 1
+        noise, greatest = (a - 1) * (b - 1), n * (min(a, b) - 1)
+        rows.append((str(i), str(rho), n, a, b, noise + model / full * (greatest - noise)))
+    rows += [("none", "0", 0, 0, 0, 0.0), ("one bin", "0", 50, 1, 4, 0.0), ("equal", "1", 50, 2, 2, 50.0)]
+    pairs = spark.createDataFrame(rows, "column_1 string, column_2 string, n long, n_1 long, n_2 long, chi2 double")
+    found = phik.phik_from_chi2(pairs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r["phik"] == pytest.approx(float(r["column_2"]), abs=2e-6)
+    assert phik.phik_from_chi2(pairs.limit(0)).count() == 0
 
 
 def test_contingency_ignores_rows_with_nulls(spark):
