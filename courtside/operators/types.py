@@ -149,12 +149,17 @@ def spark_schema(profiles: Sequence[Row], ladder: str, **options) -> T.StructTyp
     fields = []
     for row in profiles:
         name = LADDERS[ladder](row, **options)
-        data_type = _SPARK.get(name, T.StringType())
+        data_type = spark_type(name)
         metadata = {"max_len": row["max_len"]} if isinstance(data_type, T.StringType) else {}
         fields.append(T.StructField(row["column"], data_type, is_nullable(row), metadata))
     return T.StructType(fields)
 
 
+def spark_type(name: str) -> T.DataType:
+    """The type a cell is cast to for a type of any of the ladders; text for what is not a number, truth value or time."""
+    return _SPARK.get(name, T.StringType())
+
+
 # --- lattices: types of parts of a column merge into the type of the column ---
 
 _LOADED_ORDER = ("boolean", "Int64", "Float64")
@@ -170,6 +175,13 @@ def merge_loaded(left: str, right: str) -> str:
     return "string"
 
 
+def merge_warehouse(left: str, right: str) -> str:
+    """Merge of warehouse types: equal stays, numbers become FLOAT64, anything else is STRING."""
+    if left == right:
+        return left
+    return "FLOAT64" if {left, right} == {"INT64", "FLOAT64"} else "STRING"
+
+
 _WHOLE = ("SMALLINT", "INTEGER", "BIGINT")
 
 

@@ -13,7 +13,7 @@ from courtside.session import scratch_path
 from courtside.sources import copying
 from courtside.sources.csv import files_with_column, load_csv, table_files
 from courtside.sources.stores import CatalogStore, FolderStore
-from courtside.streaming.incremental import incremental_csv_load
+from courtside.streaming.incremental import incremental_csv_load, widened_table, widening_csv_load
 
 _CSV = {"header": "true"}
 
@@ -202,6 +202,27 @@ def incremental_load(t):
     return t.spark.read.schema(orders.schema).parquet(target)
 
 
+_SHAPES = (
+    "SELECT o_orderkey AS id, CAST(floor(o_totalprice) AS BIGINT) AS price FROM {orders} WHERE o_orderkey % 3 = 0",
+    "SELECT o_orderstatus AS status, o_orderkey AS id, o_totalprice AS price FROM {orders} WHERE o_orderkey % 3 = 1",
+    "SELECT o_orderpriority AS priority, concat('c', o_custkey) AS price, o_orderkey AS id FROM {orders} WHERE o_orderkey % 3 = 2",
+)
+
+
+@query("widening_load", """SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)
+  WHEN 1 THEN CAST(o_totalprice AS VARCHAR) ELSE concat('c', o_custkey) END AS price,
+  CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS priority
+FROM orders""")
+def widening_load(t):
+    """CSV files with three headers, taken in by three runs of a stream: whole numbers, fractions, then texts under one name."""
+    home, target, checkpoint = (scratch_path(t.spark, n) for n in ("arriving", "widened", "progress"))
+    files = FolderStore(home, "csv", _CSV)
+    for number, shape in enumerate(_SHAPES):
+        files.write(t.spark.sql(shape, orders=t["orders"]).repartition(4), f"part{number}")
+        widening_csv_load(t.spark, home, target, checkpoint, files_per_batch=3).awaitTermination()
+    return widened_table(t.spark, target)
+
+
 _HEADED = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
 
 

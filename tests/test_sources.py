@@ -18,7 +18,7 @@ from courtside.sources import csv as csv_source
 from courtside.sources.copying import load_csv_folder
 from courtside.sources.csv import how_to_read, line_layout, scan_text
 from courtside.sources.stores import CatalogStore, ConnectorStore, FolderStore
-from courtside.streaming.incremental import incremental_csv_load
+from courtside.streaming.incremental import incremental_csv_load, widened_schema, widened_table, widening_csv_load
 
 GAME_CSV = """game_id,season_id,wl_home,fg3_pct_home,attendance,pts_home,game_date,overtime
 1,22020,W,0.5,100.0,99,2020-01-01,True
@@ -407,3 +407,34 @@ def test_streamed_cells_may_hold_line_breaks(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
     incremental_csv_load(spark, str(folder), schema, str(tmp_path / "out"), str(tmp_path / "at")).awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [(1, 'line one\n"line" two'), (2, "x")]
+
+
+def test_headers_may_change_between_files(spark, tmp_path):
+    arriving, target, progress = (str(tmp_path / n) for n in ("in put", "out", "progress"))
+    os.makedirs(arriving)
+
+    def run(name, text):
+        (tmp_path / "in put" / name).write_text(text)
+        widening_csv_load(spark, arriving, target, progress, files_per_batch=1).awaitTermination()
+        return {f.name: f.dataType.simpleString() for f in widened_schema(spark, target).fields}
+
+    assert run("1.csv", "id,x,none\n1,5,\n2,7,\n") == {"id": "bigint", "x": "bigint", "none": "string"}
+    assert run("2.csv", "x,id\n0.5,3\n") == {"id": "bigint", "x": "double", "none": "string"}
+    assert run("a b+3.csv", 'id,note,x\n4,"two\nlines",007\n') == {
+        "id": "bigint", "x": "double", "none": "string", "note": "string"}
+    assert run("4.csv", "id,x\n") == {"id": "bigint", "x": "double", "none": "string", "note": "string"}
+    assert sorted(map(tuple, widened_table(spark, target).collect())) == [
+        (1, 5.0, None, None), (2, 7.0, None, None), (3, 0.5, None, None), (4, 7.0, None, "two\nlines")]
+    assert run("5.csv", "id,x\n5,seven\n")["x"] == "string"
+    rows = widened_table(spark, target).select("id", "x").collect()
+    assert sorted(map(tuple, rows)) == [(1, "5"), (2, "7"), (3, "0.5"), (4, "007"), (5, "seven")]
+
+
+def test_a_batch_taken_again_repeats_nothing(spark, tmp_path):
+    arriving, target = str(tmp_path / "in"), str(tmp_path / "out")
+    os.makedirs(arriving)
+    for i in range(4):
+        (tmp_path / "in" / f"{i}.csv").write_text(f"id,c{i % 2}\n{i},{i}\n")
+    for progress in ("first", "lost"):  # as if the log of the first run had been cut off
+        widening_csv_load(spark, arriving, target, str(tmp_path / progress), files_per_batch=2).awaitTermination()
+    assert sorted(r["id"] for r in widened_table(spark, target).collect()) == [0, 1, 2, 3]
