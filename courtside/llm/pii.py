@@ -2,7 +2,7 @@
 
 One Aho-Corasick pass over a text finds anchors: at-signs, plus-signs, digits
 with a dot behind them, digits, URL schemes and words that announce an
-identifier. Each anchor is expanded to both sides by a parser of its kind,
+identifier or a secret. Each anchor is expanded to both sides by a parser of its kind,
 which also validates what it found.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from courtside.llm.common import each_text
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "iban", "account")
+KINDS = (*BASE_KINDS, "url", "iban", "account", "secret")
 
 _DIGITS = frozenset("0123456789")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -28,10 +28,12 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _URL = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]+)?(?:[/?#][^\s<>\"']*)?")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"(?:[ ]?(?:no\.?|number|nr\.?|id))?[ ]?[:=#]?[ ]{0,2}([A-Za-z0-9]*[0-9][A-Za-z0-9-]{4,})")
+_SECRET = re.compile(r"[\"']?\x20{0,4}[:=]\x20{0,4}[\"']?(?:Bearer\x20)?([A-Za-z0-9_+/.=-]{12,})")
 
 # What announces a scheme or an identifier.
 SCHEMES = ("http://", "https://", "ftp://")
 CUES = ("account", "acct", "passport", "ssn", "customer")
+SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key", "access_key")
 _IBAN_CUE = "iban"
 
 
@@ -44,8 +46,8 @@ def _automaton() -> ahocorasick.Automaton:
         words[d + "."] = ("ip",)
     for scheme in SCHEMES:
         words[scheme] = ("url",)
-    for cue in (*CUES, _IBAN_CUE):
-        kind = "iban" if cue == _IBAN_CUE else "account"
+    kinds = {_IBAN_CUE: "iban", **dict.fromkeys(CUES, "account"), **dict.fromkeys(SECRET_CUES, "secret")}
+    for cue, kind in kinds.items():
         for spelled in {cue, cue.upper(), cue.capitalize()}:
             words[spelled] = (kind,)
     for word, (kind,) in words.items():
@@ -70,6 +72,11 @@ def _iban_ok(value: str) -> bool:
     return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def _secret_ok(value: str) -> bool:
+    """Whether a value looks drawn and not written: letters and digits, of eight or more different characters."""
+    return any(c in _DIGITS for c in value) and any(c.isalpha() for c in value) and len(set(value)) >= 8
+
+
 def spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
     """Spans (start, end) in code points by kind, in order; none for NULL and empty texts.
 
@@ -132,6 +139,13 @@ def spans(text: str | None) -> dict[str, list[tuple[int, int]]]:
                 done[kind] = m.end()
                 if _iban_ok(m[0]):
                     out[kind].append(m.span())
+        elif kind == "secret":
+            m = _SECRET.match(text, last + 1)
+            if m:
+                end = m.start(1) + len(m[1].rstrip("."))
+                done[kind] = m.end()
+                if _secret_ok(text[m.start(1) : end]):
+                    out[kind].append((m.start(1), end))
         else:
             m = _ACCOUNT.match(text, last + 1)
             if m:

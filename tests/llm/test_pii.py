@@ -67,3 +67,15 @@ def test_awkward_rows(docs, no_docs):
     assert got == sorted(((r[0], 0, 0, 0, 0, none) for r in awkward()), key=repr)
     assert pii.find_personal_data(no_docs).count() == 0
     assert told(pii.mask_personal_data(docs), "doc_id", "text") == sorted(((r[0], r[1]) for r in awkward()), key=repr)
+
+
+def test_secrets_follow_their_cues():
+    def found(text):
+        return [text[a:b] for a, b in pii.spans(text)["secret"]]
+
+    assert found('token = "f33e61083db5aa01". next') == ["f33e61083db5aa01"]
+    assert found("API_KEY: sk-Ab12Cd34Ef56Gh78. Password='hunter2hunter3X'") == ["sk-Ab12Cd34Ef56Gh78", "hunter2hunter3X"]
+    assert found('"secret": "YWJjZGVmZ2hpMTIz=="') == ["YWJjZGVmZ2hpMTIz=="]
+    for clean in ("a token of thanks", "token: recommendations", "password = aaaaaaaaaaaa1", "secret = 12345678901234", "tokens = f33e61083db5aa01"):
+        assert found(clean) == []
+    assert pii.masked('x token = "f33e61083db5aa01"') == 'x token = "[secret]"'
