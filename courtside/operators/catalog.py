@@ -72,10 +72,11 @@ def common_columns_report(common: DataFrame) -> DataFrame:
     ).orderBy(F.desc("table_count"), "column_name")
 
 
-def common_columns_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
+def common_columns_rows(spark: SparkSession, tables: Mapping[str, DataFrame], keep_overflow: bool = False) -> DataFrame:
     """Statistics of every shared column, one row per column and table that has numbers.
 
-    One aggregation per table covers all its shared columns.
+    One aggregation per table covers all its shared columns. ``keep_overflow`` is
+    that of :func:`column_statistics`.
     """
     names: dict[str, int] = {}
     for df in tables.values():
@@ -85,7 +86,7 @@ def common_columns_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) ->
     for table in sorted(tables):
         shared = [c for c in tables[table].columns if names[c] > 1]
         if shared:
-            parts.append(column_statistics(tables[table], shared).withColumn("table_name", F.lit(table)))
+            parts.append(column_statistics(tables[table], shared, keep_overflow=keep_overflow).withColumn("table_name", F.lit(table)))
     if not parts:
         return spark.createDataFrame([], "column string, n long, min double, max double, mean double, std double, "
                                          "table_name string")
@@ -95,9 +96,9 @@ def common_columns_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) ->
     return rows
 
 
-def common_columns_document(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The shared columns that have numbers somewhere, nested per table, ready for JSON."""
-    statistics = common_columns_rows(spark, tables).select(
+def common_columns_document(spark: SparkSession, tables: Mapping[str, DataFrame], keep_overflow: bool = False) -> DataFrame:
+    """The shared columns that have numbers somewhere, nested per table, ready for JSON but for what overflows."""
+    statistics = common_columns_rows(spark, tables, keep_overflow).select(
         F.col("column").alias("column_name"),
         "table_name",
         F.struct("min", "max", "mean", "std").alias("statistics"),

@@ -25,6 +25,10 @@ from courtside.functions.text import (
 # of the column's range: 64 are the size of the value itself.
 BITS_PER_VALUE = 64
 
+# Squares of numbers beyond LARGE come near the largest double: they are made
+# SCALE times as large, a power of two, which rounds nothing.
+LARGE, SCALE = 1e100, 2.0**-600
+
 
 def _field(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
@@ -57,12 +61,14 @@ def column_statistics(
     columns: Sequence[str] | None = None,
     json_columns: Sequence[str] = (),
     sample_rows: int | None = None,
+    keep_overflow: bool = False,
 ) -> DataFrame:
     """(column, n, min, max, mean, population std) of the finite numbers of each column.
 
-    Columns without a number are left out, and so are those whose statistics
-    overflow. Dates have a range in seconds but no mean. ``sample_rows`` takes
-    so many values per column instead of all of them.
+    Columns without a number are left out, and so are those whose sum, or sum of
+    squares about the mean, overflows; with ``keep_overflow`` they stay, and that
+    statistic is infinite. Dates have a range in seconds but no mean. ``sample_rows``
+    takes so many values per column instead of all of them.
     """
     columns = _in_table_order(df, columns)
     values = df.select(*[numeric_value(df, c, c in json_columns).alias(c) for c in columns])
@@ -88,9 +94,17 @@ def column_statistics(
             F.max("value").alias("max"),
             F.avg("value").alias("mean"),
             F.stddev_pop("value").alias("std"),
+            (F.stddev_pop(F.col("value") * SCALE) / SCALE).alias("std_large"),
         )
     )
-    return grouped.where(is_finite(F.col("mean")) & is_finite(F.col("std"))).withColumns(
+    # Partial results of large numbers merge to NaN, so their deviation is that of the scaled ones.
+    std = F.when(F.greatest(F.abs("min"), F.abs("max")) <= LARGE, F.col("std")).otherwise(
+        F.when(is_finite(F.col("std_large") * F.col("std_large") * F.col("n")), F.col("std_large")).otherwise(F.lit(float("inf")))
+    )
+    grouped = grouped.withColumn("std", std).drop("std_large")
+    if not keep_overflow:
+        grouped = grouped.where(is_finite(F.col("mean")) & is_finite(F.col("std")))
+    return grouped.withColumns(
         {name: F.when(undated, F.col(name)) for name in ("mean", "std")}
     )
 

@@ -101,6 +101,27 @@ def test_statistics_that_overflow_are_left_out(spark):
     assert profile.column_statistics(df).count() == 0
 
 
+def test_statistics_that_overflow_are_kept_where_asked(spark):
+    # As DuckDB gives them; partitions without rows must not make a deviation NaN.
+    df = spark.createDataFrame(
+        [("8e299", 8e299, 1e160, 1.7e308), ("2", 8e299, 1.0000001e160, 1.7e308), ("x", 8e299, 0.9999999e160, 1.0)], "wide string, same double, near double, sum double"
+    ).repartition(8)
+    found = by_column(profile.column_statistics(df, keep_overflow=True))
+    assert found["wide"] == {"column": "wide", "n": 2, "min": 2.0, "max": 8e299, "mean": 4e299, "std": math.inf}
+    assert (found["same"]["mean"], found["same"]["std"]) == (pytest.approx(8e299), 0.0)
+    assert found["near"]["std"] == pytest.approx(8.164965811398041e152, rel=1e-8)
+    assert found["sum"]["mean"] == found["sum"]["std"] == math.inf
+    assert set(by_column(profile.column_statistics(df))) == {"same", "near"}
+
+
+def test_common_columns_keep_statistics_that_overflow(spark):
+    tables = {"a": spark.createDataFrame([("8e299",), ("1",)], "v string"), "b": spark.createDataFrame([("1",)], "v string")}
+    (row,) = catalog.common_columns_document(spark, tables, keep_overflow=True).collect()
+    assert [(t["name"], t["statistics"]["max"], t["statistics"]["std"]) for t in row["tables"]] == [("a", 8e299, math.inf), ("b", 1.0, 0.0)]
+    (row,) = catalog.common_columns_document(spark, tables).collect()
+    assert [t["statistics"] is None for t in row["tables"]] == [True, False]
+
+
 def test_id_ranges(spark):
     df = spark.createDataFrame([(1, "12x", math.nan, 5), (4, "zz", 2.0, 6), (None, None, None, 7)],
                                "GAME_ID long, text_id string, real_id double, other int")
