@@ -12,15 +12,22 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on: re-planning from real sizes, and
-# splitting of skewed join partitions.
+# splitting of skewed join partitions. What a task takes from a shuffle is a
+# quarter of Spark's default: sorted and hashed rows take some thirty times the
+# bytes they are shuffled in.
 ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 OWN_SETTINGS = {**ADAPTIVE_SETTINGS, "spark.sql.session.timeZone": "UTC"}
 
+# Pieces a shuffle is cut into at the least before small ones are put together
+# again, so that it is the size above that tells how much a task gets.
+INITIAL_PARTITIONS = 1000
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """A session with the adaptive settings and any others; ``master`` only for local runs."""
@@ -38,6 +45,8 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the adaptive settings to a session somebody else built; its time zone stays."""
     for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
+    pieces = max(INITIAL_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(pieces))
     return spark
 
 
