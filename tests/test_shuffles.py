@@ -16,7 +16,7 @@ _SMALL = {
 }
 
 
-@pytest.mark.parametrize("name", ["distinct_roster", "roster_scores"])
+@pytest.mark.parametrize("name", ["distinct_roster", "roster_scores", "roster_star"])
 def test_tasks_are_more_than_the_sessions_partitions_where_rows_are_many(spark, name):
     frame = QUERIES[name](spark, FOLDER)  # a query tunes the session
     old = {key: spark.conf.get(key, None) for key in _SMALL}
