@@ -11,7 +11,7 @@ from courtside.operators import catalog, cleaning
 from courtside.registry.core import query
 from courtside.session import scratch_path
 from courtside.sources import copying
-from courtside.sources.csv import files_with_column, load_csv, table_files
+from courtside.sources.csv import files_with_column, in_files, load_csv, table_files
 from courtside.sources.stores import CatalogStore, FolderStore
 from courtside.streaming.incremental import incremental_csv_load, widened_table, widening_csv_load
 
@@ -187,8 +187,9 @@ def incremental_texts(t):
     """Texts with line breaks, commas and quotes taken in by a stream."""
     texts = t.spark.sql(_TEXTS, documents=t["documents"], conversations=t["conversations"])
     home, target, checkpoint = (scratch_path(t.spark, n) for n in ("arriving", "taken", "progress"))
-    FolderStore(home, "csv", _CSV).write(texts.repartition(6), "texts")
-    incremental_csv_load(t.spark, f"{home}/texts.csv", texts.schema, target, checkpoint, files_per_batch=2).awaitTermination()
+    dealt, files = in_files(texts, at_least=6)
+    FolderStore(home, "csv", _CSV).write(dealt, "texts")
+    incremental_csv_load(t.spark, f"{home}/texts.csv", texts.schema, target, checkpoint, files_per_batch=files // 3).awaitTermination()
     return t.spark.read.schema(texts.schema).parquet(target)
 
 
@@ -197,8 +198,9 @@ def incremental_load(t):
     """A folder of CSV files taken in by a stream, a few files per batch."""
     orders = t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     folder, target, checkpoint = (scratch_path(t.spark, n) for n in ("arriving", "taken", "progress"))
-    orders.repartition(8).write.option("header", True).csv(folder)
-    incremental_csv_load(t.spark, folder, orders.schema, target, checkpoint, files_per_batch=4).awaitTermination()
+    dealt, files = in_files(orders, at_least=8)
+    dealt.write.option("header", True).csv(folder)
+    incremental_csv_load(t.spark, folder, orders.schema, target, checkpoint, files_per_batch=files // 2).awaitTermination()
     return t.spark.read.schema(orders.schema).parquet(target)
 
 

@@ -27,8 +27,9 @@ def incremental_csv_load(
     """Append the CSV files that came since the last run to a parquet table, then stop.
 
     Cells are read as text and cast as a load casts them, and may hold line
-    breaks inside quotes; ``multiline=False`` declares that none does, so that a
-    large file is read in splits. The checkpoint knows
+    breaks inside quotes, for which one task reads a whole file: large tables should come
+    in files of bounded size, as :func:`~courtside.sources.csv.in_files` makes them.
+    ``multiline=False`` declares that no cell does, so that a large file is read in splits. The checkpoint knows
     which files were taken and the sink which of its files count, so a run that
     is cut off and started again neither loses nor repeats rows.
     """

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import os
+from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -369,6 +370,15 @@ def test_a_file_without_line_breaks_is_read_in_many_tasks(spark, tmp_path):
     assert layout == {"x.csv": (60_001, 0), "y.csv": (3, 2)}
 
 
+def test_files_grow_in_number_not_in_size(spark):
+    df = spark.range(1000).selectExpr("id", "repeat('é', 50) AS text", "CAST(NULL AS STRING) AS none")
+    for times, files in ((1, 11), (4, 43)):
+        dealt, number = csv_source.in_files(reduce(lambda a, b: a.union(b), [df] * times), at_least=6, file_bytes=10_000)
+        sizes = dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert number == len(sizes) == files and max(sizes) < 130
+    assert csv_source.in_files(df.limit(0), at_least=6)[1] == 6
+
+
 def test_a_file_with_a_header_only_does_not_make_files_unlike(spark, tmp_path):
     folder = _written(tmp_path, "x.csv", [(1, "two\nlines")])
     _written(tmp_path, "empty.csv", [])
