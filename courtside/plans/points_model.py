@@ -25,7 +25,11 @@ def train_points_model(
     """
     if sampled_games is not None:
         events = keep_ids(events, sampled_games, "game_id")
-    features = materialize(player_features(events, types), "features")
+    return fit_points_model(materialize(player_features(events, types), "features"), trees)
+
+
+def fit_points_model(features: DataFrame, trees: int | None = None) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """:func:`train_points_model` over a feature table that is stored already."""
     train, test = model.train_test_split(features)
     fitted = model.fit_forest(train, **({"trees": trees} if trees else {}))
     return fitted, fitted.transform(test).drop("features"), model.naive_predictions(train, test)

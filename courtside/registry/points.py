@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from courtside.operators import model
 from courtside.plans.features import player_features
-from courtside.plans.points_model import train_points_model
+from courtside.plans.points_model import fit_points_model
 from courtside.registry.core import checked, query
 from courtside.registry.features import EVENT_TYPES, FEATURES_SQL
 from courtside.session import materialize
@@ -52,7 +52,8 @@ def rf_predictions(t):
 
     Another forest would predict otherwise, so the numbers themselves have no SQL.
     """
-    predictions = train_points_model(t["v_events_scored"], types=EVENT_TYPES)[1]
-    low, high = player_features(t["v_events_scored"], EVENT_TYPES).agg(F.min("total_points"), F.max("total_points")).first()
+    features = materialize(player_features(t["v_events_scored"], EVENT_TYPES), "features")
+    predictions = fit_points_model(features)[1]
+    low, high = features.agg(F.min("total_points"), F.max("total_points")).first()
     within = F.coalesce(F.col("prediction").between(low - 1e-9, high + 1e-9), F.lit(False))
     return predictions.select("game_id", "player1_id", "period", "total_points", within.alias("within_labels"))
