@@ -28,6 +28,11 @@ OWN_SETTINGS = {**ADAPTIVE_SETTINGS, "spark.sql.session.timeZone": "UTC"}
 # again, so that it is the size above that tells how much a task gets.
 INITIAL_PARTITIONS = 1000
 
+# What a task reads of a file at the most, an eighth of Spark's default: a task
+# that shuffles what it reads holds all its rows until they are written, and a
+# row is some ten times the bytes it has in a compressed file.
+SPLIT_KEY, SPLIT_SIZE = "spark.sql.files.maxPartitionBytes", "16m"
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """A session with the adaptive settings and any others; ``master`` only for local runs."""
@@ -41,10 +46,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+def _in_bytes(size: str) -> int:
+    """Bytes of a size as Spark writes it: ``16m``, ``128MB``, ``134217728b`` or a bare number."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", size.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the adaptive settings to a session somebody else built; its time zone stays."""
+    """Apply the adaptive settings to a session somebody else built; its time zone and smaller splits stay."""
     for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
+    if _in_bytes(spark.conf.get(SPLIT_KEY)) > _in_bytes(SPLIT_SIZE):
+        spark.conf.set(SPLIT_KEY, SPLIT_SIZE)
     pieces = max(INITIAL_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(pieces))
     return spark
