@@ -62,18 +62,28 @@ def roster_top(line_score: DataFrame, play_by_play: DataFrame, info: DataFrame,
 def roster_star(line_score: DataFrame, play_by_play: DataFrame, info: DataFrame) -> DataFrame:
     """All columns of score, distinct plays of the first slot, and particulars.
 
-    Columns are named after their table, so the result can be written.
+    Columns are named after their table, so the result can be written. A game
+    is joined as one row and its side told afterwards, so that neither its
+    columns are shuffled twice nor the plays, which lie by game already.
     """
-    scores = team_points(line_score, keep=["team_id_home", "team_id_away", "pts_home", "pts_away"])
+    told = ["team_id_home", "team_id_away", "pts_home", "pts_away"]
     plays = (
         play_by_play.where(F.col("player1_id") != 0)
+        .distinct()
         .withColumn("team_id", F.col("player1_team_id"))
         .withColumn("player_id", F.col("player1_id"))
-        .distinct()
     )
     bio = info.select("*", *typed_bio(info, suffix="_cast"))
-    keys = ["game_id", "team_id"]
-    joined = prefixed(scores, "t", keep=keys).join(prefixed(plays, "pbp", keep=keys), keys)
+    played = prefixed(plays.withColumnRenamed("team_id", "of_team"), "pbp", keep=["game_id", "of_team"])
+    games = line_score.select("game_id", *told).join(played, "game_id")
+    joined = (
+        team_points(games, keep=[c for c in games.columns if c != "game_id"])
+        .where(F.col("team_id") == F.col("of_team"))
+        .select(
+            "game_id", "team_id", *[F.col(c).alias(f"t__{c}") for c in (*told, "final_score")],
+            *[c for c in played.columns if c.startswith("pbp__")],
+        )
+    )
     return left_lookup(joined, prefixed(bio, "cpi"), "pbp__player_id", "cpi__person_id")
 
 

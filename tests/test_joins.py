@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from courtside.operators import joins, unions
+from courtside.plans import rosters
 
 
 def rows(df, *columns):
@@ -134,3 +137,53 @@ def test_the_size_of_a_star_join_is_told_before_it_runs(spark):
         joins.star_join(tables, "k", max_rows=60_001)
     apart = joins.star_join_size({"left": left.where("k = 2"), "right": right}, "k").first()
     assert (apart["n_keys"], apart["n_rows"]) == (0, 0)
+
+
+def _star(spark, games, plays):
+    info = spark.createDataFrame(
+        [(7, "A", "B", "Guard", "6-2", "200", 3.0, "1990", "x", "1989", "1", "")],
+        "person_id long, first_name string, last_name string, position string, height string, weight string, "
+        "season_exp double, from_year string, to_year string, draft_year string, draft_round string, draft_number string",
+    )
+    return rosters.roster_star(
+        spark.createDataFrame(games, "game_id long, team_id_home long, team_id_away long, pts_home long, pts_away long"),
+        spark.createDataFrame(plays, "game_id long, eventnum int, player1_id long, player1_team_id long"),
+        info,
+    )
+
+
+def test_star_tells_the_side_of_every_play(spark):
+    games = [
+        (1, 10, 20, 99, 98),
+        (2, 10, 10, 90, 80),  # both sides
+        (3, None, 20, 70, 60),
+        (4, 10, 20, None, 50),
+        (5, 10, 20, 1, 2), (5, 20, 10, 3, 4),  # a game twice
+        (None, 10, 20, 5, 6),
+    ]
+    plays = [
+        (1, 1, 7, 10), (1, 1, 7, 10), (1, 2, 8, 20), (1, 3, 7, 30), (1, 4, 0, 10), (1, 5, None, 10), (1, 6, 7, None),
+        (2, 1, 7, 10), (3, 1, 7, None), (3, 2, 7, 20), (4, 1, 7, 10), (5, 1, 7, 10), (6, 1, 7, 10), (None, 1, 7, 10),
+    ]
+    found = _star(spark, games, plays)
+    assert found.columns[:12] == [
+        "game_id", "team_id", "t__team_id_home", "t__team_id_away", "t__pts_home", "t__pts_away", "t__final_score",
+        "pbp__eventnum", "pbp__player1_id", "pbp__player1_team_id", "pbp__player_id", "cpi__first_name",
+    ]
+    assert rows(found, "game_id", "team_id", "t__pts_home", "t__final_score", "pbp__eventnum", "cpi__first_name") == sorted(
+        [
+            (1, 10, 99, 99, 1, "A"), (1, 20, 99, 98, 2, None), (2, 10, 90, 90, 1, "A"), (2, 10, 90, 80, 1, "A"),
+            (3, 20, 70, 60, 2, "A"), (4, 10, None, None, 1, "A"), (5, 10, 1, 1, 1, "A"), (5, 10, 3, 4, 1, "A"),
+        ],
+        key=str,
+    )
+
+
+def test_star_shuffles_a_game_once_and_not_once_a_side(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = _star(spark, [(1, 10, 20, 99, 98)], [(1, 1, 7, 10)])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"hashpartitioning\(game_id#\w+, \d", plan)
+    assert not re.search(r"hashpartitioning\(game_id#\w+, team_id#", plan)
